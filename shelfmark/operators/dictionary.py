@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from shelfmark import constants as C
 from shelfmark.functions.names import normalize_for_match
-from shelfmark.operators.lanes import keep_ranked
+from shelfmark.operators.lanes import attach_lookup, keep_ranked
+from shelfmark.session import stage
 
 GRAM = 8
 
@@ -95,8 +96,6 @@ def progressive_prefix_lookup(df: DataFrame, name: str, lookup: DataFrame, direc
     """Adds ``found``: up to three directly contained words, else the value of the longest known
     prefix of the name, else ``default``. ``lookup`` has (key, value).
     """
-    from shelfmark.operators.lanes import attach_lookup
-
     def resolve(names: DataFrame) -> DataFrame:
         prefixes = names.filter(F.length(name) >= min_len).select(
             name, F.explode(F.transform(F.sequence(F.lit(min_len), F.length(name)),
@@ -180,14 +179,19 @@ def resolve_location(names: DataFrame, name: str, keys: Column, curated: DataFra
     folded = folded.groupBy("_f").agg(F.min_by(F.struct("city", "district"), F.col("case_name")).alias("p"))
     near = asked.withColumn("_f", normalize_for_match(F.col(name))).join(folded, "_f").select(
         name, F.lit(2).alias("stage"), "p.city", "p.district")
-    voted = fallback_vote(asked, name, keys, catalog, case, row_id, city, district).select(
-        name, (F.lit(3) + F.col("tier") / 100).alias("stage"), "city", "district")
-    loose = normalized_containment_vote(asked, name, catalog, case, city, district).select(
-        name, F.lit(4).alias("stage"), "city", "district")
-    last = normalized_containment_vote(asked, name, man, "case_name", "city", "district").select(
-        name, F.lit(5).alias("stage"), "city", "district")
-    parts = [asked.join(cur, name).select(name, "stage", "city", "district"), exact, near, voted, loose, last]
-    every = reduce(DataFrame.unionByName, [p.withColumn("stage", F.col("stage").cast("double")) for p in parts])
-    best = keep_ranked(every, [name], [F.asc("stage"), F.asc_nulls_first("city"), F.asc_nulls_first("district")])
-    out = asked.join(best, name, "left")
-    return out.withColumn("stage", F.floor("stage").cast("int"))
+    near = near.join(exact, name, "left_anti")
+    cur = asked.join(cur, name).select(name, "stage", "city", "district")
+    first = cur.unionByName(exact.join(cur, name, "left_anti")).unionByName(near.join(cur, name, "left_anti"))
+    # names only; each step is written before the next, costlier one looks at what is left
+    found = [stage(first, "place")]
+
+    def rest() -> DataFrame:
+        return asked.join(reduce(DataFrame.unionByName, found).select(name), name, "left_anti")
+
+    def add(n: int, hits: DataFrame) -> None:
+        found.append(stage(hits.select(name, F.lit(n).alias("stage"), "city", "district"), "place"))
+
+    add(3, fallback_vote(rest(), name, keys, catalog, case, row_id, city, district))
+    add(4, normalized_containment_vote(rest(), name, catalog, case, city, district))
+    add(5, normalized_containment_vote(rest(), name, man, "case_name", "city", "district"))
+    return asked.join(reduce(DataFrame.unionByName, found), name, "left")

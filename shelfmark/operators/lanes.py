@@ -124,9 +124,13 @@ def range_bucket(df: DataFrame, order: Sequence[str], buckets: int | None = None
 
 def running_sum(df: DataFrame, parts: Sequence[str], order: Sequence[str],
                 sums: dict[str, Column], buckets: int | None = None) -> DataFrame:
-    """Inclusive running sums in ``order`` within ``parts`` (may be empty = the whole table)."""
+    """Inclusive running sums in ``order`` within ``parts`` (may be empty = the whole table).
+
+    A ``_bucket`` column made by ``range_bucket`` on the same order is used and kept.
+    """
     parts = list(parts)
-    rows = range_bucket(df, order, buckets)
+    given = "_bucket" in df.columns
+    rows = df if given else range_bucket(df, order, buckets)
     for i, (n, c) in enumerate(sums.items()):
         rows = rows.withColumn(f"_v{i}", c)
     local = Window.partitionBy(*parts, "_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
@@ -141,8 +145,8 @@ def running_sum(df: DataFrame, parts: Sequence[str], order: Sequence[str],
     out = rows.join(heads, on)
     for i, n in enumerate(sums):
         out = out.withColumn(n, F.sum(f"_v{i}").over(local) + F.col(f"_b{i}"))
-    return out.drop("_bucket", "_h_bucket", *[f"_h_{p}" for p in parts],
-                    *[f"_{x}{i}" for i in range(len(sums)) for x in "vb"])
+    out = out.drop("_h_bucket", *[f"_h_{p}" for p in parts], *[f"_{x}{i}" for i in range(len(sums)) for x in "vb"])
+    return out if given else out.drop("_bucket")
 
 
 def numbered(df: DataFrame, order: Sequence[str], parts: Sequence[str] = (), name: str = "rn",
@@ -155,7 +159,8 @@ def lagged(df: DataFrame, order: Sequence[str], value: str, name: str, parts: Se
            buckets: int | None = None) -> DataFrame:
     """Previous row's value in order; bucket heads take the last value of the bucket before."""
     parts = list(parts)
-    rows = range_bucket(df, order, buckets)
+    given = "_bucket" in df.columns
+    rows = df if given else range_bucket(df, order, buckets)
     key = F.struct(*order)
     ends = rows.groupBy(*parts, "_bucket").agg(F.max_by(F.struct(F.col(value).alias("v")), key).alias("_last"))
     prev = Window.partitionBy(*parts).orderBy("_bucket")
@@ -167,4 +172,5 @@ def lagged(df: DataFrame, order: Sequence[str], value: str, name: str, parts: Se
     out = rows.join(ends, on)
     out = out.withColumn(name, F.when(F.row_number().over(local) == 1, F.col("_carry.v"))
                          .otherwise(F.lag(value).over(local)))
-    return out.drop("_bucket", "_h_bucket", "_carry", *[f"_h_{p}" for p in parts])
+    out = out.drop("_h_bucket", "_carry", *[f"_h_{p}" for p in parts])
+    return out if given else out.drop("_bucket")

@@ -91,9 +91,9 @@ def insert_ignore(target: DataFrame, batch: DataFrame, key: str, order: Sequence
     return target.drop(*generated).unionByName(fresh, allowMissingColumns=True)
 
 
-def export_table(df: DataFrame, key: str, path: str) -> None:
-    """JSON lines in key order: range partitions, sorted inside."""
-    df.repartitionByRange(F.col(key)).sortWithinPartitions(key).write.json(path)
+def export_table(df: DataFrame, keys: Sequence[str], path: str) -> None:
+    """JSON lines in order of the (unique) key columns: range partitions, sorted inside."""
+    df.repartitionByRange(*[F.col(k) for k in keys]).sortWithinPartitions(*keys).write.json(path)
 
 
 def restore_verify(counts: DataFrame, thresholds: DataFrame) -> DataFrame:

@@ -2,5 +2,5 @@
 
 from importlib import import_module
 
-for _name in ("sources", "maintenance", "columns"):
+for _name in ("sources", "maintenance", "filters", "joins", "columns"):
     import_module(f"{__name__}.{_name}")

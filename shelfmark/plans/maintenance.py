@@ -108,16 +108,17 @@ def _(s, sf):
     return M.insert_ignore(t, batch, "s_suppkey", [F.asc("c_custkey")], ["is_vertical"]).select("s_suppkey", "s_name", "note")
 
 
-KEYS = {"region": "r_regionkey", "nation": "n_nationkey", "customer": "c_custkey", "supplier": "s_suppkey", "part": "p_partkey",
-        "orders": "o_orderkey", "lineitem": "l_orderkey", "events": "event_id"}
+KEYS = {"region": ["r_regionkey"], "nation": ["n_nationkey"], "customer": ["c_custkey"], "supplier": ["s_suppkey"],
+        "part": ["p_partkey"], "orders": ["o_orderkey"], "events": ["event_id"],
+        "lineitem": ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]}
 
 
 @query("K8", "backup_export_manifest", " union all ".join(f"select '{t}' as name, count(*) as rows from {t}" for t in KEYS))
 def _(s, sf):
     root = shared_path(s, "backup")
     counts = []
-    for t, key in KEYS.items():
-        M.export_table(table(s, sf, t), key, f"{root}/{t}")
+    for t, keys in KEYS.items():
+        M.export_table(table(s, sf, t), keys, f"{root}/{t}")
         counts.append(s.read.text(f"{root}/{t}").agg(F.count(lit(1)).alias("rows")).select(lit(t).alias("name"), "rows"))
     return reduce(DataFrame.unionAll, counts)
 
