@@ -95,12 +95,17 @@ def batches(df: DataFrame, key: str, size: int) -> DataFrame:
 
 
 def scorecard(metrics: DataFrame, rules: DataFrame) -> DataFrame:
-    """(name, value, status): value above critical, above warn, else ok; unmeasured is critical.
+    """(name, value, status) with status ok, warn or critical.
 
-    ``metrics`` has (name, value), ``rules`` (name, warn, critical); a null threshold never fires.
+    ``metrics`` has (name, value), ``rules`` (name, warn, critical, inclusive, missing): a value
+    above (``inclusive``: at or above) a threshold raises it, a null threshold never fires, and
+    ``missing`` is the status of a check without a value.
     """
-    above = lambda c: F.coalesce(F.col("value") > F.col(c), F.lit(False))
-    status = (F.when(F.col("value").isNull() | above("critical"), "critical").when(above("warn"), "warn").otherwise("ok"))
+    def fires(limit: str) -> Column:
+        v, t = F.col("value"), F.col(limit)
+        return F.coalesce(F.when(F.col("inclusive"), v >= t).otherwise(v > t), F.lit(False))
+    status = (F.when(F.col("value").isNull(), F.col("missing")).when(fires("critical"), "critical")
+              .when(fires("warn"), "warn").otherwise("ok"))
     return rules.join(metrics, "name", "left").select("name", "value", status.alias("status"))
 
 

@@ -2,5 +2,6 @@
 
 from importlib import import_module
 
-for _name in ("sources", "maintenance", "filters", "joins", "columns"):
+for _name in ("sources", "maintenance", "filters", "joins", "aggregates", "windows", "ranking", "columns",
+              "search", "streams"):
     import_module(f"{__name__}.{_name}")
