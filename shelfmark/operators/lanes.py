@@ -17,7 +17,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 LANES = 4096
-MAX_BUCKETS = 256
+MAX_BUCKETS = 4096
+FINE = 64
 
 _PARTIAL = {
     "count": lambda c: F.count(c), "sum": F.sum, "min": F.min, "max": F.max,
@@ -44,8 +45,10 @@ def attach_group(df: DataFrame, keys: Sequence[str], row_key: Sequence[str],
     keys = list(keys)
     rows = df.withColumn("_lane", lane(row_key))
     lanes = rows.groupBy(*keys, "_lane").agg(*[_PARTIAL[k](c).alias(n) for n, (k, c) in values.items()])
-    totals = lanes.groupBy(*keys).agg(*[_MERGE[k](n).alias(n) for n, (k, _) in values.items()])
-    return _spread(rows, lanes, keys, totals, list(values))
+    key = Window.partitionBy(*keys)     # at most LANES rows of a key meet here
+    spread = lanes.select(*[F.col(k).alias(f"_i_{k}") for k in keys], F.col("_lane").alias("_t_lane"),
+                          *[_MERGE[k](n).over(key).alias(n) for n, (k, _) in values.items()])
+    return _join_lanes(rows, spread, keys)
 
 
 def attach_lookup(df: DataFrame, keys: Sequence[str], row_key: Sequence[str], lookup, names: Sequence[str]) -> DataFrame:
@@ -66,6 +69,10 @@ def _spread(rows: DataFrame, lanes: DataFrame, keys: list[str], values: DataFram
     values = values.select(*[F.col(k).alias(f"_t_{k}") for k in keys], *names)
     on_key = reduce(lambda a, b: a & b, [F.col(f"_i_{k}").eqNullSafe(F.col(f"_t_{k}")) for k in keys])
     spread = ids.join(values, on_key, "left").select(*[f"_i_{k}" for k in keys], "_t_lane", *names)
+    return _join_lanes(rows, spread, keys)
+
+
+def _join_lanes(rows: DataFrame, spread: DataFrame, keys: list[str]) -> DataFrame:
     on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_i_{k}")) for k in keys])
     joined = rows.join(spread, on & (F.col("_lane") == F.col("_t_lane")))
     return joined.drop("_lane", "_t_lane", *[f"_i_{k}" for k in keys])
@@ -93,44 +100,50 @@ def _split_points(df: DataFrame, order: Sequence[str], buckets: int) -> list[tup
     return [low for _, low in found[1:]]
 
 
-def _at_least(order: Sequence[str], low: tuple) -> Column:
-    """(c1, c2, ..) >= low, lexicographic, on non-null columns."""
-    cond = F.col(order[-1]) >= F.lit(low[-1])
-    for c, v in list(zip(order[:-1], low[:-1]))[::-1]:
-        cond = (F.col(c) > F.lit(v)) | ((F.col(c) == F.lit(v)) & cond)
-    return cond
-
-
 def range_bucket(df: DataFrame, order: Sequence[str], buckets: int | None = None,
                  name: str = "_bucket") -> DataFrame:
-    """Add a bucket number that grows with the (non-null) order columns.
+    """Add a bucket number that grows with the order columns (nulls first).
 
     Split points come from one pass over the order columns alone and are fixed literals
-    afterwards, so every branch and every retry sees the same buckets.
+    afterwards, so every branch and every retry sees the same buckets. A row is placed by
+    binary search over every FINE-th point, then among the FINE points of its stretch.
     """
     if buckets is None:
         wanted = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         buckets = max(1, min(wanted, MAX_BUCKETS))
     lows = _split_points(df, order, buckets)
+    key = F.struct(*[F.col(c) for c in order])
+    types = df.select(*order).schema
+
+    def point(low: tuple) -> Column:
+        return F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(low, types)])
 
-    def tree(lo: int, hi: int) -> Column:
+    def search(points: list[tuple], lo: int, hi: int) -> Column:
         if lo == hi:
             return F.lit(lo)
         mid = (lo + hi) // 2
-        return F.when(_at_least(order, lows[mid]), tree(mid + 1, hi)).otherwise(tree(lo, mid))
+        return F.when(key >= point(points[mid]), search(points, mid + 1, hi)).otherwise(search(points, lo, mid))
 
-    return df.withColumn(name, tree(0, len(lows)))
+    if len(lows) <= FINE:
+        return df.withColumn(name, search(lows, 0, len(lows)))
+    stretches = [lows[i:i + FINE] for i in range(0, len(lows), FINE)]
+    heads = [s[0] for s in stretches[1:]]
+    rows = df.withColumn("_coarse", search(heads, 0, len(heads)))
+    table = F.array(*[F.array(*[point(x) for x in s]) for s in stretches])
+    fine = F.size(F.filter(F.element_at(table, F.col("_coarse") + 1), lambda x: x <= key))
+    return rows.withColumn(name, F.col("_coarse") * FINE + fine).drop("_coarse")
 
 
 def running_sum(df: DataFrame, parts: Sequence[str], order: Sequence[str],
                 sums: dict[str, Column], buckets: int | None = None) -> DataFrame:
     """Inclusive running sums in ``order`` within ``parts`` (may be empty = the whole table).
 
-    A ``_bucket`` column made by ``range_bucket`` on the same order is used and kept.
+    Buckets follow (parts, order): a small part lies in one bucket, a hot one is cut into many. A
+    ``_bucket`` column that grows with the order inside each part is used and kept.
     """
     parts = list(parts)
     given = "_bucket" in df.columns
-    rows = df if given else range_bucket(df, order, buckets)
+    rows = df if given else range_bucket(df, [*parts, *order], buckets)
     for i, (n, c) in enumerate(sums.items()):
         rows = rows.withColumn(f"_v{i}", c)
     local = Window.partitionBy(*parts, "_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
@@ -160,7 +173,7 @@ def lagged(df: DataFrame, order: Sequence[str], value: str, name: str, parts: Se
     """Previous row's value in order; bucket heads take the last value of the bucket before."""
     parts = list(parts)
     given = "_bucket" in df.columns
-    rows = df if given else range_bucket(df, order, buckets)
+    rows = df if given else range_bucket(df, [*parts, *order], buckets)
     key = F.struct(*order)
     ends = rows.groupBy(*parts, "_bucket").agg(F.max_by(F.struct(F.col(value).alias("v")), key).alias("_last"))
     prev = Window.partitionBy(*parts).orderBy("_bucket")

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfmark.functions.names import clean_title, editor_tag, remove_editor_tag
 from shelfmark.functions.values import is_date_cell
-from shelfmark.operators.lanes import attach_group, keep_ranked, lagged, range_bucket, running_sum
+from shelfmark.operators.lanes import keep_ranked, range_bucket
 from shelfmark.operators.predicates import contains_any
+from shelfmark.session import stage
 
 
 def year_rollover(df: DataFrame, sheet: str, order: Sequence[str], month: str, day: str, base_year: Column,
@@ -18,13 +19,27 @@ def year_rollover(df: DataFrame, sheet: str, order: Sequence[str], month: str, d
     """Adds ``date``: the year grows whenever the month falls. A year-only sheet ends in its base
     year. An impossible date is null but still counts as the previous month.
     """
-    rows = range_bucket(df, order)
-    rows = lagged(rows, order, month, "_prev", [sheet])
-    rows = running_sum(rows, [sheet], order, {"_roll": F.coalesce((F.col(month) < F.col("_prev")).cast("int"), F.lit(0))})
-    rows = attach_group(rows.drop("_bucket"), [sheet], [sheet, *order], {"_rolls": ("max", F.col("_roll"))})
-    year = F.when(year_only, base_year - F.col("_rolls")).otherwise(base_year) + F.col("_roll")
+    order = list(order)
+    rows = range_bucket(df, [sheet, *order])
+    local = Window.partitionBy(sheet, "_bucket").orderBy(*order)
+    inside = F.coalesce((F.col(month) < F.lag(month).over(local)).cast("int"), F.lit(0))
+    rows = rows.withColumn("_in", inside)
+    rows = rows.withColumn("_cum", F.sum("_in").over(local.rowsBetween(Window.unboundedPreceding, 0)))
+    # one row per (sheet, bucket): its own rollovers and the one at its left edge
+    at = F.struct(*order)
+    edges = rows.groupBy(sheet, "_bucket").agg(
+        F.sum("_in").alias("_n"), F.min_by(month, at).alias("_first"), F.max_by(month, at).alias("_last"))
+    per = Window.partitionBy(sheet).orderBy("_bucket")
+    edges = edges.withColumn("_edge", F.coalesce((F.col("_first") < F.lag("_last").over(per)).cast("int"), F.lit(0)))
+    edges = edges.select(
+        F.col(sheet).alias("_s"), F.col("_bucket").alias("_b"),
+        (F.sum(F.col("_n") + F.col("_edge")).over(per.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_n")).alias("_base"),
+        F.sum(F.col("_n") + F.col("_edge")).over(Window.partitionBy(sheet)).alias("_rolls"))
+    rows = rows.join(edges, F.col(sheet).eqNullSafe(F.col("_s")) & (F.col("_bucket") == F.col("_b")))
+    year = F.when(year_only, base_year - F.col("_rolls")).otherwise(base_year) + F.col("_base") + F.col("_cum")
     iso = F.format_string("%04d-%02d-%02d", year.cast("int"), F.col(month).cast("int"), F.col(day).cast("int"))
-    return rows.withColumn("date", F.try_to_date(iso, "yyyy-MM-dd")).drop("_prev", "_roll", "_rolls")
+    return rows.withColumn("date", F.try_to_date(iso, "yyyy-MM-dd")).drop(
+        "_bucket", "_in", "_cum", "_s", "_b", "_base", "_rolls")
 
 
 def header_cells(grid: DataFrame, sheet: str, min_dates: int = 3, per_row: int = 7) -> DataFrame:
@@ -60,9 +75,10 @@ def parse_schedule(grid: DataFrame, sheet: str, base_year: Column, year_only: Co
     cell = F.regexp_replace("cell", r"^\s+|\s+$", "")
     heads = heads.withColumn("_mo", F.regexp_extract(cell, r"^(\d+)/(\d+)$", 1).try_cast("int")).withColumn(
         "_da", F.regexp_extract(cell, r"^(\d+)/(\d+)$", 2).try_cast("int"))
+    heads = stage(heads, "headers")     # read by every later step
     readable = heads.filter(F.col("_mo").isNotNull())
     dated = year_rollover(readable, sheet, ["row_idx", "col_idx"], "_mo", "_da", base_year, year_only)
-    dated = dated.select(sheet, "row_idx", "col_idx", "cell", "date")
+    dated = stage(dated.select(sheet, "row_idx", "col_idx", "cell", "date"), "dates")
     header_rows = heads.select(sheet, "row_idx").distinct()
     body = assign_headers(grid, dated, sheet).filter(F.col("date").isNotNull())
     body = body.join(header_rows, [sheet, "row_idx"], "left_anti")

@@ -18,10 +18,13 @@ def latest_version_flag(df: DataFrame, group: Sequence[str], version: str, seq:
     Rows out of scope and rows already flagged stay as they are; ``newly_marked`` tells flips.
     """
     best = F.struct(F.col(version).alias("v"), (-F.col(seq)).alias("s"))
-    rows = attach_group(df.withColumn("_scope", in_scope), [*group, "_scope"], [seq], {"_best": ("max", best)})
-    lost = F.col("_scope") & (best < F.col("_best"))
+    scope = F.coalesce(in_scope, F.lit(False))
     old = F.coalesce(F.col(is_old), F.lit(False))
-    return rows.withColumn("newly_marked", lost & ~old).withColumn(is_old, old | lost).drop("_scope", "_best")
+    ranked = attach_group(df.filter(scope), group, [seq], {"_best": ("max", best)})
+    lost = best < F.col("_best")
+    ranked = ranked.withColumn("newly_marked", lost & ~old).withColumn(is_old, old | lost).drop("_best")
+    rest = df.filter(~scope).withColumn("newly_marked", F.lit(False)).withColumn(is_old, old)   # never shuffled
+    return ranked.unionByName(rest)
 
 
 def keeper_plan(df: DataFrame, group: Sequence[str], key: str, mtime: str, usable: Column, content: str,

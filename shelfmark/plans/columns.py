@@ -330,11 +330,11 @@ def _(s, sf):
 
 
 @query("M1", "rotation_swap", """select l_orderkey, l_linenumber, l_partkey, l_suppkey,
-  case when l_linestatus = 'F' and l_returnflag = 'R' then null when l_linenumber = 7 then 0 when l_suppkey < 50 then l_partkey else cast(l_quantity as bigint) end as w,
-  case when l_linestatus = 'F' and l_returnflag = 'R' then null when l_linenumber = 7 then 0 when l_suppkey < 50 then cast(l_quantity as bigint) else l_partkey end as h
+  case when l_linestatus = 'F' and l_returnflag = 'R' then null when l_linenumber = 7 then 0 when l_quantity < 20 then l_partkey else cast(l_quantity as bigint) end as w,
+  case when l_linestatus = 'F' and l_returnflag = 'R' then null when l_linenumber = 7 then 0 when l_quantity < 20 then cast(l_quantity as bigint) else l_partkey end as h
 from lineitem""")
 def _(s, sf):
-    rot = F.when(c("l_suppkey") < 25, -90).when(c("l_suppkey") < 50, 270).when(c("l_suppkey") < 75, 180).otherwise(0)
+    rot = F.when(c("l_quantity") < 10, -90).when(c("l_quantity") < 20, 270).when(c("l_quantity") < 30, 180).otherwise(0)
     err = F.when((c("l_linestatus") == "F") & (c("l_returnflag") == "R"), lit("probe failed"))
     dims = V.rotation_swap(c("l_quantity").cast("bigint"), c("l_partkey"), rot, c("l_linenumber") != 7, err)
     return table(s, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", dims.alias("d")).select(

@@ -67,7 +67,7 @@ def _(s, sf):
 g as (select c_custkey as k, city, district, case when c_acctbal > 5000 then 'A1' end as area, c_acctbal > 5000 as auto_area from cg where c_mktsegment <> 'HOUSEHOLD'),
 e as (select c_custkey as k, 'E' || city as city, district, 'EX' as area, false as auto_area, c_acctbal > 3000 as man from cg where c_mktsegment in ('HOUSEHOLD', 'MACHINERY')),
 m as (select s_suppkey as k, 'M' as city, s_name as district, case when s_acctbal > 4000 then 'MA' end as area from supplier),
-ad as (select o_custkey as k, case when min(o_orderkey) % 2 = 0 then 'ADM' else '' end as city, 'D' as district, max(o_totalprice) > 480000 as nb from orders where o_orderpriority = '1-URGENT' group by 1),
+ad as (select o_custkey as k, case when min(o_totalprice) < 200000 then 'ADM' else '' end as city, 'D' as district, max(o_totalprice) > 480000 as nb from orders where o_orderpriority = '1-URGENT' group by 1),
 j1 as (select coalesce(g.k, e.k) as k, case when e.k is not null and (g.k is null or e.man) then 'e' else 'g' end as w, g.city gc, g.district gd, g.area ga, g.auto_area gaa, e.city ec, e.district ed, e.area ea
   from g full join e on g.k = e.k),
 j2 as (select k, case w when 'e' then ec else gc end as city, case w when 'e' then ed else gd end as district, case w when 'e' then ea else ga end as area, case w when 'e' then false else gaa end as aa from j1),
@@ -86,7 +86,7 @@ def _(s, sf):
     manual = table(s, sf, "supplier").select(c("s_suppkey").alias("k"), lit("M").alias("city"), c("s_name").alias("district"),
                                              F.when(c("s_acctbal") > 4000, "MA").alias("area"))
     admin = table(s, sf, "orders").groupBy(c("o_custkey").alias("k"), c("o_orderpriority").alias("p")).agg(
-        F.when(F.min("o_orderkey") % 2 == 0, "ADM").otherwise("").alias("city"), lit("D").alias("district"),
+        F.when(F.min("o_totalprice") < 200000, "ADM").otherwise("").alias("city"), lit("D").alias("district"),
         (F.max("o_totalprice") > 480000).alias("is_non_building"))
     admin = admin.withColumn("source", F.when(c("p") == "1-URGENT", "admin-ui").otherwise("import"))
     return J.override_merge(guess, existing, manual, admin, "k")
@@ -269,7 +269,7 @@ def _(s, sf):
     return J.same_path_rows(d, "doc_id", "canonical").select("doc_id", "keeper", "copies", "row_only")
 
 
-APPROVALS = """pe as (select user_id as token, min(ts) as created_at from events where event_type = 'signup' and user_id < 100 group by 1),
+APPROVALS = """pe as (select user_id as token, min(ts) as created_at from events where event_type = 'signup' and value > 80 group by 1),
 ac as (select user_id as token, case event_type when 'purchase' then 'confirm' else 'cancel' end as action, ts as tm, event_id as seq from events where event_type = 'purchase' or (event_type = 'error' and value > 60)),
 fi as (select token, min((tm, seq)) as f from ac join pe using (token) where tm >= created_at group by 1),
 oc as (select ac.token, action, seq, case when pe.token is null then 'unknown-token' when f is null or (tm, seq) <> f then 'no-pending' when action = 'cancel' then 'cancelled'
@@ -279,7 +279,7 @@ oc as (select ac.token, action, seq, case when pe.token is null then 'unknown-to
 
 def approval_tables(s, sf):
     e = table(s, sf, "events")
-    pend = e.filter((c("event_type") == "signup") & (c("user_id") < 100)).groupBy(c("user_id").alias("token")).agg(F.min("ts").alias("created_at"))
+    pend = e.filter((c("event_type") == "signup") & (c("value") > 80)).groupBy(c("user_id").alias("token")).agg(F.min("ts").alias("created_at"))
     act = e.filter((c("event_type") == "purchase") | ((c("event_type") == "error") & (c("value") > 60))).select(
         c("user_id").alias("token"), F.when(c("event_type") == "purchase", "confirm").otherwise("cancel").alias("action"),
         c("ts").alias("at"), c("event_id").alias("seq"))

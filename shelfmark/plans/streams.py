@@ -42,11 +42,11 @@ def _(s, sf):
 
 
 @query("T3", "stream_filter_chain", """select event_id, case when value < 2 then 'nofile' when event_type = 'error' then 'trashed' when event_type = 'signup' then 'folder'
-  when (props->>'k')::int < 20 then 'nonvideo' when user_id > 140 then 'dup' when ts < timestamp '2024-01-15' - interval 6 hour then 'old' when event_type = 'view' then 'no-output' end as reason from events""")
+  when (props->>'k')::int < 20 then 'nonvideo' when value > 90 then 'dup' when ts < timestamp '2024-01-15' - interval 6 hour then 'old' when event_type = 'view' then 'no-output' end as reason from events""")
 def _(s, sf):
     out, chk = shared_path(s, "out"), shared_path(s, "chk")
     reason = T.skip_reason(c("value") >= 2, c("event_type") == "error", c("event_type") == "signup",
-                           F.get_json_object("props", "$.k").cast("int") >= 20, c("user_id") > 140, c("ts"),
+                           F.get_json_object("props", "$.k").cast("int") >= 20, c("value") > 90, c("ts"),
                            ntz("2024-01-15"), c("event_type") != "view")
     src = shared_path(s, "feed")
     events(s, sf).write.parquet(src)

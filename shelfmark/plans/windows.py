@@ -44,14 +44,16 @@ def _(s, sf):
     return keep_ranked(table(s, sf, "events"), ["user_id"], [F.desc("ts"), F.asc("event_id")]).select("user_id", "event_id", "event_type", "value")
 
 
-@query("W4", "year_rollover", """with a as (select o_custkey, o_orderkey, month(o_orderdate) as mo, case when o_orderstatus = 'F' then 31 else day(o_orderdate) end as da, o_orderkey as k from orders),
+@query("W4", "year_rollover", """with a as (select o_custkey, o_orderkey, month(o_orderdate) as mo, case when o_orderstatus = 'F' then 31 else day(o_orderdate) end as da, c_mktsegment = 'MACHINERY' as yo
+   from orders join customer on o_custkey = c_custkey),
 b as (select *, coalesce(mo < lag(mo) over (partition by o_custkey order by o_orderkey), false)::int as r from a),
 d as (select *, sum(r) over (partition by o_custkey order by o_orderkey) as cum, sum(r) over (partition by o_custkey) as total from b)
-select o_orderkey, try_cast(printf('%04d-%02d-%02d', (2020 - case when o_custkey < 500 then total else 0 end + cum)::int, mo::int, da::int) as date) as date from d""")
+select o_orderkey, try_cast(printf('%04d-%02d-%02d', (2020 - case when yo then total else 0 end + cum)::int, mo::int, da::int) as date) as date from d""")
 def _(s, sf):
-    o = table(s, sf, "orders").select("o_custkey", "o_orderkey", F.month("o_orderdate").alias("mo"),
-                                      F.when(c("o_orderstatus") == "F", 31).otherwise(F.dayofmonth("o_orderdate")).alias("da"))
-    return S.year_rollover(o, "o_custkey", ["o_orderkey"], "mo", "da", lit(2020), c("o_custkey") < 500).select("o_orderkey", "date")
+    o = table(s, sf, "orders").join(table(s, sf, "customer"), c("o_custkey") == c("c_custkey"))
+    o = o.select("o_custkey", "o_orderkey", F.month("o_orderdate").alias("mo"), (c("c_mktsegment") == "MACHINERY").alias("year_only"),
+                 F.when(c("o_orderstatus") == "F", 31).otherwise(F.dayofmonth("o_orderdate")).alias("da"))
+    return S.year_rollover(o, "o_custkey", ["o_orderkey"], "mo", "da", lit(2020), c("year_only")).select("o_orderkey", "date")
 
 
 def order_grid(s, sf):
