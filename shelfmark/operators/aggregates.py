@@ -53,13 +53,14 @@ def all_older(df: DataFrame, key: str, ts: str, cutoff: Column) -> DataFrame:
     return df.groupBy(key).agg(every.alias("_all"), F.count(F.lit(1)).alias("members")).filter("_all").drop("_all")
 
 
-def status_histogram(df: DataFrame, status: str, expected: Sequence[str]) -> DataFrame:
-    """Count per status: the expected ones zero-filled, unknown ones included."""
+def status_histogram(df: DataFrame, status: str, expected: Sequence[str], top: int | None = None) -> DataFrame:
+    """Count per status: the expected ones zero-filled, unknown ones included; ``top`` keeps the most frequent."""
     spark = df.sparkSession
     want = spark.createDataFrame([(s,) for s in expected], "_want string")
     got = df.groupBy(status).agg(F.count(F.lit(1)).alias("n"))
-    return got.join(want, F.col(status) == F.col("_want"), "full").select(
+    out = got.join(want, F.col(status) == F.col("_want"), "full").select(
         F.coalesce(status, "_want").alias(status), F.coalesce("n", F.lit(0)).alias("rows"))
+    return out.orderBy(F.desc("rows"), status).limit(top) if top else out
 
 
 def any_detection(df: DataFrame, key: str, readable: Column, score: Column, area_share: Column,

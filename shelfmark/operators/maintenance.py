@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfmark import constants as C
@@ -96,6 +97,24 @@ def export_table(df: DataFrame, keys: Sequence[str], path: str) -> None:
     df.repartitionByRange(*[F.col(k) for k in keys]).sortWithinPartitions(*keys).write.json(path)
 
 
+def export_all(spark: SparkSession, tables: dict[str, tuple[str, Sequence[str]]], root: str) -> DataFrame:
+    """Export tables {name: (parquet path, key columns)} below ``root`` and return the manifest
+    (name, rows, file, error); a table that cannot be exported is listed with its error.
+    """
+    parts = []
+    for name, (path, keys) in tables.items():
+        out, label = f"{root}/{name}", F.lit(name).alias("name")
+        none = F.lit(None).cast("string")
+        try:
+            export_table(spark.read.parquet(path), keys, out)
+            count = spark.read.text(out).agg(F.count(F.lit(1)).alias("rows"))      # what really was written
+            parts.append(count.select(label, "rows", F.lit(out).alias("file"), none.alias("error")))
+        except Exception as e:
+            kind = F.lit(type(e).__name__).alias("error")
+            parts.append(spark.range(1).select(label, F.lit(None).cast("bigint").alias("rows"), none.alias("file"), kind))
+    return reduce(DataFrame.unionAll, parts)
+
+
 def restore_verify(counts: DataFrame, thresholds: DataFrame) -> DataFrame:
     """(name, expected, got, ok) per table; a missing table counts 0."""
     out = thresholds.join(counts, "name", "left").withColumn("got", F.coalesce("got", F.lit(0)))

@@ -15,39 +15,57 @@ from shelfmark.session import stage
 
 
 def year_rollover(df: DataFrame, sheet: str, order: Sequence[str], month: str, day: str, base_year: Column,
-                  year_only: Column) -> DataFrame:
+                  year_only: Column, any_month: str | None = None) -> DataFrame:
     """Adds ``date``: the year grows whenever the month falls. A year-only sheet ends in its base
     year. An impossible date is null but still counts as the previous month.
+
+    A row without ``month`` gets no date and is passed over; the total that a year-only sheet
+    counts back by follows ``any_month`` (the month alone could be read) where it is given.
     """
-    order = list(order)
+    order, total = list(order), any_month or month
     rows = range_bucket(df, [sheet, *order])
     local = Window.partitionBy(sheet, "_bucket").orderBy(*order)
-    inside = F.coalesce((F.col(month) < F.lag(month).over(local)).cast("int"), F.lit(0))
-    rows = rows.withColumn("_in", inside)
+    ahead = local.rowsBetween(Window.unboundedPreceding, -1)
+
+    def falls(m: str, before: Column) -> Column:
+        return F.coalesce((F.col(m) < before).cast("int"), F.lit(0))
+
+    rows = rows.withColumn("_in", falls(month, F.last(month, True).over(ahead)))
+    rows = rows.withColumn("_tin", falls(total, F.last(total, True).over(ahead)))
     rows = rows.withColumn("_cum", F.sum("_in").over(local.rowsBetween(Window.unboundedPreceding, 0)))
     # one row per (sheet, bucket): its own rollovers and the one at its left edge
     at = F.struct(*order)
+
+    def edge(pick, m: str) -> Column:
+        return pick(m, F.when(F.col(m).isNotNull(), at))
+
     edges = rows.groupBy(sheet, "_bucket").agg(
-        F.sum("_in").alias("_n"), F.min_by(month, at).alias("_first"), F.max_by(month, at).alias("_last"))
+        F.sum("_in").alias("_n"), F.sum("_tin").alias("_tn"),
+        edge(F.min_by, month).alias("_first"), edge(F.max_by, month).alias("_last"),
+        edge(F.min_by, total).alias("_tfirst"), edge(F.max_by, total).alias("_tlast"))
     per = Window.partitionBy(sheet).orderBy("_bucket")
-    edges = edges.withColumn("_edge", F.coalesce((F.col("_first") < F.lag("_last").over(per)).cast("int"), F.lit(0)))
+    left = per.rowsBetween(Window.unboundedPreceding, -1)
+    edges = edges.withColumn("_edge", falls("_first", F.last("_last", True).over(left)))
+    edges = edges.withColumn("_tedge", falls("_tfirst", F.last("_tlast", True).over(left)))
+    # the left edge falls at the first readable month of the bucket, and nothing in front of it has a date
     edges = edges.select(
         F.col(sheet).alias("_s"), F.col("_bucket").alias("_b"),
         (F.sum(F.col("_n") + F.col("_edge")).over(per.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_n")).alias("_base"),
-        F.sum(F.col("_n") + F.col("_edge")).over(Window.partitionBy(sheet)).alias("_rolls"))
+        F.sum(F.col("_tn") + F.col("_tedge")).over(Window.partitionBy(sheet)).alias("_rolls"))
     rows = rows.join(edges, F.col(sheet).eqNullSafe(F.col("_s")) & (F.col("_bucket") == F.col("_b")))
     year = F.when(year_only, base_year - F.col("_rolls")).otherwise(base_year) + F.col("_base") + F.col("_cum")
     iso = F.format_string("%04d-%02d-%02d", year.cast("int"), F.col(month).cast("int"), F.col(day).cast("int"))
-    return rows.withColumn("date", F.try_to_date(iso, "yyyy-MM-dd")).drop(
-        "_bucket", "_in", "_cum", "_s", "_b", "_base", "_rolls")
+    date = F.when(F.col(month).isNotNull(), F.try_to_date(iso, "yyyy-MM-dd"))
+    return rows.withColumn("date", date).drop("_bucket", "_in", "_tin", "_cum", "_s", "_b", "_base", "_rolls")
 
 
 def header_cells(grid: DataFrame, sheet: str, min_dates: int = 3, per_row: int = 7) -> DataFrame:
     """Date cells (first ``per_row``) of the rows that hold at least ``min_dates`` of them."""
     dates = grid.filter(is_date_cell(F.col("cell")))
-    heads = dates.groupBy(sheet, "row_idx").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= min_dates).drop("_n")
-    cells = keep_ranked(dates, [sheet, "row_idx"], [F.asc("col_idx")], per_row)
-    return cells.join(heads, [sheet, "row_idx"], "left_semi")
+    first = keep_ranked(dates, [sheet, "row_idx"], [F.asc("col_idx")], max(per_row, min_dates), rank_col="_r")
+    # the row partitioning of the ranking serves the count as well
+    counted = first.withColumn("_n", F.max("_r").over(Window.partitionBy(sheet, "row_idx")))
+    return counted.filter((F.col("_n") >= min_dates) & (F.col("_r") <= per_row)).drop("_r", "_n")
 
 
 def assign_headers(grid: DataFrame, heads: DataFrame, sheet: str, body_rows: int = 4) -> DataFrame:
@@ -74,10 +92,10 @@ def parse_schedule(grid: DataFrame, sheet: str, base_year: Column, year_only: Co
     heads = header_cells(grid, sheet)
     cell = F.regexp_replace("cell", r"^\s+|\s+$", "")
     heads = heads.withColumn("_mo", F.regexp_extract(cell, r"^(\d+)/(\d+)$", 1).try_cast("int")).withColumn(
-        "_da", F.regexp_extract(cell, r"^(\d+)/(\d+)$", 2).try_cast("int"))
+        "_da", F.regexp_extract(cell, r"^(\d+)/(\d+)$", 2).try_cast("int")).withColumn(
+        "_any", F.regexp_extract(cell, r"^(\d+)/", 1).try_cast("int"))
     heads = stage(heads, "headers")     # read by every later step
-    readable = heads.filter(F.col("_mo").isNotNull())
-    dated = year_rollover(readable, sheet, ["row_idx", "col_idx"], "_mo", "_da", base_year, year_only)
+    dated = year_rollover(heads, sheet, ["row_idx", "col_idx"], "_mo", "_da", base_year, year_only, "_any")
     dated = stage(dated.select(sheet, "row_idx", "col_idx", "cell", "date"), "dates")
     header_rows = heads.select(sheet, "row_idx").distinct()
     body = assign_headers(grid, dated, sheet).filter(F.col("date").isNotNull())

@@ -114,6 +114,11 @@ def _(s, sf):
     return A.status_histogram(table(s, sf, "events"), "event_type", ["click", "error", "pending-review"])
 
 
+@query("A9", "status_top", "select event_type, count(*) as rows from events group by 1 order by rows desc, event_type limit 3")
+def _(s, sf):
+    return A.status_histogram(table(s, sf, "events"), "event_type", ["pending-review"], top=3)
+
+
 @query("A10", "sample_any_verdict", """select l_orderkey, case when count(*) filter (where l_returnflag <> 'N') = 0 then 'no_frames'
   when bool_or(l_returnflag <> 'N' and l_discount * 10 >= 0.95::double and l_quantity / 50 >= 0.5::double) then 'yes' else 'no' end as verdict from lineitem group by 1""")
 def _(s, sf):

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from shelfmark.functions import names as N
+from shelfmark.functions.entries import resolve_dataset, validate_entry
 from shelfmark.functions import paths as P
 from shelfmark.functions import text as X
 from shelfmark.functions import values as V
@@ -10,6 +11,7 @@ from shelfmark.operators import dictionary as D
 from shelfmark.operators.lanes import numbered
 from shelfmark.plans.bindings import CUSTOMER_GEO, PAGE_PATHS, customer_geo, page_paths
 from shelfmark.plans.registry import query, table
+from shelfmark.sources.tables import spread
 
 c, lit = F.col, F.lit
 
@@ -134,7 +136,7 @@ b as (select doc_id, text, concat_ws(' ', text, case when not contains(text, lan
 select doc_id, md5(trim(t1)) as text_md5, length(trim(t1)) as n_chars from b where t1 <> text""")
 def _(s, sf):
     new = X.append_missing_tokens(c("text"), [c("lang"), c("source"), F.concat_ws(" ", "lang", "source")])
-    d = table(s, sf, "documents").withColumn("new", new).filter(c("new") != F.trim("text"))
+    d = spread(table(s, sf, "documents")).withColumn("new", new).filter(c("new") != F.trim("text"))
     return d.select("doc_id", F.md5("new").alias("text_md5"), F.length("new").cast("bigint").alias("n_chars"))
 
 
@@ -153,7 +155,7 @@ def _(s, sf):
 select doc_id, md5(t) as text_md5, length(t) as n_chars from a""")
 def _(s, sf):
     t = X.remove_token(c("text"), lit("the"))
-    return table(s, sf, "documents").select("doc_id", F.md5(t).alias("text_md5"), F.length(t).cast("bigint").alias("n_chars"))
+    return spread(table(s, sf, "documents")).select("doc_id", F.md5(t).alias("text_md5"), F.length(t).cast("bigint").alias("n_chars"))
 
 
 @query("F12", "tail_token", r"""select c_custkey,
@@ -198,7 +200,7 @@ g as (select doc_id, trim(regexp_replace(s, '(?s)(?:###|!!|\|).*$', '')) as s fr
 h as (select doc_id, regexp_replace(regexp_replace(s, '\s*\*\s*\d+\s*$', ''), '(?:[ 、_-]*(?:the|of|en|\.))+$', '') as s from g)
 select doc_id, trim(regexp_replace(s, '\s+', ' ', 'g')) as title from h""")
 def _(s, sf):
-    return table(s, sf, "documents").select("doc_id", N.clean_title(
+    return spread(table(s, sf, "documents")).select("doc_id", N.clean_title(
         c("text"), ["The", "Es"], ["###", "!!", "|"], ["the", "of", "en", "."]).alias("title"))
 
 
@@ -237,7 +239,7 @@ def _(s, sf):
 b as (select doc_id, regexp_replace(regexp_replace(s, '[（(].*?[)）]', '', 'g'), '\s*(?:the|of|!!|x\d)+\s*', '', 'g') as s from a)
 select doc_id, md5(regexp_replace(regexp_replace(s, '\s*\d+$', ''), '^\s+|\s+$', '', 'g')) as text_md5 from b""")
 def _(s, sf):
-    return table(s, sf, "documents").select("doc_id", F.md5(N.clean_noise_tokens(c("text"), r"the|of|!!|x\d")).alias("text_md5"))
+    return spread(table(s, sf, "documents")).select("doc_id", F.md5(N.clean_noise_tokens(c("text"), r"the|of|!!|x\d")).alias("text_md5"))
 
 
 @query("F19", "name_similarity_accept", r"""with a as (select p_partkey, upper(regexp_replace(p_name, '[\s\-_()]', '', 'g')) as x,
@@ -457,7 +459,6 @@ def _(s, sf):
 @query("R4", "validate_entry", """with a as (select event_id, (props->>'k')::bigint as k from events)
 select event_id, case when k between 10 and 40 then k end as k, case when k between 10 and 40 then 'auto-v1' end as stamp from a""")
 def _(s, sf):
-    from shelfmark.functions.entries import validate_entry
     allowed = [str(i) for i in range(10, 41)]
     e = validate_entry(F.from_json("props", "struct<k:string>")["k"], lit(None).cast("string"), allowed, "auto-v1")
     return table(s, sf, "events").select("event_id", e["city"].cast("bigint").alias("k"), e["stamp"].alias("stamp"))
@@ -470,6 +471,13 @@ def _(s, sf):
     return table(s, sf, "events").select("event_id", V.code_label(k, {0: "clear", 1: "mostly clear", 45: "fog"}).alias("label"))
 
 
+@query("R5", "place_dataset", """select o_orderkey, case o_orderpriority when '1-URGENT' then '1-URGENT' when '2-HIGH' then 'C2' when '5-LOW' then 'C5' end as city,
+  case o_orderpriority when '2-HIGH' then '2' when '5-LOW' then '5' end as township from orders""")
+def _(s, sf):
+    hit = resolve_dataset(c("o_orderpriority"), ["1-URGENT"], {"2": "C2", "5": "C5"}, ["-HIGH", "-LOW"])
+    return table(s, sf, "orders").select("o_orderkey", hit["city"].alias("city"), hit["township"].alias("township"))
+
+
 @query("R6", "json_detail_extract", """select event_id, user_id, event_type, (props->>'k')::bigint as k from events where (props->>'k')::bigint > 50""")
 def _(s, sf):
     k = F.from_json("props", "k bigint")["k"]

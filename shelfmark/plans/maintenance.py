@@ -113,14 +113,12 @@ KEYS = {"region": ["r_regionkey"], "nation": ["n_nationkey"], "customer": ["c_cu
         "lineitem": ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]}
 
 
-@query("K8", "backup_export_manifest", " union all ".join(f"select '{t}' as name, count(*) as rows from {t}" for t in KEYS))
+@query("K8", "backup_export_manifest", " union all ".join(f"select '{t}' as name, count(*) as rows, null as error from {t}" for t in KEYS)
+       + " union all select 'absent', null, 'AnalysisException'")
 def _(s, sf):
-    root = shared_path(s, "backup")
-    counts = []
-    for t, keys in KEYS.items():
-        M.export_table(table(s, sf, t), keys, f"{root}/{t}")
-        counts.append(s.read.text(f"{root}/{t}").agg(F.count(lit(1)).alias("rows")).select(lit(t).alias("name"), "rows"))
-    return reduce(DataFrame.unionAll, counts)
+    tables = {t: (f"{sf}/{t}.parquet", keys) for t, keys in KEYS.items()}
+    tables["absent"] = (f"{sf}/absent.parquet", ["id"])
+    return M.export_all(s, tables, shared_path(s, "backup")).select("name", "rows", "error")
 
 
 THRESHOLDS = [("customer", 1000), ("orders", 20000), ("events", 1000), ("absent", 1)]

@@ -10,6 +10,7 @@ from shelfmark.operators.lanes import keep_ranked
 from shelfmark.plans.aggregates import KEEPERS, keeper_rows
 from shelfmark.plans.columns import VERSIONED, versioned_name
 from shelfmark.plans.registry import query, table
+from shelfmark.sources.tables import spread
 
 c, lit = F.col, F.lit
 
@@ -62,7 +63,7 @@ def order_grid(s, sf):
     body1 = F.array(F.concat(c("o_orderpriority"), lit(" (ab)")), F.concat(c("o_orderstatus"), lit(" x (cd)")), lit("off (ab)"))
     body2 = F.array(F.concat(c("o_orderstatus"), lit(" y *2 (ab)")), c("o_orderpriority"), F.concat(c("o_custkey").cast("string"), lit("n (zz)")))
     rows = F.array(F.array(d(0), d(1), third), body1, body2)
-    o = table(s, sf, "orders").select("o_custkey", "o_orderkey", F.posexplode(rows).alias("i", "cells"))
+    o = spread(table(s, sf, "orders")).select("o_custkey", "o_orderkey", F.posexplode(rows).alias("i", "cells"))
     return o.select(c("o_custkey").alias("sheet"), (c("o_orderkey") * 3 + c("i")).alias("row_idx"),
                     F.posexplode("cells").alias("col_idx", "cell"))
 

@@ -44,3 +44,12 @@ def document_source(df: DataFrame, path: str, keyword: str, categories: Sequence
                        lambda s: (s != "") & ~s.isin(list(categories)))
     return df.withColumn("name", file_name(F.col(path))).filter(F.col("name").contains(keyword)).withColumn(
         "case_name", F.get(F.reverse(folders), F.lit(0)))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over all cores when the input has fewer splits than cores; unchanged (no shuffle) otherwise.
+
+    For row-wise work that is heavy next to its input, on a table of a few files.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -98,6 +98,18 @@ def test_schedule_year_only_counts_back(spark):
     assert years == {2024, 2026}
 
 
+def test_unreadable_day_counts_for_the_total_only(spark):
+    for buckets in (1, 6):
+        spark.conf.set("spark.sql.shuffle.partitions", buckets)
+        df = spark.createDataFrame([("s", 0, 12, 1, 12), ("s", 1, None, None, 1), ("s", 2, 12, 2, 12), ("s", 3, 3, 3, 3), ("t", 0, 2, 30, 2), ("t", 1, 1, 1, 1)],
+                                   "sheet string, i int, mo int, da int, am int")
+        got = S.year_rollover(df, "sheet", ["i"], "mo", "da", F.lit(2026), F.col("sheet") == "s", "am")
+        assert rows(got, "sheet", "i", "date") == sorted([
+            ("s", 0, dt.date(2024, 12, 1)), ("s", 1, None), ("s", 2, dt.date(2024, 12, 2)), ("s", 3, dt.date(2025, 3, 3)), ("t", 0, None),
+            ("t", 1, dt.date(2027, 1, 1))], key=repr)
+    spark.conf.set("spark.sql.shuffle.partitions", 4)
+
+
 def test_header_rows_keep_seven_columns(spark):
     g = grid(spark, [[f"1/{i}" for i in range(1, 10)], [str(i) for i in range(9)], ["1/1", "1/2", "x"]])
     heads = S.header_cells(g, "sheet")
