@@ -155,7 +155,8 @@ def normalized_containment_vote(names: DataFrame, name: str, catalog: DataFrame,
     cases = cases.select(normalize_for_match(F.col(case)).alias("_v"), "p.city", "p.district").filter(F.length("_v") >= min_len)
     inside = containment_pairs(cases, "_v", asked, "_n")
     around = containment_pairs(asked, "_n", cases, "_v")
-    pairs = inside.select("_v", "_n").union(around.select("_v", "_n")).distinct()
+    # equal names contain each other and must vote once
+    pairs = inside.select("_v", "_n").union(around.filter(F.col("_v") != F.col("_n")).select("_v", "_n"))
     votes = vote(pairs.join(cases, "_v"), ["_n"], ["city", "district"])
     return asked.join(votes, "_n").select(name, "city", "district")
 

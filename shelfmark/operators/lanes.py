@@ -15,6 +15,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 LANES = 4096
 MAX_BUCKETS = 4096
@@ -86,6 +87,12 @@ def keep_ranked(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k:
     key and map task travel.
     """
     name = rank_col or "_rank"
+    limit = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold"))
+    if k > limit:
+        # beyond Spark's group limit: rank inside lanes first, so no task starts from a whole group
+        inner = Window.partitionBy(*keys, "_lane").orderBy(*order)
+        df = df.withColumn("_lane", lane(df.columns)).withColumn("_pre", F.row_number().over(inner))
+        df = df.filter(F.col("_pre") <= k).drop("_lane", "_pre")
     out = df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
     out = out.filter(F.col(name) <= k)
     return out if rank_col else out.drop(name)
@@ -93,6 +100,11 @@ def keep_ranked(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k:
 
 def _split_points(df: DataFrame, order: Sequence[str], buckets: int) -> list[tuple]:
     """Lower bounds of ``buckets`` even ranges of the order columns (at most MAX_BUCKETS rows)."""
+    if len(order) == 1 and isinstance(df.schema[order[0]].dataType, (T.IntegralType, T.DateType, T.TimestampType, T.TimestampNTZType)):
+        # one combinable aggregate, nothing is shuffled
+        shares = [i / buckets for i in range(1, buckets)]
+        cuts = df.agg(F.percentile_approx(order[0], shares, 10000)).first()[0] if shares else []
+        return [(c,) for c in sorted(set(cuts or []))]
     ranged = df.select(*order).repartitionByRange(buckets, *[F.col(c).asc() for c in order])
     key = F.struct(*[F.col(c) for c in order])
     lows = ranged.groupBy(F.spark_partition_id().alias("p")).agg(F.min(key).alias("low"))

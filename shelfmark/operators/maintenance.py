@@ -48,7 +48,7 @@ def grouped_bulk_update(changes: DataFrame, key: str, targets: Sequence[str],
 
 
 def delete_by_keys(target: DataFrame, keys: DataFrame, on: Sequence[str]) -> DataFrame:
-    return target.join(keys.select(*on).distinct(), list(on), "left_anti")
+    return target.join(keys.select(*on), list(on), "left_anti")
 
 
 def delete_by_prefix(target: DataFrame, path: str, prefix: str) -> DataFrame:

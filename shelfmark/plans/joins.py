@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from shelfmark.functions import names as N
 from shelfmark.operators import dictionary as D
 from shelfmark.operators import joins as J
-from shelfmark.operators.lanes import keep_ranked
+from shelfmark.operators.lanes import attach_lookup, keep_ranked
 from shelfmark.plans.bindings import CUSTOMER_GEO, customer_geo
 from shelfmark.plans.columns import PART_TITLE, part_title
 from shelfmark.plans.registry import query, table
@@ -19,7 +19,7 @@ def _(s, sf):
     geo = customer_geo(s, sf).filter(c("c_mktsegment") != "FURNITURE").withColumn(
         "district", F.when(c("district") == "NATION_3", "").otherwise(c("district")))
     o = table(s, sf, "orders").select("o_orderkey", "o_custkey")
-    return J.lookup_left_join(o, "o_custkey", geo, "c_custkey", ["city", "district"])
+    return J.lookup_left_join(o, "o_custkey", geo, "c_custkey", ["city", "district"], ["o_orderkey"])
 
 
 @query("J2", "anti_join_unknown", """select source, min(doc_id) as sample, count(*) as rows from documents where doc_id not in (select doc_id from labels) group by 1""")
@@ -143,7 +143,35 @@ def _(s, sf):
     return D.fallback_vote(names, "title", keys, cat, "case_name", "p_partkey", "city", "district").select("title", "city", "district")
 
 
-@query("J8", "resolve_location")
+FOLD = "lower(regexp_replace({}, '\\s+', '', 'g'))"
+
+
+def fold(x):
+    return FOLD.format(x)
+
+
+@query("J8", "resolve_location", rf"""with {PART_TITLE}, nm as (select distinct title from pt),
+cat as (select p_partkey, p_name as case_name, p_type as city, p_brand as district from part where p_name not like '%gear'),
+cur as (select p_name as case_name, max(p_type) as city, max(p_brand) as district, count(*) > 1 as nb from part where p_size = 50 group by 1),
+man as (select p_name as case_name, min(p_type) as city, min(p_brand) as district from part where p_name like '%gear' group by 1),
+s0 as (select title, 0 as stage, case when not nb then city end as city, case when not nb then district end as district from nm join cur on title = case_name),
+s1 as (select title, 1 as stage, city, district from nm join man on title = case_name),
+s2 as (select title, 2 as stage, city, district from nm join man on {fold("title")} = {fold("case_name")} where length({fold("title")}) >= 3),
+h as (select title, trim(regexp_extract(title, '^([^_\-]*)', 1)) as head from nm),
+b as (select *, trim(regexp_replace(head, '\s*part \d+\s*$', '')) as bare from h),
+k as (select title, unnest([title, head, bare, regexp_extract(bare, '^([a-z]+)', 1)]) as key, unnest([1, 2, 3, 4]) as tier from b),
+v as (select key, city, district from (select distinct key from k) join cat on contains(case_name, lower(key)) where length(key) >= 2
+   qualify row_number() over (partition by key order by p_partkey) <= 20),
+w as (select key, city, district from v group by 1, 2, 3 qualify row_number() over (partition by key order by count(*) desc, city, district) = 1),
+s3 as (select title, 3 as stage, arg_min(city, tier) as city, arg_min(district, tier) as district from k join w using (key) group by 1),
+loc as (select case_name, min((city, district)) as p from cat group by 1),
+q4 as (select title, p[1] as city, p[2] as district from nm join loc on contains({fold("case_name")}, {fold("title")}) or contains({fold("title")}, {fold("case_name")})),
+s4 as (select title, 4 as stage, city, district from q4 group by 1, 2, 3, 4 qualify row_number() over (partition by title order by count(*) desc, city, district) = 1),
+q5 as (select title, city, district from nm join man on contains({fold("case_name")}, {fold("title")}) or contains({fold("title")}, {fold("case_name")})),
+s5 as (select title, 5 as stage, city, district from q5 group by 1, 2, 3, 4 qualify row_number() over (partition by title order by count(*) desc, city, district) = 1),
+u as (select * from s0 union all select * from s1 union all select * from s2 union all select * from s3 union all select * from s4 union all select * from s5),
+f as (select * from u qualify row_number() over (partition by title order by stage) = 1)
+select title, stage::int as stage, city, district from nm left join f using (title)""")
 def _(s, sf):
     p = table(s, sf, "part")
     names = p.select(part_title().alias("title"))
@@ -227,9 +255,9 @@ select o_orderstatus as st, count(distinct o_custkey) as cases, count(*) as rows
 where nullif(case when o_orderpriority = '5-LOW' then '' else o_orderpriority end, '') is distinct from want group by 1""")
 def _(s, sf):
     e = s.createDataFrame([("F", "1-URGENT"), ("O", None), ("P", "2-HIGH")], "st string, prio string")
-    o = table(s, sf, "orders").select(c("o_orderstatus").alias("st"), "o_custkey", F.when(
+    o = table(s, sf, "orders").select("o_orderkey", c("o_orderstatus").alias("st"), "o_custkey", F.when(
         c("o_orderpriority") == "5-LOW", "").otherwise(c("o_orderpriority")).alias("prio"))
-    return J.mismatches(o, "st", e, ["prio"]).groupBy("st").agg(F.count_distinct("o_custkey").alias("cases"), F.count(lit(1)).alias("rows"))
+    return J.mismatches(o, "st", e, ["prio"], ["o_orderkey"]).groupBy("st").agg(F.count_distinct("o_custkey").alias("cases"), F.count(lit(1)).alias("rows"))
 
 
 def folder_tree(s, sf):
@@ -245,13 +273,14 @@ def folder_tree(s, sf):
 def _(s, sf):
     chains = J.ancestor_chains(folder_tree(s, sf), 5)
     o = table(s, sf, "orders").select("o_orderkey", F.concat(lit("c"), c("o_custkey").cast("string")).alias("parent"))
-    return o.join(chains, c("parent") == c("folder_id")).select("o_orderkey", F.array_join("chain", "/").alias("chain"))
+    found = attach_lookup(o, ["parent"], ["o_orderkey"], lambda k: k.join(chains, c("parent") == c("folder_id")), ["chain"])
+    return found.select("o_orderkey", F.array_join("chain", "/").alias("chain"))
 
 
 @query("J13", "output_case_lookup", f"""with {CUSTOMER_GEO} select o_orderkey, district as case_name from orders join cg on o_custkey = c_custkey where c_mktsegment = 'MACHINERY'""")
 def _(s, sf):
     o = table(s, sf, "orders").select("o_orderkey", F.concat(lit("c"), c("o_custkey").cast("string")).alias("parent"))
-    return J.output_case(o, "parent", folder_tree(s, sf), "MACHINERY").select("o_orderkey", "case_name")
+    return J.output_case(o, "parent", folder_tree(s, sf), "MACHINERY", ["o_orderkey"]).select("o_orderkey", "case_name")
 
 
 @query("J14", "place_area_check", """select p_partkey, case when contains(p_name, 'ring') then 'PROMO' when contains(p_name, 'bolt') then 'SMALL' end as place_city,

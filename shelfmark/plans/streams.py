@@ -16,6 +16,10 @@ def events(s, sf):
     return table(s, sf, "events").withColumn("ts", c("ts").cast("timestamp"))
 
 
+def cores(s):
+    return s.sparkContext.defaultParallelism
+
+
 def ntz(text):
     return lit(text).cast("timestamp")
 
@@ -37,7 +41,7 @@ def _(s, sf):
     e = events(s, sf)
     e.write.parquet(src)
     e.filter(c("event_type") != "view").write.mode("append").parquet(src)
-    T.drain(T.dedup(T.file_feed(s, src, EVENTS), "event_id", "ts", "31 days"), T.batch_writer(out), chk)
+    T.drain(T.dedup(T.file_feed(s, src, EVENTS), "event_id", "ts", "31 days"), T.batch_writer(out), chk, state_partitions=cores(s))
     return s.read.schema(EVENTS).parquet(out).select("event_id", "event_type")
 
 
@@ -96,7 +100,7 @@ def _(s, sf):
     act = T.file_feed(s, src, EVENTS).filter(c("event_type") == "purchase").select(
         (c("event_id") - 1).alias("action_token"), c("event_id").alias("action_id"),
         F.timestamp_micros(F.unix_micros("ts") + hours * 3_600_000_000).alias("at"))
-    T.drain(T.pending_approvals(req, act).select("token", "action_id"), T.batch_writer(out), chk)
+    T.drain(T.pending_approvals(req, act).select("token", "action_id"), T.batch_writer(out), chk, state_partitions=cores(s))
     return s.read.schema("token bigint, action_id bigint").parquet(out).drop("batch_id")
 
 
@@ -104,6 +108,6 @@ def _(s, sf):
 def _(s, sf):
     src, out, chk = (shared_path(s, x) for x in ("feed", "state", "chk"))
     events(s, sf).write.parquet(src)
-    T.drain(T.daily_counts(T.file_feed(s, src, EVENTS), "ts", ["event_type"]), T.snapshot_writer(out), chk, "complete")
+    T.drain(T.daily_counts(T.file_feed(s, src, EVENTS), "ts", ["event_type"]), T.snapshot_writer(out), chk, "complete", cores(s))
     snap = T.latest_state(s, out, "day date, event_type string, rows bigint")
     return W.run_delta(snap, ["event_type"], "day", ["rows"])

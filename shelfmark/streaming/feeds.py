@@ -36,9 +36,20 @@ def _start(stream: DataFrame, handler: Handler, checkpoint: str, mode: str = "ap
     return (out.trigger(processingTime=every) if every else out.trigger(availableNow=True)).start()
 
 
-def drain(stream: DataFrame, handler: Handler, checkpoint: str, mode: str = "append") -> None:
-    """Process everything that is there now and stop; the checkpoint is the resume token."""
-    _start(stream, handler, checkpoint, mode).awaitTermination()
+def drain(stream: DataFrame, handler: Handler, checkpoint: str, mode: str = "append",
+          state_partitions: int | None = None) -> None:
+    """Process everything that is there now and stop; the checkpoint is the resume token.
+
+    ``state_partitions`` sizes the state store; it is fixed by the first run of a checkpoint.
+    """
+    conf, name = stream.sparkSession.conf, "spark.sql.shuffle.partitions"
+    before = conf.get(name)
+    try:
+        if state_partitions:
+            conf.set(name, str(state_partitions))
+        _start(stream, handler, checkpoint, mode).awaitTermination()
+    finally:
+        conf.set(name, before)
 
 
 def watch(stream: DataFrame, handler: Handler, checkpoint: str, every: str = "600 seconds") -> StreamingQuery:

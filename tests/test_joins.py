@@ -33,7 +33,7 @@ def test_override_levels(spark):
 def test_mismatch_treats_blank_as_null(spark):
     df = spark.createDataFrame([(1, "a", None, ""), (2, "a", "x", None), (3, "b", "x", "y"), (4, "z", "q", "q")], "id int, k string, city string, d string")
     exp = spark.createDataFrame([("a", "", None), ("b", "x", "y")], "k string, city string, d string")
-    assert rows(J.mismatches(df, "k", exp, ["city", "d"]), "id") == [(2,)]
+    assert rows(J.mismatches(df, "k", exp, ["city", "d"], ["id"]), "id") == [(2,)]
 
 
 def norm(c):
@@ -77,7 +77,7 @@ def test_ancestors_and_output_folder(spark):
     assert rows(J.ancestor_chains(folders, 5)) == sorted([("r", ["root"]), ("a", ["案", "root"]), ("o", ["輸出", "案", "root"]), ("z", ["輸出"])], key=repr)
     assert {r[0]: len(r[1]) for r in rows(J.ancestor_chains(folders, 2))} == {"r": 1, "a": 2, "o": 2, "z": 1}
     files = spark.createDataFrame([(1, "o"), (2, "a"), (3, "z"), (4, None)], "id int, parent string")
-    assert rows(J.output_case(files, "parent", folders, "輸出"), "id", "case_name") == [(1, "案")]
+    assert rows(J.output_case(files, "parent", folders, "輸出", ["id"]), "id", "case_name") == [(1, "案")]
 
 
 def test_approvals(spark):

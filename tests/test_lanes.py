@@ -84,3 +84,23 @@ def test_keep_ranked_limits_before_the_shuffle(df, data):
     assert sorted(r.id for r in top.collect()) == want
     plan = top._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan and "Partial" in plan
+
+
+def test_keep_ranked_beyond_the_group_limit(spark, df, data):
+    spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", 10)
+    try:
+        got = L.keep_ranked(df, ["k"], [F.asc("v"), F.asc("id")], 50)
+        want = sorted(x[0] for rows in by_key(data).values() for x in sorted(rows, key=lambda x: (x[3], x[0]))[:50])
+        assert sorted(r.id for r in got.collect()) == want
+    finally:
+        spark.conf.unset("spark.sql.optimizer.windowGroupLimitThreshold")
+
+
+def test_numbered_over_text_and_dates(spark):
+    import datetime as dt
+    items = [(f"n{i % 13}-{i}", dt.date(2024, 1, 1) + dt.timedelta(days=i % 40), i) for i in range(500)]
+    t = spark.createDataFrame(items, "s string, d date, i int")
+    by_text = {r.s: r.rn for r in L.numbered(t, ["s"], buckets=20).collect()}
+    assert by_text == {s: n for n, s in enumerate(sorted(x[0] for x in items), 1)}
+    got = {r.i: r.rn for r in L.numbered(t, ["d", "i"], buckets=90).collect()}
+    assert got == {x[2]: n for n, x in enumerate(sorted(items, key=lambda x: (x[1], x[2])), 1)}
