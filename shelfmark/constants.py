@@ -48,3 +48,33 @@ DISK_PERCENT = (80, 90)
 BACKUP_AGE_HOURS = (26, 30)
 BACKLOG_WARN = 200
 SNAPSHOT_AGE_HOURS = 3
+
+# --- fixed values: patterns and formats ---
+ORDERED_NAME = r"^(\d+)_?\s*(.+)$"
+DATED_NAME = r"^(\d{4})(.+)$"
+VERSION_MARK = r"\s+V(\d+)\b"                              # any letter case
+DATE_CELL = r"^\d{1,2}/\d{1,2}"
+DATE_CELL_MAX_LEN = 10
+EDITOR_PAREN = r"[（(]([^）)\n]+)[）)]"
+EDITOR_PAREN_END = r"\s*[（(][^）)\n]+[）)]\s*$"
+TITLE_PAREN = r"\s*[（(][^）)]+[）)]\s*"
+TITLE_DATE = r"^\s*\d{1,2}\s*[/／]\s*\d{1,2}\s*"
+TITLE_NUMBER = r"^\s*\d{3,4}\s*"
+TITLE_TIMES = r"\s*\*\s*\d+\s*$"
+TITLE_JOINTS = " 、_-"
+TAIL_SPLIT = r"[_\s)）]+"
+KEY_HEAD_STOP = r"_\-－"
+BUILDING_NOISE = r"[\s\-_（）()【】［］\[\]]"
+CASE_PART = r"\s*\(\s*\d+\s*[-/].*$"
+NOISE_URL_NUMBER = r"^\d+%3A\d+\s*"
+NOISE_MMDD = r"^\d{4}\s*"
+NOISE_PAREN = r"[（(].*?[)）]"
+NOISE_TAIL_NUMBER = r"\s*\d+$"
+ENTRY_EDITOR = r"\(([^)]+)\)$"
+ENTRY_DATE = r"^\d+/\d+\s*"
+UNSAFE_TAG_CHARS = r'[\\/:*?"<>|]'
+PLACE_CHARS = r"^[\p{L}\p{N}_\-()（）]+$"
+PERIOD_TITLE = r"^(\d{4})年(?:(\d{1,2})月)?$"
+FENCED_JSON = r"(?s)```(?:json)?\s*(\{.*?\})\s*```"
+LOOSE_JSON = r"(?s)(\{.*\})"
+WEEKDAY_FORMAT = "%d/%d（%s）"

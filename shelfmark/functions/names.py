@@ -19,7 +19,7 @@ def alternation(words: Sequence[str]) -> str:
 
 def tail_token(name: Column) -> Column:
     """Last fragment after '_', white space or a closing parenthesis."""
-    return F.element_at(F.split(strip(name), r"[_\s)）]+"), -1)
+    return F.element_at(F.split(strip(name), C.TAIL_SPLIT), -1)
 
 
 def normalize_city(city: Column, variants: dict[str, str], units: str) -> Column:
@@ -56,24 +56,24 @@ def detect_labels(candidates: Sequence[Column], pattern: str, labels: dict[str,
 def clean_title(text: Column, leading: Sequence[str], boundary: Sequence[str], trailing: Sequence[str]) -> Column:
     """Searchable title out of a raw schedule cell."""
     s = strip(F.regexp_extract(text, r"^([^\n\r]*)", 1))
-    s = strip(F.regexp_replace(s, r"\s*[（(][^）)]+[）)]\s*", " "))
+    s = strip(F.regexp_replace(s, C.TITLE_PAREN, " "))
     for w in leading:
-        s = F.when(s.startswith(w), F.regexp_replace(F.substr(s, F.lit(len(w) + 1)), r"^[ 、_-]+", "")).otherwise(s)
-    s = F.regexp_replace(s, r"^\s*\d{1,2}\s*[/／]\s*\d{1,2}\s*", "")
-    s = F.regexp_replace(s, r"^\s*\d{3,4}\s*", "")
+        s = F.when(s.startswith(w), F.regexp_replace(F.substr(s, F.lit(len(w) + 1)), f"^[{C.TITLE_JOINTS}]+", "")).otherwise(s)
+    s = F.regexp_replace(s, C.TITLE_DATE, "")
+    s = F.regexp_replace(s, C.TITLE_NUMBER, "")
     if boundary:
         # the shortest text in front of any boundary word
         s = F.regexp_replace(s, f"(?s)(?:{alternation(boundary)}).*$", "")
     s = strip(s)
-    s = F.regexp_replace(s, r"\s*\*\s*\d+\s*$", "")
+    s = F.regexp_replace(s, C.TITLE_TIMES, "")
     if trailing:
-        s = F.regexp_replace(s, f"(?:[ 、_-]*(?:{alternation(trailing)}))+$", "")
+        s = F.regexp_replace(s, f"(?:[{C.TITLE_JOINTS}]*(?:{alternation(trailing)}))+$", "")
     return strip(F.regexp_replace(s, r"\s+", " "))
 
 
 def search_key_cascade(name: Column, part_pattern: str, script_class: str) -> Column:
     """Keys from strong to weak: whole, before '_'/'-', without a trailing part number, leading script block."""
-    head = strip(F.regexp_extract(name, r"^([^_\-－]*)", 1))
+    head = strip(F.regexp_extract(name, f"^([^{C.KEY_HEAD_STOP}]*)", 1))
     bare = strip(F.regexp_replace(head, part_pattern, ""))
     base = F.when(bare != "", bare).otherwise(head)
     block = F.regexp_extract(base, f"^([{script_class}]+)", 1)
@@ -92,23 +92,23 @@ def normalize_for_match(s: Column) -> Column:
 
 
 def normalize_building(s: Column) -> Column:
-    return F.upper(F.regexp_replace(s, r"[\s\-_（）()【】［］\[\]]", ""))
+    return F.upper(F.regexp_replace(s, C.BUILDING_NOISE, ""))
 
 
 def normalize_case(name: Column, link_text: str) -> Column:
     """Cut at the link line or at '(n-' / '(n/', squeeze white space."""
     s = F.regexp_replace(F.coalesce(name, F.lit("")), r"(?s)\s*\n\s*" + re.escape(link_text) + ".*$", "")
-    s = F.regexp_replace(s, r"(?s)\s*\(\s*\d+\s*[-/].*$", "")
+    s = F.regexp_replace(s, "(?s)" + C.CASE_PART, "")
     return strip(F.regexp_replace(s, r"\s+", " "))
 
 
 def clean_noise_tokens(name: Column, noise: str) -> Column:
     """Numeric prefix, mmdd prefix, parentheses, noise words, trailing number."""
-    s = F.regexp_replace(name, r"^\d+%3A\d+\s*", "")
-    s = F.regexp_replace(s, r"^\d{4}\s*", "")
-    s = F.regexp_replace(s, r"[（(].*?[)）]", "")
+    s = F.regexp_replace(name, C.NOISE_URL_NUMBER, "")
+    s = F.regexp_replace(s, C.NOISE_MMDD, "")
+    s = F.regexp_replace(s, C.NOISE_PAREN, "")
     s = F.regexp_replace(s, rf"\s*(?:{noise})+\s*", "")
-    return strip(F.regexp_replace(s, r"\s*\d+$", ""))
+    return strip(F.regexp_replace(s, C.NOISE_TAIL_NUMBER, ""))
 
 
 def name_similarity_accept(a: Column, b: Column, share: float = C.NAME_OVERLAP_SHARE) -> Column:
@@ -123,12 +123,9 @@ def prefix_similarity_accept(a: Column, b: Column, n: int = 3) -> Column:
     return y.contains(F.left(x, F.lit(n))) | x.contains(F.left(y, F.lit(n)))
 
 
-_PAREN = r"[（(]([^）)\n]+)[）)]"
-
-
 def editor_tag(text: Column, tags: Sequence[str]) -> Column:
     """First listed tag inside the first parentheses."""
-    inside = strip(F.regexp_extract(F.coalesce(text, F.lit("")), _PAREN, 1))
+    inside = strip(F.regexp_extract(F.coalesce(text, F.lit("")), C.EDITOR_PAREN, 1))
     out = F.lit(None).cast("string")
     for t in reversed(list(tags)):
         out = F.when(inside.contains(t), F.lit(t)).otherwise(out)
@@ -136,16 +133,16 @@ def editor_tag(text: Column, tags: Sequence[str]) -> Column:
 
 
 def remove_editor_tag(text: Column) -> Column:
-    return strip(F.regexp_replace(text, r"\s*[（(][^）)\n]+[）)]\s*$", ""))
+    return strip(F.regexp_replace(text, C.EDITOR_PAREN_END, ""))
 
 
 def parse_schedule_entry(text: Column) -> Column:
     """struct(title, editor): the closing '(..)' is the editor, a leading m/d goes away."""
-    pat = r"\(([^)]+)\)$"
+    pat = C.ENTRY_EDITOR
     hit = strip(text).rlike(pat)
     body = F.when(hit, strip(F.regexp_replace(strip(text), pat, ""))).otherwise(text)
     return F.struct(
-        strip(F.regexp_replace(body, r"^\d+/\d+\s*", "")).alias("title"),
+        strip(F.regexp_replace(body, C.ENTRY_DATE, "")).alias("title"),
         F.when(hit, F.regexp_extract(strip(text), pat, 1)).alias("editor"),
     )
 

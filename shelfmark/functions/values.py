@@ -69,7 +69,7 @@ def model_status(excluded: Column, has_context: Column, file_found: Column, fram
 
 def auto_apply_reason(confidence: Column, place: Column, excluded: Column, n_cities: Column,
                       min_conf: float = C.AUTO_APPLY_CONFIDENCE_MIN, max_len: int = C.AUTO_APPLY_PLACE_MAX_LEN,
-                      allowed: str = r"^[\p{L}\p{N}_\-()（）]+$") -> Column:
+                      allowed: str = C.PLACE_CHARS) -> Column:
     """'ok', or the first reason an automatic rename needs a person."""
     conf = F.coalesce(confidence, F.lit(0.0))
     p = F.coalesce(place, F.lit(""))
@@ -98,10 +98,10 @@ def parse_iso_ts(text: Column) -> Column:
 
 def is_date_cell(text: Column) -> Column:
     t = F.regexp_replace(F.coalesce(text, F.lit("")), r"^\s+|\s+$", "")
-    return t.rlike(r"^\d{1,2}/\d{1,2}") & (F.length(t) <= 10)
+    return t.rlike(C.DATE_CELL) & (F.length(t) <= C.DATE_CELL_MAX_LEN)
 
 
-def weekday_label(day: Column, names: Sequence[str], fmt: str = "%d/%d（%s）") -> Column:
+def weekday_label(day: Column, names: Sequence[str], fmt: str = C.WEEKDAY_FORMAT) -> Column:
     """M/D with the weekday name, Monday first in ``names``."""
     name = F.element_at(F.array(*[F.lit(n) for n in names]), F.weekday(day) + 1)
     return F.format_string(fmt, F.month(day), F.dayofmonth(day), name)
@@ -118,8 +118,8 @@ def split_multi_value(text: Column, sep: str = "[/,]") -> Column:
 
 def json_from_noisy_text(text: Column, schema: str) -> Column:
     """Parse the fenced JSON object of an answer, else its widest {..}; null when there is none."""
-    fenced = F.regexp_extract(text, r"(?s)```(?:json)?\s*(\{.*?\})\s*```", 1)
-    loose = F.regexp_extract(text, r"(?s)(\{.*\})", 1)
+    fenced = F.regexp_extract(text, C.FENCED_JSON, 1)
+    loose = F.regexp_extract(text, C.LOOSE_JSON, 1)
     return F.from_json(F.coalesce(blank_to_null(fenced), blank_to_null(loose)), schema)
 
 

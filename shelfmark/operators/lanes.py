@@ -20,6 +20,8 @@ from pyspark.sql import types as T
 LANES = 4096
 MAX_BUCKETS = 4096
 FINE = 64
+ROWS_PER_BUCKET = 1_000_000
+_PERCENTILE_TYPES = (T.IntegralType, T.DateType, T.TimestampType, T.TimestampNTZType)
 
 _PARTIAL = {
     "count": lambda c: F.count(c), "sum": F.sum, "min": F.min, "max": F.max,
@@ -98,14 +100,27 @@ def keep_ranked(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k:
     return out if rank_col else out.drop(name)
 
 
-def _split_points(df: DataFrame, order: Sequence[str], buckets: int) -> list[tuple]:
-    """Lower bounds of ``buckets`` even ranges of the order columns (at most MAX_BUCKETS rows)."""
-    if len(order) == 1 and isinstance(df.schema[order[0]].dataType, (T.IntegralType, T.DateType, T.TimestampType, T.TimestampNTZType)):
+def _split_points(df: DataFrame, order: Sequence[str], buckets: int | None) -> list[tuple]:
+    """Lower bounds of even ranges of the order columns; at most MAX_BUCKETS come to the driver.
+
+    Without ``buckets`` there is one range per ROWS_PER_BUCKET rows.
+    """
+    most = buckets or MAX_BUCKETS
+
+    def wanted(rows: int) -> int:
+        return buckets or max(1, min(-(-rows // ROWS_PER_BUCKET), most))
+
+    if len(order) == 1 and isinstance(df.schema[order[0]].dataType, _PERCENTILE_TYPES):
         # one combinable aggregate, nothing is shuffled
-        shares = [i / buckets for i in range(1, buckets)]
-        cuts = df.agg(F.percentile_approx(order[0], shares, 10000)).first()[0] if shares else []
-        return [(c,) for c in sorted(set(cuts or []))]
-    ranged = df.select(*order).repartitionByRange(buckets, *[F.col(c).asc() for c in order])
+        shares = [i / most for i in range(1, most)] or [0.5]
+        row = df.agg(F.count(F.lit(1)).alias("n"), F.percentile_approx(order[0], shares, 10 * most).alias("cuts")).first()
+        n = wanted(row["n"])
+        cuts = row["cuts"] or []
+        return [(x,) for x in sorted({cuts[i * most // n - 1] for i in range(1, n)})] if cuts else []
+    n = buckets or wanted(df.count())
+    if n == 1:
+        return []
+    ranged = df.select(*order).repartitionByRange(n, *[F.col(c).asc() for c in order])
     key = F.struct(*[F.col(c) for c in order])
     lows = ranged.groupBy(F.spark_partition_id().alias("p")).agg(F.min(key).alias("low"))
     found = sorted((r["p"], tuple(r["low"])) for r in lows.collect())
@@ -120,9 +135,6 @@ def range_bucket(df: DataFrame, order: Sequence[str], buckets: int | None = None
     afterwards, so every branch and every retry sees the same buckets. A row is placed by
     binary search over every FINE-th point, then among the FINE points of its stretch.
     """
-    if buckets is None:
-        wanted = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        buckets = max(1, min(wanted, MAX_BUCKETS))
     lows = _split_points(df, order, buckets)
     key = F.struct(*[F.col(c) for c in order])
     types = df.select(*order).schema

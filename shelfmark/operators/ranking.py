@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfmark import constants as C
+
 
 def top_counts(df: DataFrame, column: str, n: int = 30) -> DataFrame:
     counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("rows"))
@@ -21,7 +23,7 @@ def preview_with_remainder(df: DataFrame, order: Sequence[Column], n: int = 20)
 
 def latest_named_period(df: DataFrame, title: str) -> DataFrame:
     """Latest of the titles 'YYYY年M月' / 'YYYY年'; a bare year ranks after all its months."""
-    pat = r"^(\d{4})年(?:(\d{1,2})月)?$"
+    pat = C.PERIOD_TITLE
     y = F.regexp_extract(title, pat, 1).try_cast("int")
     m = F.coalesce(F.regexp_extract(title, pat, 2).try_cast("int"), F.lit(13))
     found = df.filter(F.col(title).rlike(pat)).withColumn("_y", y).withColumn("_m", m)

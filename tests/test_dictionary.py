@@ -35,8 +35,8 @@ def test_gazetteer(ev):
 
 
 def test_progressive_prefix(spark):
-    lookup = spark.createDataFrame([("安曼", "林口"), ("安曼莊", "八里"), ("安", "x")], "key string, value string")
-    df = spark.createDataFrame([(1, "安曼莊園"), (2, "安曼x"), (3, "安樂"), (4, "在桃園林口台北新竹"), (5, None)], "id int, n string")
+    lookup = spark.createDataFrame([("海風", "林口"), ("海風莊", "八里"), ("安", "x")], "key string, value string")
+    df = spark.createDataFrame([(1, "海風莊園"), (2, "海風x"), (3, "安樂"), (4, "在桃園林口台北新竹"), (5, None)], "id int, n string")
     got = D.progressive_prefix_lookup(df, "n", lookup, ["台北", "林口", "桃園", "新竹"], "台北", row_key=["id"])
     assert rows(got, "id", "found") == [(1, "八里"), (2, "林口"), (3, "台北"), (4, "台北,林口,桃園"), (5, "台北")]
 
@@ -50,11 +50,11 @@ def keys(c):
 
 def test_fallback_vote_first_key_decides(spark):
     catalog = spark.createDataFrame(
-        [(1, "吉祥如藝A", "台北", "松山"), (2, "吉祥如藝B", "台北", None), (3, "吉祥如藝B", "台北", None), (4, "雲宇宙_直式", None, None),
-         (5, "雲宇宙", "桃園", "x"), (6, "ABC莊", "台中", "y")], "id int, case string, city string, district string")
-    names = spark.createDataFrame([("吉祥如藝第二篇",), ("雲宇宙_直式",), ("abc",), ("無此案",)], "n string")
+        [(1, "青山樂章A", "台北", "松山"), (2, "青山樂章B", "台北", None), (3, "青山樂章B", "台北", None), (4, "星河灣_直式", None, None),
+         (5, "星河灣", "桃園", "x"), (6, "ABC莊", "台中", "y")], "id int, case string, city string, district string")
+    names = spark.createDataFrame([("青山樂章第二篇",), ("星河灣_直式",), ("abc",), ("無此案",)], "n string")
     got = D.fallback_vote(names, "n", keys(F.col("n")), catalog, "case", "id", "city", "district")
-    assert rows(got) == sorted([("吉祥如藝第二篇", 1, "台北", ""), ("雲宇宙_直式", 1, "桃園", "x"), ("abc", 0, "台中", "y")], key=repr)
+    assert rows(got) == sorted([("青山樂章第二篇", 1, "台北", ""), ("星河灣_直式", 1, "桃園", "x"), ("abc", 0, "台中", "y")], key=repr)
 
 
 def test_fallback_vote_counts_twenty_rows_per_key(spark):

@@ -28,15 +28,15 @@ def test_path_translate_edges(ev):
 
 
 def test_parse_ordered_name(ev):
-    got = ev(P.parse_ordered_name, ["2_琦", "03 Name ", "12", "Name", "7_"])
+    got = ev(P.parse_ordered_name, ["2_甲", "03 Name ", "12", "Name", "7_"])
     # a pure number splits into its leading digits and the last one, as the pattern demands
-    assert [tuple(g) for g in got] == [(2, "琦"), (3, "Name"), (1, "2"), (None, "Name"), (7, "_")]
+    assert [tuple(g) for g in got] == [(2, "甲"), (3, "Name"), (1, "2"), (None, "Name"), (7, "_")]
 
 
 def test_parse_mmdd_prefix(ev):
-    got = ev(lambda c: P.parse_mmdd_prefix(c, F.lit(2026)), ["0421安曼", "0230 x", "1301 x", "0000x", "0101", "x0101y"])
+    got = ev(lambda c: P.parse_mmdd_prefix(c, F.lit(2026)), ["0421海風", "0230 x", "1301 x", "0000x", "0101", "x0101y"])
     assert [tuple(g) for g in got] == [
-        (dt.date(2026, 4, 21), "安曼"), (None, "x"), (None, "1301 x"), (None, "0000x"), (None, "0101"), (None, "x0101y")]
+        (dt.date(2026, 4, 21), "海風"), (None, "x"), (None, "1301 x"), (None, "0000x"), (None, "0101"), (None, "x0101y")]
 
 
 def test_extract_version(ev):
@@ -47,21 +47,21 @@ def test_extract_version(ev):
 
 
 def test_case_name_skips_layers(spark):
-    df = spark.createDataFrame([("0_業配", "輸出//北部/案甲/x"), ("案乙", "a"), ("0_業配", ""), ("0_業配", None)], "f string, s string")
-    got = df.select(P.derive_case_name(F.col("f"), F.col("s"), ["0_業配", "北部"], ["輸出"]).alias("n")).collect()
-    assert [r.n for r in got] == ["案甲", "案乙", "0_業配", "0_業配"]
+    df = spark.createDataFrame([("0_專案", "成品//北部/案甲/x"), ("案乙", "a"), ("0_專案", ""), ("0_專案", None)], "f string, s string")
+    got = df.select(P.derive_case_name(F.col("f"), F.col("s"), ["0_專案", "北部"], ["成品"]).alias("n")).collect()
+    assert [r.n for r in got] == ["案甲", "案乙", "0_專案", "0_專案"]
 
 
 def test_category_override_then_first_rule(spark):
-    df = spark.createDataFrame([("空景", "x/raw"), ("ch", "a/Drone/A cam"), ("ch", "CAM/b"), ("ch", "none")], "c string, p string")
+    df = spark.createDataFrame([("風景", "x/raw"), ("ch", "a/Drone/A cam"), ("ch", "CAM/b"), ("ch", "none")], "c string, p string")
     rules = [("drone", "aerial"), ("cam", "tape")]
-    got = df.select(P.derive_category(F.col("c"), F.col("p"), {"空景": "view"}, rules, "tape?").alias("n")).collect()
+    got = df.select(P.derive_category(F.col("c"), F.col("p"), {"風景": "view"}, rules, "tape?").alias("n")).collect()
     assert [r.n for r in got] == ["view", "aerial", "tape", "tape?"]
 
 
 def test_derive_tags_sorted_distinct(spark):
-    df = spark.createDataFrame([("輸出/ 北部 /b//b", "案", "頻", "f.x.mp4"), (None, "", None, ".mp4")], "s string, c string, h string, n string")
-    got = df.select(P.derive_tags(F.col("s"), F.col("c"), F.col("h"), F.col("n"), ["北部"], ["輸出"]).alias("t")).collect()
+    df = spark.createDataFrame([("成品/ 北部 /b//b", "案", "頻", "f.x.mp4"), (None, "", None, ".mp4")], "s string, c string, h string, n string")
+    got = df.select(P.derive_tags(F.col("s"), F.col("c"), F.col("h"), F.col("n"), ["北部"], ["成品"]).alias("t")).collect()
     assert got[0].t == sorted(["b", "案", "頻", "f.x"]) and got[1].t == []
 
 
@@ -90,29 +90,29 @@ def test_normalize_city_and_district(ev):
 
 
 def test_detect_labels_first_seen(spark):
-    df = spark.createDataFrame([("案七期14期", "水湳/7期"), (None, "x")], "a string, b string")
+    df = spark.createDataFrame([("案七期14期", "河濱/7期"), (None, "x")], "a string, b string")
     labels = {"7": "七期", "14": "十四期", "七": "七期"}
-    got = df.select(N.detect_labels([F.col("a"), F.col("b")], "(14|七|7)期", labels, ["水湳"]).alias("l")).collect()
-    assert [r.l for r in got] == ["七期 十四期 水湳", None]
+    got = df.select(N.detect_labels([F.col("a"), F.col("b")], "(14|七|7)期", labels, ["河濱"]).alias("l")).collect()
+    assert [r.l for r in got] == ["七期 十四期 河濱", None]
 
 
 def test_clean_title(ev):
-    clean = lambda c: N.clean_title(c, ["Amber", "Ivy"], ["短影", "雙機"], ["即賞屋", "雙機"])
-    assert ev(clean, ["Amber 4/21 安曼短影 雙機", "0422 雲宇宙 (林)\n雲端連結", "甲案 - 即賞屋雙機", "甲*3", "", None]) == [
-        "安曼", "雲宇宙", "甲案", "甲", "", None]
+    clean = lambda c: N.clean_title(c, ["Nora", "Zoe"], ["短影", "雙機"], ["即賞屋", "雙機"])
+    assert ev(clean, ["Nora 4/21 海風短影 雙機", "0422 星河灣 (林)\n下載連結", "甲案 - 即賞屋雙機", "甲*3", "", None]) == [
+        "海風", "星河灣", "甲案", "甲", "", None]
 
 
 def test_search_key_cascade(ev):
     part = r"\s*第[一二三四五六七八九十百\d]+(篇|段|集)\s*$"
-    got = ev(lambda c: N.search_key_cascade(c, part, HAN), ["吉祥如藝第二篇", "雲宇宙_直式", "案", "", "好案abc"])
-    assert got == [["吉祥如藝第二篇", "吉祥如藝"], ["雲宇宙_直式", "雲宇宙"], ["案"], [], ["好案abc", "好案"]]
+    got = ev(lambda c: N.search_key_cascade(c, part, HAN), ["青山樂章第二篇", "星河灣_直式", "案", "", "好案abc"])
+    assert got == [["青山樂章第二篇", "青山樂章"], ["星河灣_直式", "星河灣"], ["案"], [], ["好案abc", "好案"]]
 
 
 def test_editor_tags(ev):
     assert ev(lambda c: N.editor_tag(c, ["林", "王"]), ["案（王林）", "案(王)", "案", None, "(x)(王)"]) == ["林", "王", None, None, None]
     assert ev(N.remove_editor_tag, ["案 （王）", "a (x) b (y) "]) == ["案", "a (x) b"]
-    got = ev(N.parse_schedule_entry, ["4/8安曼-A(王)", "安曼 (x) y"])
-    assert [tuple(g) for g in got] == [("安曼-A", "王"), ("安曼 (x) y", None)]
+    got = ev(N.parse_schedule_entry, ["4/8海風-A(王)", "海風 (x) y"])
+    assert [tuple(g) for g in got] == [("海風-A", "王"), ("海風 (x) y", None)]
 
 
 def test_is_non_case(ev):
@@ -127,7 +127,7 @@ def test_place_suffix_and_script(ev):
 
 
 def test_similarity_accept(spark):
-    df = spark.createDataFrame([("安曼-A", "安曼a棟"), ("abc", "xyz"), ("abcde", "abcxy"), ("[甲]", "甲乙")], "a string, b string")
+    df = spark.createDataFrame([("海風-A", "海風a棟"), ("abc", "xyz"), ("abcde", "abcxy"), ("[甲]", "甲乙")], "a string, b string")
     got = df.select(N.name_similarity_accept(F.col("a"), F.col("b")).alias("y")).collect()
     assert [r.y for r in got] == [True, False, True, True]
 
@@ -147,9 +147,9 @@ def test_remove_token(ev):
 
 
 def test_trigram_similarity(spark):
-    df = spark.createDataFrame([("word", "two words"), ("same", "same"), ("", ""), ("吉祥如藝", "吉祥"), ("é a", "é")], "a string, b string")
+    df = spark.createDataFrame([("word", "two words"), ("same", "same"), ("", ""), ("青山樂章", "青山"), ("é a", "é")], "a string, b string")
     got = [round(r.y, 4) for r in df.select(X.trigram_similarity(F.col("a"), F.col("b")).alias("y")).collect()]
-    # han: {"  吉"," 吉祥","吉祥如","祥如藝","如藝 "} and {"  吉"," 吉祥","吉祥 "} share two of six
+    # han: {"  青"," 青山","青山如","山樂藝","樂章 "} and {"  青"," 青山","青山 "} share two of six
     assert got == [0.3636, 1.0, 0.0, 0.3333, 0.5]
 
 

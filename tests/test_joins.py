@@ -37,7 +37,7 @@ def test_mismatch_treats_blank_as_null(spark):
 
 
 def norm(c):
-    return N.normalize_case(c, "雲端連結")
+    return N.normalize_case(c, "下載連結")
 
 
 def test_tiers(spark):
@@ -73,11 +73,11 @@ def test_reconcile(spark):
 
 
 def test_ancestors_and_output_folder(spark):
-    folders = spark.createDataFrame([("r", "root", None), ("a", "案", "r"), ("o", "輸出", "a"), ("z", "輸出", None)], "folder_id string, name string, parent_id string")
-    assert rows(J.ancestor_chains(folders, 5)) == sorted([("r", ["root"]), ("a", ["案", "root"]), ("o", ["輸出", "案", "root"]), ("z", ["輸出"])], key=repr)
+    folders = spark.createDataFrame([("r", "root", None), ("a", "案", "r"), ("o", "成品", "a"), ("z", "成品", None)], "folder_id string, name string, parent_id string")
+    assert rows(J.ancestor_chains(folders, 5)) == sorted([("r", ["root"]), ("a", ["案", "root"]), ("o", ["成品", "案", "root"]), ("z", ["成品"])], key=repr)
     assert {r[0]: len(r[1]) for r in rows(J.ancestor_chains(folders, 2))} == {"r": 1, "a": 2, "o": 2, "z": 1}
     files = spark.createDataFrame([(1, "o"), (2, "a"), (3, "z"), (4, None)], "id int, parent string")
-    assert rows(J.output_case(files, "parent", folders, "輸出", ["id"]), "id", "case_name") == [(1, "案")]
+    assert rows(J.output_case(files, "parent", folders, "成品", ["id"]), "id", "case_name") == [(1, "案")]
 
 
 def test_approvals(spark):

@@ -104,3 +104,14 @@ def test_numbered_over_text_and_dates(spark):
     assert by_text == {s: n for n, s in enumerate(sorted(x[0] for x in items), 1)}
     got = {r.i: r.rn for r in L.numbered(t, ["d", "i"], buckets=90).collect()}
     assert got == {x[2]: n for n, x in enumerate(sorted(items, key=lambda x: (x[1], x[2])), 1)}
+
+
+@pytest.mark.parametrize("size", [40, 700])
+def test_buckets_follow_the_row_count(df, data, monkeypatch, size):
+    monkeypatch.setattr(L, "ROWS_PER_BUCKET", size)
+    assert {r.id: r.rn for r in L.numbered(df, ["id"]).collect()} == {i: i + 1 for i in range(3000)}
+    n = L.range_bucket(df, ["id"]).select("_bucket").distinct().count()
+    assert abs(n - 3000 / size) <= 2
+    by = L.numbered(df.filter("k is not null"), ["id"], ["k"])
+    want = {x[0]: n for key, rows in by_key(data).items() if key for n, x in enumerate(rows, 1)}
+    assert {r.id: r.rn for r in by.collect()} == want
