@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from shelfmark import constants as C
 from shelfmark.functions.values import hours_between
-from shelfmark.operators.lanes import attach_lookup, keep_ranked, numbered
+from shelfmark.operators.lanes import attach_group, keep_ranked, numbered
 
 
 def upsert_merge(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
@@ -71,12 +71,15 @@ def prune_plan(stored: DataFrame, scanned: DataFrame, key: str, source: str,
 def guarded_prune(stored: DataFrame, scanned: DataFrame, key: str, source: str,
                   share: float = C.PRUNE_MAX_STALE_SHARE) -> DataFrame:
     """``stored`` without the stale rows of the sources whose guard allows pruning."""
-    seen = scanned.select(source, key).distinct().withColumn("_seen", F.lit(True))
-    rows = stored.join(seen, [source, key], "left")
-    decided = attach_lookup(rows, [source], [key], lambda s: prune_plan(stored, scanned, key, source, share).select(
-        source, "action"), ["action"])
-    gone = F.col("_seen").isNull() & F.coalesce(F.col("action") == "prune", F.lit(False))
-    return decided.filter(~gone).select(*stored.columns)
+    seen = scanned.select(F.col(source).alias("_s"), F.col(key).alias("_k"), F.lit(1).alias("_seen")).distinct()
+    both = stored.withColumn("_stored", F.lit(1)).join(
+        seen, (F.col(source) == F.col("_s")) & (F.col(key) == F.col("_k")), "full")
+    both = both.withColumn("_src", F.coalesce(source, "_s")).withColumn("_key", F.coalesce(key, "_k"))
+    counted = attach_group(both, ["_src"], ["_key"], {
+        "_scanned": ("count", F.col("_seen")), "_stale": ("count", F.when(F.col("_seen").isNull(), F.lit(1)))})
+    allowed = (F.col("_scanned") > 0) & (F.col("_stale") <= F.col("_scanned") * share)
+    gone = F.col("_seen").isNull() & allowed
+    return counted.filter(F.col("_stored").isNotNull() & ~gone).select(*stored.columns)
 
 
 def full_refresh(df: DataFrame, path: str) -> DataFrame:

@@ -3,5 +3,5 @@
 from importlib import import_module
 
 for _name in ("sources", "maintenance", "filters", "joins", "aggregates", "windows", "ranking", "columns",
-              "search", "streams"):
+              "search", "streams", "jobs"):
     import_module(f"{__name__}.{_name}")
