@@ -105,21 +105,14 @@ def _split_points(df: DataFrame, order: Sequence[str], buckets: int | None) -> l
 
     Without ``buckets`` there is one range per ROWS_PER_BUCKET rows.
     """
-    most = buckets or MAX_BUCKETS
-
-    def wanted(rows: int) -> int:
-        return buckets or max(1, min(-(-rows // ROWS_PER_BUCKET), most))
-
-    if len(order) == 1 and isinstance(df.schema[order[0]].dataType, _PERCENTILE_TYPES):
-        # one combinable aggregate, nothing is shuffled
-        shares = [i / most for i in range(1, most)] or [0.5]
-        row = df.agg(F.count(F.lit(1)).alias("n"), F.percentile_approx(order[0], shares, 10 * most).alias("cuts")).first()
-        n = wanted(row["n"])
-        cuts = row["cuts"] or []
-        return [(x,) for x in sorted({cuts[i * most // n - 1] for i in range(1, n)})] if cuts else []
-    n = buckets or wanted(df.count())
+    n = buckets or max(1, min(-(-df.count() // ROWS_PER_BUCKET), MAX_BUCKETS))
     if n == 1:
         return []
+    if len(order) == 1 and isinstance(df.schema[order[0]].dataType, _PERCENTILE_TYPES):
+        # one combinable aggregate, nothing is shuffled
+        shares = ",".join(f"{i / n}D" for i in range(1, n))
+        cuts = df.agg(F.expr(f"percentile_approx(`{order[0]}`, array({shares}), {max(10 * n, 1000)})")).first()[0]
+        return [(x,) for x in sorted(set(cuts or []))]
     ranged = df.select(*order).repartitionByRange(n, *[F.col(c).asc() for c in order])
     key = F.struct(*[F.col(c) for c in order])
     lows = ranged.groupBy(F.spark_partition_id().alias("p")).agg(F.min(key).alias("low"))

@@ -98,11 +98,12 @@ def parse_schedule(grid: DataFrame, sheet: str, base_year: Column, year_only: Co
     dated = year_rollover(heads, sheet, ["row_idx", "col_idx"], "_mo", "_da", base_year, year_only, "_any")
     dated = stage(dated.select(sheet, "row_idx", "col_idx", "cell", "date"), "dates")
     header_rows = heads.select(sheet, "row_idx").distinct()
-    body = assign_headers(grid, dated, sheet).filter(F.col("date").isNotNull())
-    body = body.join(header_rows, [sheet, "row_idx"], "left_anti")
+    # what a cell itself decides is decided before anything is shuffled
     text = F.coalesce("cell", F.lit(""))
-    body = body.filter((text != "") & (text != "nan") & ~contains_any(text, exclude))
-    body = body.withColumn("editor", editor_tag(F.col("cell"), editors)).filter(F.col("editor").isNotNull())
+    cells = grid.filter((text != "") & (text != "nan") & ~contains_any(text, exclude))
+    cells = cells.withColumn("editor", editor_tag(F.col("cell"), editors)).filter(F.col("editor").isNotNull())
+    body = assign_headers(cells, dated, sheet).filter(F.col("date").isNotNull())
+    body = body.join(header_rows, [sheet, "row_idx"], "left_anti")
     body = body.withColumn("case_name", clean_title(remove_editor_tag(F.col("cell")), leading, boundary, trailing))
     body = body.filter(F.col("case_name") != "").withColumn("_c30", F.left("case_name", F.lit(30)))
     first = keep_ranked(body, [sheet, "date", "_c30", "editor"], [F.asc("header_row"), F.asc("row_idx"), F.asc("col_idx")])
