@@ -49,6 +49,10 @@ BACKUP_AGE_HOURS = (26, 30)
 BACKLOG_WARN = 200
 SNAPSHOT_AGE_HOURS = 3
 
+# --- fixed values: white space of Unicode text ---
+WHITE = " \t\n\x0b\f\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+BLANKS = r"[\s\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+"
+
 # --- fixed values: patterns and formats ---
 ORDERED_NAME = r"^(\d+)_?\s*(.+)$"
 DATED_NAME = r"^(\d{4})(.+)$"

@@ -26,7 +26,7 @@ def normalize_city(city: Column, variants: dict[str, str], units: str) -> Column
     """Replace a leading variant character, then drop one trailing unit character."""
     out = strip(city)
     for old, new in variants.items():
-        out = F.when(out.startswith(old), F.concat(F.lit(new), F.substr(out, F.lit(len(old) + 1)))).otherwise(out)
+        out = F.regexp_replace(out, "^" + re.escape(old), new.replace("\\", "\\\\").replace("$", "\\$"))
     return blank_to_null(F.regexp_replace(out, f"[{re.escape(units)}]$", ""))
 
 
@@ -57,8 +57,9 @@ def clean_title(text: Column, leading: Sequence[str], boundary: Sequence[str], t
     """Searchable title out of a raw schedule cell."""
     s = strip(F.regexp_extract(text, r"^([^\n\r]*)", 1))
     s = strip(F.regexp_replace(s, C.TITLE_PAREN, " "))
-    for w in leading:
-        s = F.when(s.startswith(w), F.regexp_replace(F.substr(s, F.lit(len(w) + 1)), f"^[{C.TITLE_JOINTS}]+", "")).otherwise(s)
+    if leading:
+        # each word at most once, in list order, with the joints behind it
+        s = F.regexp_replace(s, "^" + "".join(f"(?:{re.escape(w)}[{C.TITLE_JOINTS}]*)?" for w in leading), "")
     s = F.regexp_replace(s, C.TITLE_DATE, "")
     s = F.regexp_replace(s, C.TITLE_NUMBER, "")
     if boundary:
@@ -68,7 +69,7 @@ def clean_title(text: Column, leading: Sequence[str], boundary: Sequence[str], t
     s = F.regexp_replace(s, C.TITLE_TIMES, "")
     if trailing:
         s = F.regexp_replace(s, f"(?:[{C.TITLE_JOINTS}]*(?:{alternation(trailing)}))+$", "")
-    return strip(F.regexp_replace(s, r"\s+", " "))
+    return strip(F.regexp_replace(s, C.BLANKS, " "))
 
 
 def search_key_cascade(name: Column, part_pattern: str, script_class: str) -> Column:
@@ -88,7 +89,7 @@ def search_key_cascade(name: Column, part_pattern: str, script_class: str) -> Co
 
 
 def normalize_for_match(s: Column) -> Column:
-    return F.lower(F.regexp_replace(F.coalesce(s, F.lit("")), r"\s+", ""))
+    return F.lower(F.regexp_replace(F.coalesce(s, F.lit("")), C.BLANKS, ""))
 
 
 def normalize_building(s: Column) -> Column:
@@ -99,7 +100,7 @@ def normalize_case(name: Column, link_text: str) -> Column:
     """Cut at the link line or at '(n-' / '(n/', squeeze white space."""
     s = F.regexp_replace(F.coalesce(name, F.lit("")), r"(?s)\s*\n\s*" + re.escape(link_text) + ".*$", "")
     s = F.regexp_replace(s, "(?s)" + C.CASE_PART, "")
-    return strip(F.regexp_replace(s, r"\s+", " "))
+    return strip(F.regexp_replace(s, C.BLANKS, " "))
 
 
 def clean_noise_tokens(name: Column, noise: str) -> Column:

@@ -27,11 +27,9 @@ def append_missing_tokens(text: Column, tokens: Sequence[Column], sequential: bo
     """
     base = F.coalesce(text, F.lit(""))
     if sequential:
-        out = base
-        for t in tokens:
-            t = blank_to_null(t)
-            out = F.when(t.isNotNull() & ~out.contains(t), F.concat_ws(" ", blank_to_null(out), t)).otherwise(out)
-        return F.trim(out)
+        listed = F.filter(F.array(*tokens), lambda t: t.isNotNull() & (t != ""))
+        return F.trim(F.aggregate(listed, base, lambda acc, t: F.when(F.contains(acc, t), acc).otherwise(
+            F.concat_ws(" ", blank_to_null(acc), t))))
     missing = [F.when(~base.contains(t), blank_to_null(t)) for t in tokens]
     return F.trim(F.concat_ws(" ", base, *missing))
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from shelfmark import constants as C
-from shelfmark.functions.paths import blank_to_null
+from shelfmark.functions.paths import blank_to_null, strip
 
 
 def hours_between(later: Column, earlier: Column) -> Column:
@@ -31,7 +31,7 @@ def rotation_swap(width: Column, height: Column, rotation: Column, has_stream: C
 
 
 def codec_normalize(codec: Column, aliases: dict[str, str], unknown: str = "UNKNOWN") -> Column:
-    low = F.lower(F.trim(F.coalesce(codec, F.lit(""))))
+    low = F.lower(strip(F.coalesce(codec, F.lit(""))))
     out = F.coalesce(blank_to_null(low), F.lit(unknown))
     for alias, name in aliases.items():
         out = F.when(low == alias, F.lit(name)).otherwise(out)
@@ -97,7 +97,7 @@ def parse_iso_ts(text: Column) -> Column:
 
 
 def is_date_cell(text: Column) -> Column:
-    t = F.regexp_replace(F.coalesce(text, F.lit("")), r"^\s+|\s+$", "")
+    t = strip(F.coalesce(text, F.lit("")))
     return t.rlike(C.DATE_CELL) & (F.length(t) <= C.DATE_CELL_MAX_LEN)
 
 
@@ -112,7 +112,7 @@ def tag_set(tags: Column) -> Column:
 
 
 def split_multi_value(text: Column, sep: str = "[/,]") -> Column:
-    parts = F.transform(F.split(text, sep), lambda x: F.trim(x))
+    parts = F.transform(F.split(text, sep), strip)
     return F.array_distinct(F.filter(parts, lambda x: x != ""))
 
 

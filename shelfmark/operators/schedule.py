@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfmark.functions.names import clean_title, editor_tag, remove_editor_tag
+from shelfmark.functions.paths import strip
 from shelfmark.functions.values import is_date_cell
 from shelfmark.operators.lanes import keep_ranked, range_bucket
 from shelfmark.operators.predicates import contains_any
@@ -90,7 +91,7 @@ def parse_schedule(grid: DataFrame, sheet: str, base_year: Column, year_only: Co
     date, 30 characters of the case and editor wins.
     """
     heads = header_cells(grid, sheet)
-    cell = F.regexp_replace("cell", r"^\s+|\s+$", "")
+    cell = strip(F.col("cell"))
     heads = heads.withColumn("_mo", F.regexp_extract(cell, r"^(\d+)/(\d+)$", 1).try_cast("int")).withColumn(
         "_da", F.regexp_extract(cell, r"^(\d+)/(\d+)$", 2).try_cast("int")).withColumn(
         "_any", F.regexp_extract(cell, r"^(\d+)/", 1).try_cast("int"))

@@ -205,3 +205,14 @@ def test_verdict_and_iso(ev):
     assert ev(v, [None, [], ["done", "h"], ["n", "h"], ["n"], ["x"]], "array<string>") == [None, None, None, "yes", "no", None]
     got = ev(lambda c: F.unix_seconds(V.parse_iso_ts(c)), ["2024-01-01T00:00:00Z", "2024-01-01T02:00:00+02:00", "bad", None])
     assert got == [1704067200, 1704067200, None, None]
+
+
+def test_full_width_blanks_count_as_white_space(ev):
+    assert ev(P.strip, ["\u3000案\u3000甲\u00a0", "\t x\n"]) == ["案\u3000甲", "x"]
+    assert ev(N.normalize_for_match, ["海\u3000風 A"]) == ["海風a"]
+    assert ev(lambda c: N.normalize_case(c, "link"), ["海\u3000\u3000風 ( 3 - x"]) == ["海 風"]
+
+
+def test_leading_words_go_once_and_in_order(ev):
+    clean = lambda c: N.clean_title(c, ["Nora", "Zoe外", "Zoe"], [], [])
+    assert ev(clean, ["Nora_Zoe外、案", "Zoe Nora 案", "NoraNora 案", "Zoe外案"]) == ["案", "Nora 案", "Nora 案", "案"]

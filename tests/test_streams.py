@@ -108,3 +108,39 @@ def test_skip_reasons_in_order(spark):
         T.skip_reason(t, f, f, t, t, old, now, f).alias("e"), T.skip_reason(t, f, f, t, f, old, now, f).alias("g"),
         T.skip_reason(t, f, f, t, f, edge, now, f).alias("h"), T.skip_reason(t, f, f, t, f, none, now, t).alias("i")).first()
     assert tuple(got) == ("nofile", "trashed", "folder", "nonvideo", "dup", "old", "no-output", None)
+
+
+def test_watch_polls_until_stopped(spark, feed):
+    path, put = feed
+    out, chk = shared_path(spark, "out"), shared_path(spark, "chk")
+    put([item(1)])
+    q = T.watch(T.file_feed(spark, path, SCHEMA), T.batch_writer(out), chk, every="1 second")
+    try:
+        q.processAllAvailable()
+        put([item(2)])
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert rows(spark.read.schema(SCHEMA).parquet(out), "id") == [(1,), (2,)]
+
+
+def test_watermark_form_drops_rows_behind_it(spark, feed):
+    path, put = feed
+    out, chk = shared_path(spark, "out"), shared_path(spark, "chk")
+    for i, h in ((1, 0), (2, 20), (3, 1), (4, 19)):
+        put([item(i, h=h)])
+        T.drain(T.late_by_watermark(T.file_feed(spark, path, SCHEMA), "id", "ts"), T.batch_writer(out), chk)
+    assert rows(spark.read.schema(SCHEMA).parquet(out), "id") == [(1,), (2,), (4,)]
+
+
+def test_approval_stream_ttl(spark):
+    req, act = shared_path(spark, "req"), shared_path(spark, "act")
+    out, chk = shared_path(spark, "out"), shared_path(spark, "chk")
+    day = dt.timedelta(days=1)
+    spark.createDataFrame([("a", T0), ("b", T0), ("c", T0)], "token string, created_at timestamp").write.parquet(req)
+    spark.createDataFrame([("a", "confirm", T0 + 7 * day), ("b", "confirm", T0 + 8 * day), ("c", "cancel", T0 - day), ("x", "confirm", T0)],
+                          "action_token string, action string, at timestamp").write.parquet(act)
+    j = T.pending_approvals(T.file_feed(spark, req, "token string, created_at timestamp"),
+                            T.file_feed(spark, act, "action_token string, action string, at timestamp"))
+    T.drain(j.select("token", "action"), T.batch_writer(out), chk, state_partitions=2)
+    assert rows(spark.read.schema("token string, action string").parquet(out), "token", "action") == [("a", "confirm")]
