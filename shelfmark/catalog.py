@@ -108,6 +108,20 @@ def apply_places(catalog: DataFrame, expected: DataFrame) -> DataFrame:
         "district", F.when(known, district).otherwise(F.col("district"))).drop(*names)
 
 
+def cases_for_scripts(catalog: DataFrame, manual: DataFrame, match: Callable[[Column], Column]) -> DataFrame:
+    """(case_name, city, district) of the cases without a city that no manual entry settles.
+
+    A case whose own name gives city and district carries them and needs no script; the others
+    (city null) go on to ``tiered_match``.
+    """
+    names = F.trim(F.coalesce("case_name", F.lit("")))
+    cases = catalog.filter(F.col("city").isNull()).select(names.alias("case_name")).filter("case_name <> ''").distinct()
+    settled = manual.filter(F.coalesce(F.col("city"), F.lit("")) != "").select("case_name")
+    rest = cases.join(settled, "case_name", "left_anti").withColumn("_m", match(F.col("case_name")))
+    own = (F.coalesce(F.col("_m.city"), F.lit("")) != "") & (F.coalesce(F.col("_m.district"), F.lit("")) != "")
+    return rest.select("case_name", F.when(own, F.col("_m.city")).alias("city"), F.when(own, F.col("_m.district")).alias("district"))
+
+
 def place_schedule(schedule: DataFrame, places: DataFrame, row_key: Sequence[str]) -> DataFrame:
     """Schedule rows with the city and district resolved for their case."""
     return lookup_left_join(schedule, "case_name", places, "case_name", ["city", "district"], row_key)

@@ -75,7 +75,9 @@ def deliver_once(key: str, ledger: str, path: str) -> Handler:
     def deliver(df: DataFrame, batch_id: int) -> None:
         spark = df.sparkSession
         seen = spark.read.schema(f"{key} bigint, batch_id bigint").parquet(ledger).filter(F.col("batch_id") != batch_id)
-        todo = df.dropDuplicates([key]).join(seen.select(key), key, "left_anti")
+        # the ledger is reduced to the ids of the batch before anything is shuffled by id
+        known = seen.join(df.select(key), key, "left_semi").select(key)
+        todo = df.dropDuplicates([key]).join(known, key, "left_anti")
         todo.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
         done = spark.read.schema(df.schema).parquet(f"{path}/batch_id={batch_id}")
         done.select(F.col(key).cast("bigint")).write.mode("overwrite").parquet(f"{ledger}/batch_id={batch_id}")

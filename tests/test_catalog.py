@@ -61,3 +61,10 @@ def test_places_follow_names_and_overrides(spark):
     assert rows(G.apply_places(once, places)) == rows(once)
     plan = spark.createDataFrame([(1, "甲"), (2, "無")], "id int, case_name string")
     assert rows(G.place_schedule(plan, places, ["id"]), "id", "city") == [(1, "桃園"), (2, None)]
+
+
+def test_cases_that_need_scripts(spark):
+    cat = spark.createDataFrame([("台北大安案", None), ("台北案", None), ("手動", None), ("已定", "X"), (" 甲 ", None), ("甲", None), ("", None)], "case_name string, city string")
+    manual = spark.createDataFrame([("手動", "桃園"), ("甲", "")], "case_name string, city string")
+    got = G.cases_for_scripts(cat, manual, lambda c: gazetteer_match(c, ["台北"], {}, {"台北": ["大安"]}, {}, {}))
+    assert rows(got) == sorted([("台北大安案", "台北", "大安"), ("台北案", None, None), ("甲", None, None)], key=repr)
