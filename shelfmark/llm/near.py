@@ -19,17 +19,20 @@ class Settings:
     """How near duplicates are found.
 
     ``bands`` of ``rows`` MinHash values each: a pair at the similarity s shares no band with probability
-    (1 - s**rows)**bands, 3e-6 at 0.8 with the default. The odd sketch folds all bands * rows samples into
-    ``sketch_words`` * 64 parity bits. Pairs estimated at less than ``percent`` - ``slack`` are not looked at in
-    full; the slack is over six standard errors of the estimate.
+    (1 - s**rows)**bands, 3e-6 at 0.8 with the default. For documents that share one, odd sketches fold ``samples``
+    further MinHash values into ``sketch_words`` * 64 parity bits. Pairs estimated at less than ``percent`` - ``slack``
+    are not looked at in full: 4.4 standard errors of the estimate, so 5e-6 of the pairs just similar enough are lost.
     """
 
     shingle: int = 5
     percent: int = 80
     bands: int = 32
     rows: int = 5
-    sketch_words: int = 16
-    slack: int = 25
+    samples: int = 1024
+    sketch_words: int = 64
+    slack: float = 7.5
+    #: leaders of a band value, picked at random, that its members are compared with before anything else
+    leaders: int = 2
     #: documents of one band value compared with one another in one task
     block: int = 1000
 
@@ -50,45 +53,58 @@ def _odd_sketch(samples: np.ndarray, words: int) -> np.ndarray:
     return np.packbits(parity.astype(np.uint8), bitorder="little").view(np.int64)
 
 
-def _signatures(s: Settings, lower: bool):
-    seeds = mixed(np.arange(1, s.bands * s.rows + 1, dtype=np.uint64)) | np.uint64(1)
+def _lowest(own: np.ndarray, seeds: np.ndarray) -> np.ndarray:
+    """A MinHash value per seed: multiplication by an odd number permutes the mixed hashes."""
+    low = np.full(len(seeds), np.iinfo(np.uint64).max)
+    for i in range(0, len(own), 1024):
+        low = np.minimum(low, (own[i:i + 1024, None] * seeds).min(axis=0))
+    return low
 
-    def run(batches):
-        out = [[] for _ in range(6)]
-        for doc_id, own in _sets(batches, s.shingle, lower):
-            low = np.full(len(seeds), np.iinfo(np.uint64).max)
-            for i in range(0, len(own), 4096):      # a multiplication by an odd number permutes the mixed hashes
-                low = np.minimum(low, (own[i:i + 4096, None] * seeds).min(axis=0))
-            digest = xxhash.xxh3_128_digest(own.tobytes())
-            f1, f2 = np.frombuffer(digest, np.int64).tolist()
-            bands = np.array([xxhash.xxh3_64_intdigest(b.tobytes(), seed=i) for i, b in enumerate(low.reshape(s.bands, s.rows))],
-                             np.uint64).view(np.int64) if len(own) else np.empty(0, np.int64)
-            for column, value in zip(out, (doc_id, len(own), f1, f2, bands, _odd_sketch(low, s.sketch_words).tobytes())):
-                column.append(value)
-            if len(out[0]) >= 2000:
-                yield _signature_batch(out)
-                out = [[] for _ in range(6)]
-        if out[0]:
-            yield _signature_batch(out)
-    return run
+
+def _seeds(first: int, n: int) -> np.ndarray:
+    return mixed(np.arange(first, first + n, dtype=np.uint64)) | np.uint64(1)
 
 
-def _signature_batch(out):
-    types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary()]
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types)],
-                                      ["doc_id", "n_shingles", "f1", "f2", "bands", "sketch"])
+def _in_batches(rows, names, types, size=2000):
+    held = []
+    for row in rows:
+        held.append(row)
+        if len(held) >= size:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held), types)], names)
+            held = []
+    if held:
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held), types)], names)
+
+
+def _signatures(s: Settings, lower: bool):
+    def rows(batches):
+        seeds = _seeds(1, s.bands * s.rows)
+        for doc_id, own in _sets(batches, s.shingle, lower):
+            f1, f2 = np.frombuffer(xxhash.xxh3_128_digest(own.tobytes()), np.int64).tolist()
+            low = _lowest(own, seeds).reshape(s.bands, s.rows) if len(own) else ()
+            bands = np.array([xxhash.xxh3_64_intdigest(b.tobytes(), seed=i) for i, b in enumerate(low)], np.uint64)
+            yield doc_id, len(own), f1, f2, bands.view(np.int64)
+
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
+    return lambda batches: _in_batches(rows(batches), ["doc_id", "n_shingles", "f1", "f2", "bands"], types)
 
 
 def _shingle_sets(s: Settings, lower: bool):
-    def run(batches):
+    """Whole sets, and their odd sketches: parity bitmaps in which every MinHash sample flips one bit."""
+    def rows(batches):
+        seeds = _seeds(1 << 32, s.samples)
+        place = np.arange(1, s.samples + 1, dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03)
         for doc_id, own in _sets(batches, s.shingle, lower):
-            yield pa.RecordBatch.from_arrays([pa.array([doc_id]), pa.array([own.tobytes()], pa.binary())], ["id", "hashes"])
-    return run
+            bits = mixed(_lowest(own, seeds) + place) % np.uint64(64 * s.sketch_words)
+            parity = np.bincount(bits.astype(np.int64), minlength=64 * s.sketch_words) & 1
+            yield doc_id, own.tobytes(), np.packbits(parity.astype(np.uint8), bitorder="little").tobytes()
+
+    return lambda batches: _in_batches(rows(batches), ["id", "hashes", "sketch"], [pa.int64(), pa.binary(), pa.binary()], 500)
 
 
 def _estimate(differing: np.ndarray, s: Settings) -> np.ndarray:
     """Similarity from the number of differing parity bits of two odd sketches."""
-    n, k = 64 * s.sketch_words, s.bands * s.rows
+    n, k = 64 * s.sketch_words, s.samples
     apart = -n / 2 * np.log(np.maximum(1 - 2 * differing / n, 1e-9))
     return 1 - apart / (2 * k)
 
@@ -122,19 +138,22 @@ def _confirmed(s: Settings):
     return run
 
 
-def _verified(pairs: DataFrame, rows: DataFrame, s: Settings, lower: bool) -> DataFrame:
-    """The pairs (a, b) confirmed on the whole sets, which are built for the documents that need it alone."""
-    pairs = stage(pairs, "near-pairs")
-    if pairs.isEmpty():
-        return pairs
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    sets = stage(rows.join(needed, "doc_id", "left_semi").mapInArrow(_shingle_sets(s, lower), "id long, hashes binary"),
-                 "near-sets")
+def _verified(pairs: DataFrame, sets: DataFrame, s: Settings) -> DataFrame:
+    """The pairs (a, b) confirmed on the whole sets."""
     x, y = sets.select(F.col("id").alias("a"), F.col("hashes").alias("x")), sets.select(F.col("id").alias("b"), F.col("hashes").alias("y"))
     return stage(pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(_confirmed(s), "a long, b long"),
                  "near-links")
 
 
+def _leaders(banded: DataFrame, s: Settings) -> DataFrame:
+    """band, members, leads of the values that several documents have: a few random members, combined on the map side."""
+    pick = [F.min(F.struct(F.xxhash64(F.lit(i), "band", "doc_id").alias("turn"), "doc_id", "n_shingles")).alias(f"lead{i}")
+            for i in range(s.leaders)]
+    found = banded.groupBy("band").agg(F.count("*").alias("members"), *pick).where("members > 1")
+    leads = F.array(*[F.struct(f"lead{i}.doc_id", f"lead{i}.n_shingles") for i in range(s.leaders)])
+    return found.select("band", "members", F.array_distinct(leads).alias("leads"))
+
+
 def _cross_labels(s: Settings):
     """Pairs of one (band value, block pair) with different labels whose sizes and sketches allow a link."""
     def run(key, table):
@@ -189,28 +208,32 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     smallest id reachable. A null id is smaller than all others (its component id is null). Rows that repeat an id are
     each judged by their own text. Other columns are not read; an empty table gives no rows.
 
-    Equal sets are one class, represented by its smallest id. Of each band value all members are compared with the
-    smallest one; what that links is joined up. Only where a band value still holds several components are members of
-    different components compared with one another, block by block, so a large group of near copies never becomes pairs.
+    Equal sets are one class, represented by its smallest id. Of each band value all members are compared with a few
+    leaders, which differ from band to band; what that links is joined up. Only where a band value still holds several
+    components are members of different components compared with one another, block by block: large groups of near
+    copies never become pairs, and no link between components is lost.
     """
     s = settings
     rows = keyed(docs, id_col, text_col)
-    signed = stage(rows.mapInArrow(_signatures(s, lower), "doc_id long, n_shingles long, f1 long, f2 long, "
-                                   "bands array<long>, sketch binary"), "near-signatures")
+    signed = stage(rows.mapInArrow(_signatures(s, lower), "doc_id long, n_shingles long, f1 long, f2 long, bands array<long>"),
+                   "near-signatures")
     classes = stage(signed.where("n_shingles > 0").groupBy("f1", "f2").agg(F.min("doc_id").alias("rep")), "near-classes")
     reps = stage(signed.join(classes, ["f1", "f2"]).where("doc_id = rep").dropDuplicates(["doc_id", "f1", "f2"]), "near-reps")
 
     banded = reps.select("doc_id", "n_shingles", F.explode("bands").alias("band"))
-    leads = (banded.groupBy("band").agg(F.min(F.struct("doc_id", "n_shingles")).alias("lead"), F.count("*").alias("members"))
-             .where("members > 1"))
-    shared = stage(banded.join(leads, "band").select("band", "doc_id", "n_shingles", "lead", "members"), "near-shared")
+    leads = _leaders(banded, s)
+    shared = stage(banded.join(leads, "band"), "near-shared")
     sized = F.least("n_shingles", "lead.n_shingles") * 100 >= F.greatest("n_shingles", "lead.n_shingles") * s.percent
-    pairs = shared.where((F.col("doc_id") != F.col("lead.doc_id")) & sized).select(
-        F.col("lead.doc_id").alias("a"), F.col("doc_id").alias("b")).distinct()
-    sketches = reps.select("doc_id", "sketch")
+    pairs = shared.select("doc_id", "n_shingles", F.explode("leads").alias("lead")).where(
+        (F.col("doc_id") != F.col("lead.doc_id")) & sized)
+    pairs = pairs.select(F.least("doc_id", "lead.doc_id").alias("a"), F.greatest("doc_id", "lead.doc_id").alias("b")).distinct()
+    needed = shared.select("doc_id").distinct()
+    sets = stage(rows.join(needed, "doc_id", "left_semi").mapInArrow(_shingle_sets(s, lower), "id long, hashes binary, sketch binary"),
+                 "near-sets")
+    sketches = sets.select("id", "sketch")
     pairs = (pairs.join(sketches.toDF("b", "sb"), "b").join(sketches.toDF("a", "sa"), "a").select("a", "b", "sa", "sb")
              .mapInArrow(_sketched(s), "a long, b long"))
-    links = _verified(pairs, rows, s, lower)
+    links = _verified(pairs, sets, s)
     labels = stage(components(links), "near-labels")
 
     # band values that hold several components: compare across components only
@@ -220,12 +243,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     mixed_bands = (members.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high"))
                    .where("low != high").select("band"))
     parts = F.ceil(F.col("members") / s.block).cast("int")
-    members = (members.join(mixed_bands, "band").join(sketches, "doc_id")
+    members = (members.join(mixed_bands, "band").join(sketches.withColumnRenamed("id", "doc_id"), "doc_id")
                .withColumn("part", F.pmod(F.xxhash64("doc_id"), parts).cast("int")))
     met = members.withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1))).withColumns(
         {"i": F.least("part", "other"), "j": F.greatest("part", "other")}).drop("members", "other")
     late = met.groupBy("band", "i", "j").applyInArrow(_cross_labels(s), "a long, b long").distinct()
-    more = _verified(late, rows, s, lower)
+    more = _verified(late, sets, s)
     if not more.isEmpty():
         labels = components(links.unionByName(more))
 
