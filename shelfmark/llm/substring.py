@@ -7,10 +7,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import WordHashes, grams, id_out, key_columns, raw, word_blocks
+from shelfmark.llm.common import WordHashes, grams, id_out, key_columns, keyed, raw, word_blocks
 
 #: Words of an anchor, the unit by which a phrase is routed to its block of the index.
 ANCHOR_WORDS = 5
+#: Bits of a text's hash that tell rows of one id apart.
+ROW_MASK = 0x7FFFFFFF
 
 
 def _sliding(x: np.ndarray, n: int, op) -> np.ndarray:
@@ -93,7 +95,7 @@ def _factors(window: int):
 def _rows(docs, id_col, text_col, whole_rows):
     """With ``row``, which tells rows of one id apart, and the other columns as ``rest`` where they are wanted."""
     rest = [F.struct(*[c for c in docs.columns if c != text_col]).alias("rest")] if whole_rows else []
-    return docs.select(*key_columns(id_col, text_col), *rest).withColumn("row", F.xxhash64("text").bitwiseAND(0x7FFFFFFF))
+    return docs.select(*key_columns(id_col, text_col), *rest).withColumn("row", F.xxhash64("text").bitwiseAND(ROW_MASK))
 
 
 def duplicate_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, window: int = 13,
@@ -105,24 +107,42 @@ def duplicate_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     in rows of the same id, is no factor (``rows`` tells which row of the id a factor lies in). Null and short texts
     have none. Null ids count as NULL_ID, before all others.
 
-    The index is a table of phrases (``window`` consecutive words) with the smallest id that holds each, in blocks by
-    hash. Only phrases whose anchor - the lowest hash among the short word runs inside - occurs in several documents
-    enter it. The texts are shuffled by id once; ``without_spans`` uses the same exchange, and ``cut`` does with
-    ``whole_rows``.
+    The longest factor is a whole document, so a text that an earlier document equals becomes one at once. For the
+    others the index is a table of phrases (``window`` consecutive words) with the smallest id that holds each, in
+    blocks by hash. Only phrases whose anchor - the lowest hash among the short word runs inside - occurs in several
+    documents enter it. The texts are shuffled by id once: all joins with them, those of ``without_spans`` and (with
+    ``whole_rows``) of ``cut`` too, are on the id alone and share that exchange.
     """
     if window < ANCHOR_WORDS:
         raise ValueError(f"window must be at least {ANCHOR_WORDS}")
     rows = _rows(docs, id_col, text_col, whole_rows)
-    anchors = rows.select("doc_id", "text").mapInArrow(_anchors(window), "h long, doc_id long")
+    twins = keyed(docs, id_col, text_col).where("text is not null").select(
+        "doc_id", F.xxhash64("text").alias("t1"), F.xxhash64(F.lit(1), "text").alias("t2"))
+    firsts = twins.groupBy("t1", "t2").agg(F.min("doc_id").alias("source"))
+    copies = (twins.join(firsts, ["t1", "t2"]).where("doc_id > source").groupBy("doc_id")
+              .agg(F.collect_set(F.struct(F.col("t1").bitwiseAND(ROW_MASK).alias("row"), "source")).alias("copies")))
+    mine = F.filter("copies", lambda c: c.row == F.col("row"))
+    originals = rows.join(copies.withColumnRenamed("doc_id", "copy_id"),
+                          (F.col("doc_id") == F.col("copy_id")) & (F.size(mine) > 0), "left_anti")
+    n_words = F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+"))
+    whole = (rows.join(copies, "doc_id").withColumn("source", F.get(mine, 0).source)
+             .withColumn("n", n_words.cast("long")).where(f"source is not null and n >= {window}")
+             .groupBy("doc_id").agg(*[F.collect_list(c).alias(c) for c in ("row", "n", "source")]).select(
+                 "doc_id", F.col("row").alias("rows"), F.transform("row", lambda r: F.lit(0).cast("long")).alias("starts"),
+                 F.col("n").alias("lengths"), F.col("source").alias("sources")))
+
+    anchors = originals.select("doc_id", "text").mapInArrow(_anchors(window), "h long, doc_id long")
     shared = anchors.groupBy("h").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high")
     routed = anchors.join(shared.select("h"), "h").groupBy("doc_id").agg(F.collect_list("h").alias("shared"))
-    phrases = (rows.join(routed, "doc_id").select("doc_id", "row", "text", "shared", *["rest"] * whole_rows)
+    phrases = (originals.join(routed, "doc_id").select("doc_id", "row", "text", "shared", *["rest"] * whole_rows)
                .mapInArrow(_phrases(window), "phrase long, doc_id long, at long"))
     index = phrases.groupBy("phrase").agg(F.min("doc_id").alias("source"))
     hits = phrases.join(index, "phrase").where("doc_id > source")
-    return (hits.groupBy("doc_id").agg(F.collect_list("at").alias("at"), F.collect_list("source").alias("source"))
-            .mapInArrow(_factors(window), "doc_id long, rows array<long>, starts array<long>, lengths array<long>, "
-                        "sources array<long>"))
+    factors = (hits.groupBy("doc_id").agg(F.collect_list("at").alias("at"), F.collect_list("source").alias("source"))
+               .mapInArrow(_factors(window), "doc_id long, rows array<long>, starts array<long>, lengths array<long>, "
+                           "sources array<long>"))
+    return factors.unionByName(whole).groupBy("doc_id").agg(
+        *[F.flatten(F.collect_list(c)).alias(c) for c in ("rows", "starts", "lengths", "sources")])
 
 
 def _kept_words(text: bytes, row: int, rows, starts, lengths) -> tuple[int, int, bytes]:
