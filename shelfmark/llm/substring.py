@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.llm.common import WordHashes, grams, id_out, key_columns, keyed, raw, word_blocks
 
 #: Words of an anchor, the unit by which a phrase is routed to its block of the index.
-ANCHOR_WORDS = 5
+ANCHOR_WORDS = 7
 #: Bits of a text's hash that tell rows of one id apart.
 ROW_MASK = 0x7FFFFFFF
 
@@ -30,21 +31,72 @@ def _lowest(words: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
     return anchors, _sliding(anchors, window - ANCHOR_WORDS + 1, np.minimum)
 
 
+#: Rows of what a task sends on: one of a key that others must be asked for, one that speaks for several documents of
+#: its block, one that is settled already and only passes through.
+ASK, MANY, SETTLED = 0, 1, 2
+
+
 def _anchors(window: int):
-    """(h, doc_id): the lowest anchor of every window. Equal windows have equal lowest anchors."""
+    """(h, doc_id, kind): the lowest anchor of every window. Equal windows have equal lowest anchors.
+
+    An anchor that several documents of a block have is shared whatever the others hold: its rows are settled, and one
+    row tells the others. So however many documents have an anchor, each block asks with one row.
+    """
     def run(batches):
         for ids, lengths, words in word_blocks(batches):
             ends = np.cumsum(lengths)
             found = [np.unique(_lowest(words[e - n:e], window)[1]) if n >= window else words[:0] for n, e in zip(lengths, ends)]
+            h = np.concatenate(found).view(np.int64)
+            docs = np.repeat(ids, [len(f) for f in found])
+            order = np.argsort(h, kind="stable")
+            h, docs = h[order], docs[order]
+            first = np.r_[True, h[1:] != h[:-1]][:len(h)]
+            several = np.diff(np.r_[np.flatnonzero(first), len(h)]) > 1
+            kind = np.where(np.repeat(several, np.diff(np.r_[np.flatnonzero(first), len(h)])), SETTLED, ASK)
+            tell = np.flatnonzero(first)[several]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(found).view(np.int64)), pa.array(np.repeat(ids, [len(f) for f in found]))], ["h", "doc_id"])
+                [pa.array(np.r_[h, h[tell]]), pa.array(np.r_[docs, docs[tell]]),
+                 pa.array(np.r_[kind, np.full(len(tell), MANY)].astype(np.int32))], ["h", "doc_id", "kind"])
     return run
 
 
+def _shared(batches):
+    """(doc_id, h) of the anchors that several documents have, from rows sorted by anchor, settled ones last."""
+    known, waiting = None, None         # the anchor of the last row if it is shared; the last row if that is open
+    for batch in batches:
+        h, docs, kind = (batch.column(i).to_numpy() for i in range(3))
+        done = kind == SETTLED
+        out = [(docs[done], h[done])]
+        h, docs, kind = h[~done], docs[~done], kind[~done]
+        if waiting is not None:
+            h, docs, kind = (np.r_[x, y] for x, y in zip(waiting, (h, docs, kind)))
+            waiting = None
+        if len(h):
+            starts = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
+            sizes = np.diff(np.r_[starts, len(h)])
+            shared = (sizes > 1) | (np.maximum.reduceat(kind, starts) == MANY)
+            shared[0] |= known is not None and known == h[0]
+            if not shared[-1]:
+                waiting = (h[-1], docs[-1], kind[-1])
+            known = h[-1] if shared[-1] else None
+            good = np.repeat(shared, sizes) & (kind == ASK)
+            out.append((docs[good], h[good]))
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], ["doc_id", "h"])
+
+
 def _phrases(window: int):
-    """(phrase, doc_id, at): the windows of a document whose lowest anchor is shared; at holds row and position."""
+    """(phrase, doc_id, at, source): the windows of a document whose lowest anchor is shared; at holds row and position.
+
+    Of a phrase's documents in a block the first one asks the others; the rest have it as their source.
+    """
     def flush(held):
-        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*held)], ["phrase", "doc_id", "at"])
+        phrase, docs, at = (np.concatenate(c) for c in zip(*held))
+        order = np.lexsort((docs, phrase))
+        phrase, docs, at = phrase[order], docs[order], at[order]
+        starts = np.flatnonzero(np.r_[True, phrase[1:] != phrase[:-1]][:len(phrase)])
+        first = np.repeat(docs[starts], np.diff(np.r_[starts, len(phrase)]))
+        return pa.RecordBatch.from_arrays([pa.array(phrase), pa.array(docs), pa.array(at), pa.array(first, mask=docs == first)],
+                                          ["phrase", "doc_id", "at", "source"])
 
     def run(batches):
         memo, held, n = WordHashes(), [], 0
@@ -58,7 +110,7 @@ def _phrases(window: int):
                 at = np.flatnonzero(np.isin(_lowest(words, window)[1].view(np.int64), shared.values.to_numpy()))
                 held.append((grams(words, window)[at].view(np.int64), np.full(len(at), doc_id), at + (row << 32)))
                 n += len(at)
-                if n >= 1 << 17:
+                if n >= 1 << 18:
                     yield flush(held)
                     held, n = [], 0
         if held:
@@ -66,6 +118,28 @@ def _phrases(window: int):
     return run
 
 
+def _hits(batches):
+    """(doc_id, at, source) of the phrases that an earlier document has, from rows sorted by phrase and document."""
+    phrase, first = None, 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        done = batch.column(3).is_valid()
+        settled, asking = batch.filter(done), batch.filter(pc.invert(done))
+        keys, docs = asking.column(0).to_numpy(), asking.column(1).to_numpy()
+        if len(keys):
+            starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+            firsts = docs[starts].copy()
+            if phrase is not None and phrase == keys[0]:
+                firsts[0] = first
+            phrase, first = keys[-1], firsts[-1]
+            source = np.repeat(firsts, np.diff(np.r_[starts, len(keys)]))
+            late = pa.array(docs > source)
+            yield pa.RecordBatch.from_arrays([asking.column(1).filter(late), asking.column(2).filter(late),
+                                              pa.array(source).filter(late)], ["doc_id", "at", "source"])
+        yield settled.select(["doc_id", "at", "source"])
+
+
 def parse(at: np.ndarray, source: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Greedy factors (start, length, source): runs of neighbouring phrase starts with the same source.
 
@@ -103,13 +177,13 @@ def duplicate_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """doc_id, rows, starts, lengths, sources: the factors of every document that repeats earlier ones, in words.
 
     Words are runs without ASCII blanks, unchanged. A factor of at least ``window`` words also stands in a document
-    with a smaller id (``sources``: the smallest that holds its phrases); what repeats inside one document alone, or
+    with a smaller id (``sources``: one that holds its phrases); what repeats inside one document alone, or
     in rows of the same id, is no factor (``rows`` tells which row of the id a factor lies in). Null and short texts
     have none. Null ids count as NULL_ID, before all others.
 
     The longest factor is a whole document, so a text that an earlier document equals becomes one at once. For the
-    others the index is a table of phrases (``window`` consecutive words) with the smallest id that holds each, in
-    blocks by hash. Only phrases whose anchor - the lowest hash among the short word runs inside - occurs in several
+    others the index is a table of phrases (``window`` consecutive words) and the ids that hold them, in blocks by
+    hash; a block of documents enters a phrase once, for the first of them that has it. Only phrases whose anchor - the lowest hash among the short word runs inside - occurs in several
     documents enter it. The texts are shuffled by id once: all joins with them, those of ``without_spans`` and (with
     ``whole_rows``) of ``cut`` too, are on the id alone and share that exchange.
     """
@@ -131,13 +205,15 @@ def duplicate_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                  "doc_id", F.col("row").alias("rows"), F.transform("row", lambda r: F.lit(0).cast("long")).alias("starts"),
                  F.col("n").alias("lengths"), F.col("source").alias("sources")))
 
-    anchors = originals.select("doc_id", "text").mapInArrow(_anchors(window), "h long, doc_id long")
-    shared = anchors.groupBy("h").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high")
-    routed = anchors.join(shared.select("h"), "h").groupBy("doc_id").agg(F.collect_list("h").alias("shared"))
+    settled = F.col("kind") == SETTLED
+    anchors = originals.select("doc_id", "text").mapInArrow(_anchors(window), "h long, doc_id long, kind int")
+    routed = (anchors.repartition(F.when(settled, F.xxhash64("doc_id", "h")).otherwise(F.col("h")))
+              .sortWithinPartitions(settled, "h").mapInArrow(_shared, "doc_id long, h long")
+              .groupBy("doc_id").agg(F.collect_list("h").alias("shared")))
     phrases = (originals.join(routed, "doc_id").select("doc_id", "row", "text", "shared", *["rest"] * whole_rows)
-               .mapInArrow(_phrases(window), "phrase long, doc_id long, at long"))
-    index = phrases.groupBy("phrase").agg(F.min("doc_id").alias("source"))
-    hits = phrases.join(index, "phrase").where("doc_id > source")
+               .mapInArrow(_phrases(window), "phrase long, doc_id long, at long, source long"))
+    hits = (phrases.repartition(F.when(F.col("source").isNull(), F.col("phrase")).otherwise(F.xxhash64("doc_id", "at")))
+            .sortWithinPartitions("phrase", "doc_id").mapInArrow(_hits, "doc_id long, at long, source long"))
     factors = (hits.groupBy("doc_id").agg(F.collect_list("at").alias("at"), F.collect_list("source").alias("source"))
                .mapInArrow(_factors(window), "doc_id long, rows array<long>, starts array<long>, lengths array<long>, "
                            "sources array<long>"))
