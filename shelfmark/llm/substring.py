@@ -200,7 +200,8 @@ def duplicate_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                           (F.col("doc_id") == F.col("copy_id")) & (F.size(mine) > 0), "left_anti")
     n_words = F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+"))
     whole = (rows.join(copies, "doc_id").withColumn("source", F.get(mine, 0).source)
-             .withColumn("n", n_words.cast("long")).where(f"source is not null and n >= {window}")
+             # counted for copies alone, above the exchange
+             .withColumn("n", F.when(F.col("source").isNotNull(), n_words.cast("long"))).where(f"n >= {window}")
              .groupBy("doc_id").agg(*[F.collect_list(c).alias(c) for c in ("row", "n", "source")]).select(
                  "doc_id", F.col("row").alias("rows"), F.transform("row", lambda r: F.lit(0).cast("long")).alias("starts"),
                  F.col("n").alias("lengths"), F.col("source").alias("sources")))
