@@ -10,6 +10,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfmark.session import shared_root
+
 #: Stands for a null id inside the operators: such rows sort before all others and come out with a null id again.
 NULL_ID = -(1 << 63)
 #: Words a memo holds before it starts anew, which bounds a worker's memory and changes no result.
@@ -35,6 +37,15 @@ def id_out(name: str = "doc_id") -> Column:
     return F.when(F.col(name) != NULL_ID, F.col(name)).alias(name)
 
 
+def settled(df: DataFrame) -> DataFrame:
+    """``df`` computed once into the folder of ``spark.checkpoint.dir``: lineage is cut, lost executors cost nothing.
+
+    Spark removes the files when nothing refers to them any more (``spark.cleaner.referenceTracking.cleanCheckpoints``).
+    """
+    shared_root(df.sparkSession)
+    return df.checkpoint()
+
+
 def raw(column: pa.Array) -> list[bytes]:
     """Texts as UTF-8 bytes, null as empty."""
     return [x or b"" for x in column.cast(pa.large_binary()).to_pylist()]

@@ -10,8 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import id_out, keyed, raw
-from shelfmark.session import stage
+from shelfmark.llm.common import id_out, keyed, raw, settled
 
 #: Rows of one fingerprint compared with their representative in one task, about.
 VERIFY_ROWS = 2000
@@ -118,25 +117,25 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     fingerprint's largest id, in salted groups of about ``VERIFY_ROWS``; what differs goes on to another round.
     """
     rows = keyed(docs, id_col, text_col)
-    prints = stage(fingerprints(rows), "exact-prints")
-    repeated = stage(counted_fingerprints(prints, quotient_bits).where("n > 1"), "exact-repeated")
+    prints = settled(fingerprints(rows))
+    repeated = settled(counted_fingerprints(prints, quotient_bits).where("n > 1"))
     single = prints.join(repeated, "fp", "left_anti").select(
         "doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"),
         F.lit(True).alias("kept"), "text_sha256")
-    left = stage(rows.mapInArrow(_normalised, "doc_id long, fp long, data binary").join(repeated, "fp"), "exact-texts")
-    settled = []
+    left = settled(rows.mapInArrow(_normalised, "doc_id long, fp long, data binary").join(repeated, "fp"))
+    rounds = []
     while not left.isEmpty():
         salts = F.ceil(F.col("n") / VERIFY_ROWS).cast("int")
         reps = left.groupBy("fp").agg(F.max("doc_id").alias("rep_id"))
         reps = (left.join(reps, "fp").where("doc_id = rep_id").groupBy("fp", "rep_id", "n").agg(F.min("data").alias("rep"))
                 .withColumn("salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("n"))
         met = left.withColumn("salt", F.pmod(F.xxhash64("doc_id"), salts).cast("int")).join(reps, ["fp", "salt"])
-        met = stage(met.select("doc_id", "fp", "n", "rep_id", F.sha2("data", 256).alias("text_sha256"),
-                               F.when(F.col("data") != F.col("rep"), F.col("data")).alias("data")), "exact-met")
-        settled.append(met.where("data is null").drop("n", "data"))
+        met = settled(met.select("doc_id", "fp", "n", "rep_id", F.sha2("data", 256).alias("text_sha256"),
+                               F.when(F.col("data") != F.col("rep"), F.col("data")).alias("data")))
+        rounds.append(met.where("data is null").drop("n", "data"))
         left = met.where("data is not null").select("doc_id", "fp", "data", "n")
     out = single
-    for same in settled:
+    for same in rounds:
         sizes = same.groupBy("fp", "rep_id").agg(F.count("*").alias("group_size"))
         out = out.unionByName(same.join(sizes, ["fp", "rep_id"]).select(
             "doc_id", F.col("rep_id").alias("keep_id"), "group_size", (F.col("doc_id") == F.col("rep_id")).alias("kept"),

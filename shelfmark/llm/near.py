@@ -10,8 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import grams, id_out, keyed, mixed, word_blocks
-from shelfmark.session import stage
+from shelfmark.llm.common import grams, id_out, keyed, mixed, settled, word_blocks
 
 
 @dataclass(frozen=True)
@@ -141,8 +140,7 @@ def _confirmed(s: Settings):
 def _verified(pairs: DataFrame, sets: DataFrame, s: Settings) -> DataFrame:
     """The pairs (a, b) confirmed on the whole sets."""
     x, y = sets.select(F.col("id").alias("a"), F.col("hashes").alias("x")), sets.select(F.col("id").alias("b"), F.col("hashes").alias("y"))
-    return stage(pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(_confirmed(s), "a long, b long"),
-                 "near-links")
+    return settled(pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(_confirmed(s), "a long, b long"))
 
 
 def _leaders(banded: DataFrame, s: Settings) -> DataFrame:
@@ -180,7 +178,7 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     Alternates large stars (larger neighbours move to the smallest one around) and small stars (smaller neighbours
     join up) until nothing moves. Every round is written to the shared folder; hot nodes are combined on the map side.
     """
-    edges = stage(links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u != v").distinct(), "star")
+    edges = settled(links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u != v").distinct())
     before = None
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -190,7 +188,7 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         small = large.join(low, "u").select(F.explode(F.array(
             F.struct(F.greatest("v", "m").alias("u"), F.least("v", "m").alias("v")),
             F.struct("u", F.col("m").alias("v")))).alias("e")).select("e.*").where("u != v").distinct()
-        edges = stage(small, "star")
+        edges = settled(small)
         state = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == before:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("label")).unionByName(
@@ -215,26 +213,24 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     s = settings
     rows = keyed(docs, id_col, text_col)
-    signed = stage(rows.mapInArrow(_signatures(s, lower), "doc_id long, n_shingles long, f1 long, f2 long, bands array<long>"),
-                   "near-signatures")
-    classes = stage(signed.where("n_shingles > 0").groupBy("f1", "f2").agg(F.min("doc_id").alias("rep")), "near-classes")
-    reps = stage(signed.join(classes, ["f1", "f2"]).where("doc_id = rep").dropDuplicates(["doc_id", "f1", "f2"]), "near-reps")
+    signed = settled(rows.mapInArrow(_signatures(s, lower), "doc_id long, n_shingles long, f1 long, f2 long, bands array<long>"))
+    classes = settled(signed.where("n_shingles > 0").groupBy("f1", "f2").agg(F.min("doc_id").alias("rep")))
+    reps = settled(signed.join(classes, ["f1", "f2"]).where("doc_id = rep").dropDuplicates(["doc_id", "f1", "f2"]))
 
     banded = reps.select("doc_id", "n_shingles", F.explode("bands").alias("band"))
     leads = _leaders(banded, s)
-    shared = stage(banded.join(leads, "band"), "near-shared")
+    shared = settled(banded.join(leads, "band"))
     sized = F.least("n_shingles", "lead.n_shingles") * 100 >= F.greatest("n_shingles", "lead.n_shingles") * s.percent
     pairs = shared.select("doc_id", "n_shingles", F.explode("leads").alias("lead")).where(
         (F.col("doc_id") != F.col("lead.doc_id")) & sized)
     pairs = pairs.select(F.least("doc_id", "lead.doc_id").alias("a"), F.greatest("doc_id", "lead.doc_id").alias("b")).distinct()
     needed = shared.select("doc_id").distinct()
-    sets = stage(rows.join(needed, "doc_id", "left_semi").mapInArrow(_shingle_sets(s, lower), "id long, hashes binary, sketch binary"),
-                 "near-sets")
+    sets = settled(rows.join(needed, "doc_id", "left_semi").mapInArrow(_shingle_sets(s, lower), "id long, hashes binary, sketch binary"))
     sketches = sets.select("id", "sketch")
     pairs = (pairs.join(sketches.toDF("b", "sb"), "b").join(sketches.toDF("a", "sa"), "a").select("a", "b", "sa", "sb")
              .mapInArrow(_sketched(s), "a long, b long"))
     links = _verified(pairs, sets, s)
-    labels = stage(components(links), "near-labels")
+    labels = settled(components(links))
 
     # band values that hold several components: compare across components only
     label = F.coalesce("label", "doc_id").alias("label")
