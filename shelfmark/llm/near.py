@@ -153,9 +153,13 @@ def _leaders(banded: DataFrame, s: Settings) -> DataFrame:
 
 
 def _cross_labels(s: Settings):
-    """Pairs of one (band value, block pair) with different labels whose sizes and sketches allow a link."""
+    """Pairs of one (band value, block pair) with different labels whose sizes and sketches allow a link.
+
+    Of the band values a pair shares only the smallest gives it.
+    """
     def run(key, table):
-        first, second = key[1].as_py(), key[2].as_py()
+        band, first, second = (k.as_py() for k in key)
+        bands = [b.values.to_numpy() for b in table.column("bands").combine_chunks()]
         block, ids, label, n = (table.column(c).to_numpy() for c in ("part", "doc_id", "label", "n_shingles"))
         sketches = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint64).reshape(len(ids), -1)
         left, right = np.flatnonzero(block == first), np.flatnonzero(block == second)
@@ -165,6 +169,7 @@ def _cross_labels(s: Settings):
                       & (100 * np.minimum(n[right], n[i]) >= s.percent * np.maximum(n[right], n[i]))]
             if len(j):
                 j = j[_estimate(np.bitwise_count(sketches[j] ^ sketches[i]).sum(axis=1), s) >= _least(s)]
+                j = j[np.array([np.intersect1d(bands[i], bands[x]).min() == band for x in j], bool)]
                 found[0].append(np.minimum(ids[j], ids[i]))
                 found[1].append(np.maximum(ids[j], ids[i]))
         a, b = (np.concatenate(f) if f else np.empty(0, np.int64) for f in found)
@@ -240,6 +245,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                    .where("low != high").select("band"))
     parts = F.ceil(F.col("members") / s.block).cast("int")
     members = (members.join(mixed_bands, "band").join(sketches.withColumnRenamed("id", "doc_id"), "doc_id")
+               .join(reps.select("doc_id", "bands"), "doc_id")
                .withColumn("part", F.pmod(F.xxhash64("doc_id"), parts).cast("int")))
     met = members.withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1))).withColumns(
         {"i": F.least("part", "other"), "j": F.greatest("part", "other")}).drop("members", "other")
