@@ -20,16 +20,16 @@ class Settings:
     ``bands`` of ``rows`` MinHash values each: a pair at the similarity s shares no band with probability
     (1 - s**rows)**bands, 3e-6 at 0.8 with the default. For documents that share one, odd sketches fold ``samples``
     further MinHash values into ``sketch_words`` * 64 parity bits. Pairs estimated at less than ``percent`` - ``slack``
-    are not looked at in full: 4.4 standard errors of the estimate, so 5e-6 of the pairs just similar enough are lost.
+    are not looked at in full: 4.7 standard errors of the estimate, so 2e-6 of the pairs just similar enough are lost.
     """
 
     shingle: int = 5
     percent: int = 80
     bands: int = 32
     rows: int = 5
-    samples: int = 1024
-    sketch_words: int = 64
-    slack: float = 7.5
+    samples: int = 2048
+    sketch_words: int = 128
+    slack: float = 5.5
     #: leaders of a band value, picked at random, that its members are compared with before anything else
     leaders: int = 2
     #: documents of one band value compared with one another in one task
