@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -40,10 +41,16 @@ def id_out(name: str = "doc_id") -> Column:
 def settled(df: DataFrame) -> DataFrame:
     """``df`` computed once into the folder of ``spark.checkpoint.dir``: lineage is cut, lost executors cost nothing.
 
-    Spark removes the files when nothing refers to them any more (``spark.cleaner.referenceTracking.cleanCheckpoints``).
+    Spark removes these files (``spark.cleaner.referenceTracking.cleanCheckpoints``) and the shuffle files of the step when
+    the driver's collector finds that nothing refers to them; it is asked to look after every step, as a step's shuffles
+    can be as large as the table.
     """
-    shared_root(df.sparkSession)
-    return df.checkpoint()
+    spark = df.sparkSession
+    shared_root(spark)
+    out = df.checkpoint()
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+    return out
 
 
 def raw(column: pa.Array) -> list[bytes]:
