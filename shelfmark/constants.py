@@ -56,7 +56,7 @@ BLANKS = r"[\s\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000
 # --- fixed values: patterns and formats ---
 ORDERED_NAME = r"^(\d+)_?\s*(.+)$"
 DATED_NAME = r"^(\d{4})(.+)$"
-VERSION_MARK = r"\s+V(\d+)\b"                              # any letter case
+VERSION_MARK = BLANKS + r"V(\d+)\b"                              # any letter case
 DATE_CELL = r"^\d{1,2}/\d{1,2}"
 DATE_CELL_MAX_LEN = 10
 EDITOR_PAREN = r"[（(]([^）)\n]+)[）)]"

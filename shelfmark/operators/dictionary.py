@@ -94,13 +94,14 @@ def progressive_prefix_lookup(df: DataFrame, name: str, lookup: DataFrame, direc
                               default: str | None = None, min_len: int = C.MIN_SEARCH_KEY_LEN,
                               row_key: Sequence[str] | None = None) -> DataFrame:
     """Adds ``found``: up to three directly contained words, else the value of the longest known
-    prefix of the name, else ``default``. ``lookup`` has (key, value).
+    prefix of the name, else ``default``. ``lookup`` has (key, value); null and blank values are as good as none.
     """
     def resolve(names: DataFrame) -> DataFrame:
         prefixes = names.filter(F.length(name) >= min_len).select(
             name, F.explode(F.transform(F.sequence(F.lit(min_len), F.length(name)),
                                         lambda n: F.left(F.col(name), n))).alias("key"))
-        hits = prefixes.join(lookup.select("key", "value"), "key")
+        known = lookup.select("key", "value").where(F.trim("value") != "")      # a blank value does not end the search
+        hits = prefixes.join(known, "key")
         return hits.groupBy(name).agg(F.max_by("value", F.length("key")).alias("_value"))
 
     out = attach_lookup(df, [name], row_key or df.columns, resolve, ["_value"])

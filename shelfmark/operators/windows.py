@@ -32,7 +32,7 @@ def keeper_plan(df: DataFrame, group: Sequence[str], key: str, mtime: str, usabl
     """Adds ``plan`` to the members of duplicate groups: keeper (newest usable), row-only (same
     physical file), move (same content), hash-mismatch, no-keeper; single rows get 'single'.
     """
-    age = -F.unix_micros(F.col(mtime).cast("timestamp"))
+    age = F.coalesce(-F.unix_micros(F.col(mtime).cast("timestamp")), F.lit((1 << 63) - 1))     # without a time: last
     cand = F.when(usable, F.struct(age.alias("age"), F.col(key).alias("id"), F.col(content).alias("hash"),
                                    F.col(canonical).alias("canon")))
     rows = attach_group(df, group, [key], {"_keep": ("min", cand), "copies": ("count", F.lit(1))})

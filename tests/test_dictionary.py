@@ -82,3 +82,11 @@ def test_render_batches(spark):
     df = spark.createDataFrame([(i, f"n{i}") for i in range(1, 6)], "rn bigint, n string")
     got = D.render_batches(df, "rn", F.concat_ws(" | ", "n", F.lit("ch")), 2, "extra")
     assert rows(got) == [(1, "1. n1 | ch\n2. n2 | ch\nextra"), (2, "1. n3 | ch\n2. n4 | ch\nextra"), (3, "1. n5 | ch\nextra")]
+
+
+def test_blank_value_does_not_end_the_prefix_search(spark):
+    from shelfmark.operators.dictionary import progressive_prefix_lookup
+    names = spark.createDataFrame([("abcdef",), ("abzz",)], "name string")
+    lookup = spark.createDataFrame([("abcd", None), ("abcde", " "), ("abc", "X")], "key string, value string")
+    got = {r["name"]: r["found"] for r in progressive_prefix_lookup(names, "name", lookup, default="none", min_len=2).collect()}
+    assert got == {"abcdef": "X", "abzz": "none"}

@@ -216,3 +216,10 @@ def test_full_width_blanks_count_as_white_space(ev):
 def test_leading_words_go_once_and_in_order(ev):
     clean = lambda c: N.clean_title(c, ["Nora", "Zoe外", "Zoe"], [], [])
     assert ev(clean, ["Nora_Zoe外、案", "Zoe Nora 案", "NoraNora 案", "Zoe外案"]) == ["案", "Nora 案", "Nora 案", "案"]
+
+
+def test_version_after_a_full_width_blank(ev):
+    from shelfmark.functions.paths import extract_version
+    got = ev(lambda c: extract_version(c), ["case\u3000V2", "case\u00a0v3"])
+    plain = ev(lambda c: extract_version(c), ["case V2", "case v3"])
+    assert got[:2] == plain

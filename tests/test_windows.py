@@ -152,3 +152,12 @@ def test_fuzzy_limit_is_alphabetical(spark):
     got = spark.sql("select * from fuzzy_search_cases('red')").collect()
     want = Q.fuzzy_case_search(df, "n", "red").collect()
     assert [(r.case_name, round(r.sim, 6)) for r in got] == [(r.case_name, round(r.sim, 6)) for r in want]
+
+
+def test_keeper_needs_a_time_to_win(spark):
+    from pyspark.sql import functions as F
+    from shelfmark.operators.windows import keeper_plan
+    df = spark.createDataFrame([("g", "a", None, "h", "c1"), ("g", "b", "2024-01-01 00:00:00", "h", "c2")],
+                               "grp string, id string, mtime string, hash string, canon string")
+    plan = {r["id"]: r["plan"] for r in keeper_plan(df, ["grp"], "id", "mtime", F.lit(True), "hash", "canon").collect()}
+    assert plan == {"a": "move", "b": "keeper"}
