@@ -15,13 +15,14 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from shelfmark.session import stage
 
 LANES = 4096
-MAX_BUCKETS = 4096
-FINE = 64
-ROWS_PER_BUCKET = 1_000_000
-_PERCENTILE_TYPES = (T.IntegralType, T.DateType, T.TimestampType, T.TimestampNTZType)
+#: Lanes of a key ranked beyond FEW rows: a lane gets k rows per map task, the last step k rows per lane.
+RANK_LANES = 64
+FEW = 8
+ROWS_PER_BUCKET = 10_000_000
 
 _PARTIAL = {
     "count": lambda c: F.count(c), "sum": F.sum, "min": F.min, "max": F.max,
@@ -86,69 +87,35 @@ def keep_ranked(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k:
     """First ``k`` rows per key in ``order``, which must be total.
 
     row_number() <= k is planned with a group limit before the shuffle, so at most k rows per
-    key and map task travel.
+    key and map task travel. Above a few rows that is still much for one task, so the rows of a
+    key are ranked inside lanes first.
     """
     name = rank_col or "_rank"
-    limit = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold"))
-    if k > limit:
-        # beyond Spark's group limit: rank inside lanes first, so no task starts from a whole group
+    if k > FEW:
         inner = Window.partitionBy(*keys, "_lane").orderBy(*order)
-        df = df.withColumn("_lane", lane(df.columns)).withColumn("_pre", F.row_number().over(inner))
+        spread = F.pmod(F.xxhash64(*df.columns), F.lit(RANK_LANES)).cast("int")
+        df = df.withColumn("_lane", spread).withColumn("_pre", F.row_number().over(inner))
         df = df.filter(F.col("_pre") <= k).drop("_lane", "_pre")
     out = df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
     out = out.filter(F.col(name) <= k)
     return out if rank_col else out.drop(name)
 
 
-def _split_points(df: DataFrame, order: Sequence[str], buckets: int | None) -> list[tuple]:
-    """Lower bounds of even ranges of the order columns; at most MAX_BUCKETS come to the driver.
-
-    Without ``buckets`` there is one range per ROWS_PER_BUCKET rows.
-    """
-    n = buckets or max(1, min(-(-df.count() // ROWS_PER_BUCKET), MAX_BUCKETS))
-    if n == 1:
-        return []
-    if len(order) == 1 and isinstance(df.schema[order[0]].dataType, _PERCENTILE_TYPES):
-        # one combinable aggregate, nothing is shuffled
-        shares = ",".join(f"{i / n}D" for i in range(1, n))
-        cuts = df.agg(F.expr(f"percentile_approx(`{order[0]}`, array({shares}), {max(10 * n, 1000)})")).first()[0]
-        return [(x,) for x in sorted(set(cuts or []))]
-    ranged = df.select(*order).repartitionByRange(n, *[F.col(c).asc() for c in order])
-    key = F.struct(*[F.col(c) for c in order])
-    lows = ranged.groupBy(F.spark_partition_id().alias("p")).agg(F.min(key).alias("low"))
-    found = sorted((r["p"], tuple(r["low"])) for r in lows.collect())
-    return [low for _, low in found[1:]]
-
-
 def range_bucket(df: DataFrame, order: Sequence[str], buckets: int | None = None,
                  name: str = "_bucket") -> DataFrame:
-    """Add a bucket number that grows with the order columns (nulls first).
+    """The rows with a bucket number that grows with the order columns (nulls first).
 
-    Split points come from one pass over the order columns alone and are fixed literals
-    afterwards, so every branch and every retry sees the same buckets. A row is placed by
-    binary search over every FINE-th point, then among the FINE points of its stretch.
+    The rows are range-partitioned and written once with the number of their partition, so every branch and every
+    retry reads the same buckets. Without ``buckets`` there is one per ROWS_PER_BUCKET rows, however many that makes:
+    the rows are written first, so that ``df`` is computed once, and counted from the file footers.
     """
-    lows = _split_points(df, order, buckets)
-    key = F.struct(*[F.col(c) for c in order])
-    types = df.select(*order).schema
-
-    def point(low: tuple) -> Column:
-        return F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(low, types)])
-
-    def search(points: list[tuple], lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(key >= point(points[mid]), search(points, mid + 1, hi)).otherwise(search(points, lo, mid))
-
-    if len(lows) <= FINE:
-        return df.withColumn(name, search(lows, 0, len(lows)))
-    stretches = [lows[i:i + FINE] for i in range(0, len(lows), FINE)]
-    heads = [s[0] for s in stretches[1:]]
-    rows = df.withColumn("_coarse", search(heads, 0, len(heads)))
-    table = F.array(*[F.array(*[point(x) for x in s]) for s in stretches])
-    fine = F.size(F.filter(F.element_at(table, F.col("_coarse") + 1), lambda x: x <= key))
-    return rows.withColumn(name, F.col("_coarse") * FINE + fine).drop("_coarse")
+    if buckets is None:
+        df = stage(df.withColumn(name, F.lit(0)), "rows")
+        buckets = -(-df.count() // ROWS_PER_BUCKET)
+        if buckets <= 1:
+            return df
+    ranged = df.repartitionByRange(buckets, *[F.col(c).asc() for c in order])
+    return stage(ranged.withColumn(name, F.spark_partition_id()), "buckets")
 
 
 def running_sum(df: DataFrame, parts: Sequence[str], order: Sequence[str],
@@ -165,7 +132,7 @@ def running_sum(df: DataFrame, parts: Sequence[str], order: Sequence[str],
         rows = rows.withColumn(f"_v{i}", c)
     local = Window.partitionBy(*parts, "_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     before = Window.partitionBy(*parts).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    # one row per (part, bucket): at most MAX_BUCKETS rows share a window partition here
+    # one row per (part, bucket): a millionth of the rows or less share a window partition here
     heads = rows.groupBy(*parts, "_bucket").agg(*[F.sum(f"_v{i}").alias(f"_s{i}") for i in range(len(sums))])
     heads = heads.select(
         *[F.col(p).alias(f"_h_{p}") for p in parts], F.col("_bucket").alias("_h_bucket"),

@@ -10,12 +10,21 @@ from pyspark.sql import functions as F
 
 from shelfmark import constants as C
 from shelfmark.functions.values import hours_between
-from shelfmark.operators.lanes import attach_group, keep_ranked, numbered
+from shelfmark.operators.lanes import attach_lookup, keep_ranked, numbered
 
 
-def upsert_merge(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
-    """Rows of ``source`` replace or join those of ``target``; columns it lacks keep their value."""
-    src = source.select(*[F.col(c).alias(f"_s_{c}") for c in source.columns], F.lit(True).alias("_hit"))
+def _one_per_key(df: DataFrame, key: str, order: Sequence[Column]) -> DataFrame:
+    """The first row of each key in ``order``, else the one with the largest values; a null key is a key too."""
+    return keep_ranked(df, [key], list(order) or [F.desc(c) for c in df.columns if c != key] or [F.lit(1)])
+
+
+def upsert_merge(target: DataFrame, source: DataFrame, key: str, order: Sequence[Column] = ()) -> DataFrame:
+    """Rows of ``source`` replace or join those of ``target``; columns it lacks keep their value.
+
+    Of several source rows for a key the first in ``order`` counts, without one that with the largest values.
+    """
+    src = _one_per_key(source, key, order)
+    src = src.select(*[F.col(c).alias(f"_s_{c}") for c in source.columns], F.lit(True).alias("_hit"))
     both = target.join(src, F.col(key) == F.col(f"_s_{key}"), "full")
     given = set(source.columns)
     return both.select(*[
@@ -23,10 +32,10 @@ def upsert_merge(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
         for c in target.columns])
 
 
-def partial_update(target: DataFrame, patch: DataFrame, key: str) -> DataFrame:
-    """Columns of ``patch`` overwrite matching rows where they are not null."""
+def partial_update(target: DataFrame, patch: DataFrame, key: str, order: Sequence[Column] = ()) -> DataFrame:
+    """Columns of ``patch`` overwrite matching rows where they are not null; repeated keys as in ``upsert_merge``."""
     cols = [c for c in patch.columns if c != key]
-    p = patch.select(F.col(key).alias("_k"), *[F.col(c).alias(f"_p_{c}") for c in cols])
+    p = _one_per_key(patch, key, order).select(F.col(key).alias("_k"), *[F.col(c).alias(f"_p_{c}") for c in cols])
     out = target.join(p, F.col(key) == F.col("_k"), "left")
     return out.select(*[F.coalesce(f"_p_{c}", c).alias(c) if c in cols else F.col(c) for c in target.columns])
 
@@ -70,16 +79,13 @@ def prune_plan(stored: DataFrame, scanned: DataFrame, key: str, source: str,
 
 def guarded_prune(stored: DataFrame, scanned: DataFrame, key: str, source: str,
                   share: float = C.PRUNE_MAX_STALE_SHARE) -> DataFrame:
-    """``stored`` without the stale rows of the sources whose guard allows pruning."""
+    """``stored`` without the stale rows of the sources that ``prune_plan`` says to prune."""
     seen = scanned.select(F.col(source).alias("_s"), F.col(key).alias("_k"), F.lit(1).alias("_seen")).distinct()
-    both = stored.withColumn("_stored", F.lit(1)).join(
-        seen, (F.col(source) == F.col("_s")) & (F.col(key) == F.col("_k")), "full")
-    both = both.withColumn("_src", F.coalesce(source, "_s")).withColumn("_key", F.coalesce(key, "_k"))
-    counted = attach_group(both, ["_src"], ["_key"], {
-        "_scanned": ("count", F.col("_seen")), "_stale": ("count", F.when(F.col("_seen").isNull(), F.lit(1)))})
-    allowed = (F.col("_scanned") > 0) & (F.col("_stale") <= F.col("_scanned") * share)
-    gone = F.col("_seen").isNull() & allowed
-    return counted.filter(F.col("_stored").isNotNull() & ~gone).select(*stored.columns)
+    rows = stored.join(seen, (F.col(source) == F.col("_s")) & (F.col(key) == F.col("_k")), "left").drop("_s", "_k")
+    plan = prune_plan(stored, scanned, key, source, share).select(F.col(source).alias("_s"), F.col("action").alias("_action"))
+    rows = attach_lookup(rows, [source], [key], lambda k: k.join(plan, F.col(source) == F.col("_s")), ["_action"])
+    gone = F.col("_seen").isNull() & F.col("_action").eqNullSafe("prune")
+    return rows.filter(~gone).select(*stored.columns)
 
 
 def full_refresh(df: DataFrame, path: str) -> DataFrame:

@@ -86,7 +86,7 @@ def _(s, sf):
     return A.all_older(table(s, sf, "orders").withColumn("mtime", ts), "o_custkey", "mtime", lit("2001-01-15").cast("timestamp_ntz"))
 
 
-KEEPERS = """kp as (select doc_id, n_chars, md5(text) as content, left(text, 40) as grp, md5(text || source) as canon, quality is distinct from 0 as usable, doc_id as mt from documents left join labels using (doc_id)),
+KEEPERS = """kp as (select doc_id, n_chars, md5(text) as content, concat_ws('|', lang, n_chars) as grp, md5(text || source) as canon, quality is distinct from 0 as usable, doc_id as mt from documents left join labels using (doc_id)),
 k1 as (select grp, arg_min(doc_id, doc_id) filter (where usable) as keeper, arg_min(content, doc_id) filter (where usable) as kc,
    arg_min(canon, doc_id) filter (where usable) as kn, count(*) as copies from kp group by 1),
 kplan as (select doc_id, n_chars, keeper, copies, case when copies < 2 then 'single' when keeper is null then 'no-keeper' when doc_id = keeper then 'keeper'
@@ -95,7 +95,7 @@ kplan as (select doc_id, n_chars, keeper, copies, case when copies < 2 then 'sin
 
 def keeper_rows(s, sf):
     d = table(s, sf, "documents").join(table(s, sf, "labels"), "doc_id", "left")
-    rows = d.select("doc_id", "n_chars", F.left("text", lit(40)).alias("grp"), F.md5("text").alias("content"),
+    rows = d.select("doc_id", "n_chars", F.concat_ws("|", "lang", "n_chars").alias("grp"), F.md5("text").alias("content"),
                     F.md5(F.concat("text", "source")).alias("canon"), (~c("quality").eqNullSafe(0)).alias("usable"),
                     F.timestamp_seconds(lit(2_000_000_000) - c("doc_id")).alias("mtime"))
     return W.keeper_plan(rows, ["grp"], "doc_id", "mtime", c("usable"), "content", "canon")

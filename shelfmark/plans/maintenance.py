@@ -110,7 +110,9 @@ def _(s, sf):
 
 KEYS = {"region": ["r_regionkey"], "nation": ["n_nationkey"], "customer": ["c_custkey"], "supplier": ["s_suppkey"],
         "part": ["p_partkey"], "orders": ["o_orderkey"], "events": ["event_id"],
-        "lineitem": ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]}
+        "lineitem": ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"],
+        "documents": ["doc_id"], "embeddings": ["vec_id"], "pages": ["page_id"], "benchmark": ["item_id"],
+        "labels": ["doc_id"], "conversations": ["conv_id", "turn"]}
 
 
 @query("K8", "backup_export_manifest", " union all ".join(f"select '{t}' as name, count(*) as rows, null as error from {t}" for t in KEYS)

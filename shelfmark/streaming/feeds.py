@@ -112,23 +112,19 @@ def late_by_watermark(stream: DataFrame, key: str, ts: str, delay: str = f"{C.NE
 def streak_state(key: str, order: Sequence[str], is_null: Column, path: str) -> Handler:
     """Running null streak per key: version ``n`` of the state holds everything up to batch ``n``.
 
-    A batch shrinks to one row per key (nulls after its last hit, whether it had a hit), which
-    merges with the stored streak: a hit restarts it, otherwise it grows. No key is replayed.
+    Next to it, as rows, lie each key's last hit and the nulls after it: a hit or null that arrives late takes its
+    place in ``order``, so the streak is that of the batch form however the rows were dealt.
     """
     def update(df: DataFrame, batch_id: int) -> None:
         spark = df.sparkSession
-        at = F.struct(*order)
-        rows = attach_group(df.withColumn("_null", is_null), [key], [key, *order], {
-            "_hit": ("max", F.when(~F.col("_null"), at))})
-        live = F.col("_null") & (F.col("_hit").isNull() | (at > F.col("_hit")))
-        batch = rows.groupBy(key).agg(F.count_if(live).alias("n"), F.max(F.col("_hit").isNotNull()).alias("hit"))
-        schema = f"{key} bigint, streak bigint"
-        old = (spark.read.schema(schema).parquet(f"{path}/v={batch_id - 1}") if batch_id > 0
-               else spark.createDataFrame([], schema))
-        both = old.join(batch, key, "full")
-        kept = F.when(F.coalesce("hit", F.lit(False)), F.lit(0)).otherwise(F.coalesce("streak", F.lit(0)))
-        both.select(key, (kept + F.coalesce("n", F.lit(0))).cast("bigint").alias("streak")).write.mode(
-            "overwrite").parquet(f"{path}/v={batch_id}")
+        batch = df.select(key, F.struct(*order).alias("at"), is_null.alias("null"))
+        old = (spark.read.schema(batch.schema).parquet(f"{path}-rows/v={batch_id - 1}") if batch_id > 0
+               else spark.createDataFrame([], batch.schema))
+        rows = attach_group(old.unionByName(batch), [key], [key, "at"], {"_hit": ("max", F.when(~F.col("null"), F.col("at")))})
+        kept = F.col("_hit").isNull() | F.when(F.col("null"), F.col("at") > F.col("_hit")).otherwise(F.col("at") == F.col("_hit"))
+        rows.filter(kept).select(batch.columns).write.mode("overwrite").parquet(f"{path}-rows/v={batch_id}")
+        now = spark.read.schema(batch.schema).parquet(f"{path}-rows/v={batch_id}")
+        now.groupBy(key).agg(F.count_if("null").alias("streak")).write.mode("overwrite").parquet(f"{path}/v={batch_id}")
     return update
 
 

@@ -96,6 +96,13 @@ def test_keep_ranked_beyond_the_group_limit(spark, df, data):
         spark.conf.unset("spark.sql.optimizer.windowGroupLimitThreshold")
 
 
+def test_keep_ranked_goes_through_lanes_above_a_few_rows(df, data):
+    got = L.keep_ranked(df, ["k"], [F.asc("v"), F.asc("id")], 1000)
+    want = sorted(x[0] for rows in by_key(data).values() for x in sorted(rows, key=lambda x: (x[3], x[0]))[:1000])
+    assert sorted(r.id for r in got.collect()) == want
+    assert "_lane" in got._jdf.queryExecution().executedPlan().toString()
+
+
 def test_numbered_over_text_and_dates(spark):
     import datetime as dt
     items = [(f"n{i % 13}-{i}", dt.date(2024, 1, 1) + dt.timedelta(days=i % 40), i) for i in range(500)]

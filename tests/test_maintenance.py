@@ -32,6 +32,20 @@ def test_partial_update_and_report(spark):
     assert rows(M.partial_update_report(t, p.filter("k = 9"), "k")) == [(1, 0, "failed")]
 
 
+def test_repeated_source_keys_give_one_row(spark):
+    t = keyed(spark, [(1, "a", "x"), (2, "b", "y")])
+    s = keyed(spark, [(2, "c", 1), (2, "d", 2), (3, "e", 2), (3, "f", 1)], "k int, v string, seq int")
+    assert rows(M.upsert_merge(t, s, "k", [F.desc("seq")]), "k", "v") == [(1, "a"), (2, "d"), (3, "e")]
+    assert rows(M.upsert_merge(t, s.drop("seq"), "k"), "k", "v") == [(1, "a"), (2, "d"), (3, "f")]
+    assert rows(M.partial_update(t, s.drop("seq"), "k", [F.asc("v")])) == [(1, "a", "x"), (2, "c", "y")]
+
+
+def test_prune_counts_keys_not_rows(spark):
+    stored, scanned = sources(spark, {"s": [1, 2, 3, 3, 3]}, {"s": [1, 2]})       # 1 stale key in 3 rows
+    assert [(r.stale, r.action) for r in M.prune_plan(stored, scanned, "k", "src").collect()] == [(1, "prune")]
+    assert rows(M.guarded_prune(stored, scanned, "k", "src"), "k") == [(1,), (2,)]
+
+
 def test_insert_ignore_twice_changes_nothing(spark):
     t = keyed(spark, [(1, "a")], "k int, v string")
     b = keyed(spark, [(1, "z", "n", 1), (2, "b", "n", 1), (2, "c", "n", 2)], "k int, v string, note string, seq int")
@@ -124,6 +138,20 @@ def test_journal_reader(spark):
     assert rows(journals.read_tolerant(spark, path, "status string, fid string"), "status") == [("mv-fail",), ("mv-fail",), ("odd",), ("tag",)]
 
 
+def test_journal_values_of_another_type_are_no_failure(spark):
+    lines = spark.createDataFrame([(x,) for x in (
+        '{"id":"abc","status":"tag"}', '{"id":1.5,"status":"tag"}', '{"id":7,"status":"tag","bbox":{"x":1,"y":2},"cost":1.25}',
+        '{"id":8,"status":"tag","bbox":"none"}', '[1]', '17', '{"id":')], "line string")
+    schema = "status string, id bigint, bbox struct<x:int,y:int>, cost decimal(10,2)"
+    got = [(r.status, r.id, r.bbox and tuple(r.bbox), r.cost and float(r.cost)) for r in
+           journals.parse_tolerant(lines, "line", schema).collect()]
+    assert got == [("tag", None, None, None), ("tag", None, None, None), ("tag", 7, (1, 2), 1.25), ("tag", 8, None, None),
+                   *[("mv-fail", None, None, None)] * 3]
+    path = shared_path(spark, "lines")
+    lines.write.text(path)
+    assert journals.read_dropping(spark, path, schema, "tag").count() == 4
+
+
 def test_envelopes(spark):
     path = shared_path(spark, "env")
     snapshots.write_envelopes(spark.range(25).withColumnRenamed("id", "k"), "k", path, F.lit("now"), 10)

@@ -96,6 +96,21 @@ def test_streak_state_equals_batch(spark, feed):
     assert got == rows(want, "k", "streak") == [(1, 2), (2, 5), (3, 0), (4, 0), (5, 4)]
 
 
+def test_streak_takes_late_rows_in_their_place(spark, feed):
+    path, put = feed
+    state, chk = shared_path(spark, "state"), shared_path(spark, "chk")
+    handler = T.streak_state("k", ["ts", "id"], F.col("n"), state)
+    seen = []
+    for batch, want in [([item(1, 1, 10), item(2, 1, 11), item(3, 1, 12)], 3), ([item(4, 1, 5, False)], 3),
+                        ([item(5, 1, 11.5, False)], 1), ([item(6, 1, 11.2), item(7, 1, 13)], 2)]:
+        put(batch)
+        seen += batch
+        T.drain(T.file_feed(spark, path, SCHEMA), handler, chk)
+        assert rows(T.latest_state(spark, state, "k bigint, streak bigint")) == [(1, want)]
+        twin = W.null_streak(spark.createDataFrame(seen, SCHEMA), "k", ["ts", "id"], F.col("n"), "ts")
+        assert rows(twin, "k", "streak") == [(1, want)]
+
+
 def test_skip_reasons_in_order(spark):
     t, f = F.lit(True), F.lit(False)
     now = F.lit(T0)
