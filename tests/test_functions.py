@@ -1,5 +1,6 @@
 import datetime as dt
 import hashlib
+import zlib
 
 from pyspark.sql import functions as F
 
@@ -8,6 +9,7 @@ from shelfmark.functions import names as N
 from shelfmark.functions import paths as P
 from shelfmark.functions import text as X
 from shelfmark.functions import values as V
+from shelfmark.operators import predicates as R
 
 HAN = r"\u4e00-\u9fff"
 
@@ -223,3 +225,8 @@ def test_version_after_a_full_width_blank(ev):
     got = ev(lambda c: extract_version(c), ["case\u3000V2", "case\u00a0v3"])
     plain = ev(lambda c: extract_version(c), ["case V2", "case v3"])
     assert got[:2] == plain
+
+
+def test_shard_is_the_crc32_of_the_key_as_text(spark):
+    got = spark.range(500).withColumn("shard", R.shard_of(F.col("id"), 7)).collect()
+    assert [r.shard for r in got] == [zlib.crc32(str(r.id).encode()) % 7 for r in got]
