@@ -12,14 +12,15 @@ from shelfmark.llm.common import id_out, keyed
 
 #: Exact lanes: sums modulo 2**EXACT_BITS of a seeded 64-bit hash of every paragraph.
 EXACT, EXACT_BITS = 8, 56
-#: Likeness lanes: longs of four COUNT_BITS-bit counters; a counter counts the pieces whose hash has its bit.
-PACKS, COUNT_BITS = 30, 15
+#: Likeness lanes: longs of two COUNT_BITS-bit counters; a counter counts the pieces whose hash has its bit. A text of
+#: Spark has less than 2**31 bytes and a piece takes two with its line break, so that no counter of a text wraps.
+PACKS, PER_PACK, COUNT_BITS = 60, 2, 30
 #: Consecutive words of a paragraph, from its start, that make up a piece.
 PIECE_WORDS = 4
 
 _EXACT_MASK = (1 << EXACT_BITS) - 1
-_PACK_MASK = (1 << 4 * COUNT_BITS) - 1
-_ONES = sum(1 << (COUNT_BITS * k) for k in range(4))
+_PACK_MASK = (1 << PER_PACK * COUNT_BITS) - 1
+_ONES = sum(1 << (COUNT_BITS * k) for k in range(PER_PACK))
 
 
 def _summed(items: Column, value, mask: int) -> Column:
@@ -37,16 +38,20 @@ def with_vector(df: DataFrame, text: Column, name: str) -> DataFrame:
     df = df.withColumns({
         paragraphs: F.split(text, "\n"),
         pieces: F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda p: F.xxhash64(F.rtrim(p)))})
+    bits = [f"_{name}_bits_{k}" for k in range(PACKS // COUNT_BITS)]
+    for k, c in enumerate(bits):
+        df = df.withColumn(c, F.transform(pieces, lambda h: F.xxhash64(F.lit(k), h)))
 
     def exact(i: int) -> Column:
         return _summed(F.col(paragraphs), lambda p: F.xxhash64(F.lit(i), p).bitwiseAND(_EXACT_MASK), _EXACT_MASK)
 
     def pack(i: int) -> Column:
         again, shift = divmod(i, COUNT_BITS)
-        return _summed(F.col(pieces), lambda h: F.shiftrightunsigned(F.xxhash64(F.lit(again), h), shift).bitwiseAND(_ONES), _PACK_MASK)
+        return F.aggregate(f"_{name}_bits_{again}", F.lit(0).cast("long"),
+                           lambda total, h: total + F.shiftrightunsigned(h, shift).bitwiseAND(_ONES))
 
     lanes = [*map(exact, range(EXACT)), *map(pack, range(PACKS)), F.size(pieces).cast("long")]
-    return df.withColumn(name, F.array(*lanes)).drop(paragraphs, pieces)
+    return df.withColumn(name, F.array(*lanes)).drop(paragraphs, pieces, *bits)
 
 
 def _modulo(i: Column) -> Column:
@@ -73,7 +78,7 @@ def _signed(vector: Column) -> Column:
     one = (1 << COUNT_BITS) - 1
     return F.flatten(F.transform(F.slice(vector, EXACT + 1, PACKS), lambda pack: F.array(*[
         (2 * F.shiftrightunsigned(pack, COUNT_BITS * k).bitwiseAND(one) - F.element_at(vector, -1)).cast("double")
-        for k in range(4)])))
+        for k in range(PER_PACK)])))
 
 
 def with_likeness(df: DataFrame, pairs: dict[str, tuple[str, str]]) -> DataFrame:

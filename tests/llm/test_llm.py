@@ -211,6 +211,26 @@ def test_fingerprints_add_and_delete(spark):
     assert r["p"] and r["m"]
 
 
+def test_likeness_of_very_long_texts(spark):
+    """70,000 to 80,000 pieces a text, near_* against the cosine of the piece counts; one line comes 40,000 times."""
+    rng = random.Random(3)
+    many = [" ".join(f"{k}w{rng.randrange(10**9)}" for _ in range(4)) for k in range(80000)]
+    other = [" ".join(f"{k}v{rng.randrange(10**9)}" for _ in range(4)) for k in range(80000)]
+    texts = ["\n".join(many), "\n".join(other), "\n".join(["one and the same"] * 40000 + many[:30000]), "\n".join(other[:40000] + many[:35000])]
+    assert len(texts[0].split()) > 300000
+    df = spark.createDataFrame([(i, t, "en", "s", 0, False, 1, 2, 0.5) for i, t in enumerate(texts)], SCHEMA)
+
+    def cosine(a, b):
+        a, b = (Counter(" ".join(line.split()[k:k + 4]) for line in t.split("\n") for k in range(0, len(line.split()), 4)) for t in (a, b))
+        return sum(n * b[p] for p, n in a.items()) / (sum(n * n for n in a.values()) * sum(n * n for n in b.values())) ** 0.5
+
+    for r in multiset.edited_fingerprints(df).collect():
+        text, after = texts[r["doc_id"]], texts[(r["doc_id"] + 1) % len(texts)]
+        half = len(text) // 2
+        assert abs(r["near_edited"] - cosine(text, text[:len(text) - half] + after[:half])) < 0.3
+        assert abs(r["near_next"] - cosine(text, after)) < 0.3
+
+
 def test_bpe(docs, texts, empty):
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     vocab = bpe.vocabulary(path)
