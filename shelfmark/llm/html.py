@@ -135,6 +135,9 @@ def blocks_of(html: str) -> tuple[list[tuple[str, _Node, int]], _Node]:
             continue
         if name in VOID:
             continue
+        if name == "svg" and attributes.rstrip().endswith("/"):     # closed in itself, as foreign elements may be
+            say(" ")
+            continue
         if name in RAW:                                     # its content is no markup
             close = re.compile(rf"</{name}\s*>", re.I).search(html, at)
             at = close.end() if close else size

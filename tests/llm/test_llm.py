@@ -335,6 +335,14 @@ def test_html(spark):
     assert html.extract(pages.limit(0)).count() == 0
 
 
+def test_html_self_closed_svg():
+    body = "<article><p>First, one.</p>{}<p>Second, two.</p></article>"
+    for icon in ("<svg/>", '<svg class="i" viewBox="0 0 1 1" />', "<SVG width=1 />"):
+        assert html.main_text(icon + body.format("")) == "First, one.\nSecond, two."
+        assert html.main_text(body.format(icon) + "<svg><path d='M0'/></svg>") == "First, one.\nSecond, two."
+    assert html.main_text(body.format("<svg><text>no</text></svg>")) == "First, one.\nSecond, two."
+
+
 def test_pipeline(spark, docs, empty, tmp_path):
     import corpus_pipeline
     cols = ["doc_id", "text", "lang", "source", "n_chars"]
