@@ -1,4 +1,4 @@
-"""Main text of web pages: blocks score points for their ancestors, the best container and its siblings are kept."""
+"""Main text of web pages: blocks score points for their ancestors, the article around the best container and its siblings are kept."""
 
 from __future__ import annotations
 
@@ -174,8 +174,9 @@ def main_text(html: str) -> str:
 
     A block gives its parent one point, one per comma and up to three for its length, its grandparent half of them
     and so on upwards; links take their share away, and each container's sum is discounted by its link density. The
-    container with the most points is the article; of its siblings those with a fifth of its points or a
-    paragraph of prose of their own are kept as well. Nothing inside is dropped but marked boilerplate and lists of links.
+    article is the outermost article or main element around the container with the most points, or else that container.
+    It is kept with all that stands beside it: whatever the length, points or name of a block, nothing is dropped there
+    but marked boilerplate and what consists of links. Rows, cells and lists stand beside what their table or list does.
     """
     found, root = blocks_of(html)
     if not found:
@@ -200,28 +201,34 @@ def main_text(html: str) -> str:
     # an element that says it is the article counts for more
     weight = {"article": 1.5, "main": 1.25}
     best = max(nodes.values(), key=lambda n: (n.score * (1 - n.links / max(n.chars, 1)) * weight.get(n.name, 1.0), -n.order))
-    top = best.score * (1 - best.links / max(best.chars, 1))
-
-    def kept(node: _Node, text: str, links: int) -> bool:
-        up = node
-        while up is not None and up.parent is not best.parent:
-            if up is best:
-                return not _is_link_list(node, best)
+    article, up, around = best, best, set()
+    while up is not None:
+        around.add(up)
+        if up.name in weight:
+            article = up
+        up = up.parent
+    scope = article.parent or article
+    while scope.parent is not None and scope.name not in ("div", "section", "article", "main", "body", "html"):
+        scope = scope.parent
+
+    def kept(node: _Node, links: int, chars: int) -> bool:
+        up, inside = node, False
+        while up is not None and up is not scope:
+            inside = inside or up is article
             up = up.parent
-        if up is best or best.parent is None:
-            return not _is_link_list(node, best)
-        if up is None or best.name in ("body", "html"):
+        if up is None:
             return False
-        if up.name == "p" or up is node:
-            return links / len(text) < 0.25 and len(text) > 80
-        return up.score * (1 - up.links / max(up.chars, 1)) >= max(0.2 * top, 5) and up.name == best.name
+        if inside or scope is article:
+            return not _is_link_list(node, around)
+        alone = node in around or (node.name == "p" and node.parent in around)
+        return not _is_link_list(node, around) and not (alone and links > 0.7 * chars)
 
-    return "\n".join(text for text, node, links in found if kept(node, text, links))
+    return "\n".join(text for text, node, links in found if kept(node, links, len(text)))
 
 
-def _is_link_list(node: _Node, best: _Node) -> bool:
-    """Whether the block stands in a list or other inner part that consists of links."""
-    while node is not best and node is not None:
+def _is_link_list(node: _Node, around: set) -> bool:
+    """Whether the block stands in a list or other part that consists of links and does not hold the best container."""
+    while node not in around:
         if node.name in ("ul", "ol", "div", "section", "table", "dl") and node.links > 0.7 * node.chars:
             return True
         node = node.parent

@@ -343,6 +343,32 @@ def test_html_self_closed_svg():
     assert html.main_text(body.format("<svg><text>no</text></svg>")) == "First, one.\nSecond, two."
 
 
+LONG = "Prose, of some length, that goes on, and on, with commas, so that its container wins. " * 3
+
+
+@pytest.mark.parametrize("outer", ["<article>{}</article>", "<main><article>{}</article></main>", "<main><div>{}</div></main>",
+                                   "<div id=x>{}</div>", "<div><section>{}</section></div>"])
+def test_html_keeps_what_stands_beside_the_best_container(outer):
+    inner = ("<h1>Title</h1><div class=lead>Lead</div><div class=body>" + f"<p>{LONG}</p>" * 4 + "<ul><li>in list</li></ul></div>"
+             "<ul><li>one</li><li>two</li></ul><blockquote>Quoted</blockquote><table><tr><td>1</td><td>2</td></tr></table>"
+             "<figure><figcaption>Figure</figcaption></figure><section><p>Second</p></section><p>The end.</p>"
+             "<div class=share>Share</div><ul><li><a href=a>other</a></li><li><a href=b>pages</a></li></ul>")
+    page = f"<body><nav>Nav</nav>{outer.format(inner)}<footer>Foot</footer></body>"
+    assert html.main_text(page).split("\n") == ["Title", "Lead", *[LONG.strip()] * 4, "in list", "one", "two", "Quoted", "1", "2",
+                                                "Figure", "Second", "The end."]
+
+
+def test_html_keeps_headers_and_elements_beside_the_article():
+    p = f"<p>{LONG}</p>" * 3
+    want = [LONG.strip()] * 3
+    page = f"<body><article><header><h1>Title</h1></header><div>{p}</div></article></body>"
+    assert html.main_text(page).split("\n") == ["Title", *want]
+    page = f"<main><h1>Title</h1><article><div>{p}</div></article><article><p>Short one.</p></article></main>"
+    assert html.main_text(page).split("\n") == ["Title", *want, "Short one."]
+    page = f"<div>Head<table><tr><td>{p}</td></tr><tr><td>Next row</td></tr></table></div><p><a href=x>away</a></p>"
+    assert html.main_text(page).split("\n") == ["Head", *want, "Next row"]
+
+
 def test_pipeline(spark, docs, empty, tmp_path):
     import corpus_pipeline
     cols = ["doc_id", "text", "lang", "source", "n_chars"]
