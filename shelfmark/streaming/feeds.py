@@ -6,14 +6,15 @@ output holds every batch once. Checkpoints and outputs live in the shared folder
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from shelfmark import constants as C
-from shelfmark.operators.lanes import attach_group
+from shelfmark.functions import bloom
 from shelfmark.operators.predicates import recent_or_unknown
 
 Handler = Callable[[DataFrame, int], None]
@@ -37,19 +38,25 @@ def _start(stream: DataFrame, handler: Handler, checkpoint: str, mode: str = "ap
 
 
 def drain(stream: DataFrame, handler: Handler, checkpoint: str, mode: str = "append",
-          state_partitions: int | None = None) -> None:
+          state_partitions: int | None = None, settings: dict[str, str] | None = None) -> None:
     """Process everything that is there now and stop; the checkpoint is the resume token.
 
-    ``state_partitions`` sizes the state store; it is fixed by the first run of a checkpoint.
+    ``state_partitions`` sizes the state store; it is fixed by the first run of a checkpoint. ``settings`` hold while the
+    query starts, as ``stateful.STORE`` for keyed state.
     """
-    conf, name = stream.sparkSession.conf, "spark.sql.shuffle.partitions"
-    before = conf.get(name)
+    conf = stream.sparkSession.conf
+    wanted = dict(settings or {}) | ({"spark.sql.shuffle.partitions": str(state_partitions)} if state_partitions else {})
+    before = {name: conf.get(name, None) for name in wanted}
     try:
-        if state_partitions:
-            conf.set(name, str(state_partitions))
+        for name, value in wanted.items():
+            conf.set(name, value)
         _start(stream, handler, checkpoint, mode).awaitTermination()
     finally:
-        conf.set(name, before)
+        for name, value in before.items():
+            if value is None:
+                conf.unset(name)
+            else:
+                conf.set(name, value)
 
 
 def watch(stream: DataFrame, handler: Handler, checkpoint: str, every: str = "600 seconds") -> StreamingQuery:
@@ -70,22 +77,78 @@ def dedup(stream: DataFrame, key: str, ts: str, horizon: str) -> DataFrame:
     return stream.withWatermark(ts, horizon).dropDuplicatesWithinWatermark([key])
 
 
-def deliver_once(key: str, ledger: str, path: str) -> Handler:
-    """Pending = the batch without the ids delivered by other batches. Ids count as seen after delivery."""
+@dataclass(frozen=True)
+class Ledger:
+    """Keys delivered so far, in folders ``day=<event day>/batch_id=<n>`` below ``path``.
+
+    A batch opens the days of its own rows and the ``horizon_days`` before them, so its cost doesn't grow with the age of
+    the ledger; what a key's earlier delivery dated further back is not known to it any more. A retried batch replaces
+    its own folders.
+    """
+
+    path: str
+    key: str
+    ts: str
+    horizon_days: int = 31
+
+    def create(self, spark: SparkSession) -> "Ledger":
+        spark.createDataFrame([], f"{self.key} bigint").write.mode("append").parquet(self.path)
+        return self
+
+    def known(self, batch: DataFrame, batch_id: int) -> DataFrame:
+        """The keys of the batch that other batches have delivered, each once.
+
+        The days are pruned by the batch's, the keys by a Bloom filter of the batch's before anything is shuffled.
+        """
+        day = F.to_date(self.ts)
+        lo, hi = batch.agg(F.date_sub(F.min(day), self.horizon_days), F.max(day)).first()
+        spark = batch.sparkSession
+        seen = spark.read.schema(f"{self.key} bigint, day date, batch_id bigint").parquet(self.path)
+        window = F.col("day").isNull()
+        if lo is not None:
+            window = window | F.col("day").between(F.lit(lo), F.lit(hi))
+        seen = seen.filter(window & (F.col("batch_id") != batch_id))
+        seen = seen.filter(bloom.may_contain(bloom.build(batch, self.key), F.col(self.key)))
+        return seen.join(batch.select(self.key), self.key, "left_semi").select(self.key).distinct()
+
+    def add(self, rows: DataFrame, batch_id: int) -> None:
+        out = rows.select(F.col(self.key).cast("bigint"), F.to_date(self.ts).alias("day"), F.lit(batch_id).cast("bigint").alias("batch_id"))
+        (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day", "batch_id").parquet(self.path))
+
+
+def _held(handle: Handler) -> Handler:
+    """The batch is read once and kept while it is handled."""
+    def run(df: DataFrame, batch_id: int) -> None:
+        held = df.persist()
+        try:
+            handle(held, batch_id)
+        finally:
+            held.unpersist()
+    return run
+
+
+def deliver_once(ledger: Ledger, path: str) -> Handler:
+    """Pending = the batch without the keys delivered by other batches. Keys count as seen after delivery."""
     def deliver(df: DataFrame, batch_id: int) -> None:
-        spark = df.sparkSession
-        seen = spark.read.schema(f"{key} bigint, batch_id bigint").parquet(ledger).filter(F.col("batch_id") != batch_id)
-        # the ledger is reduced to the ids of the batch before anything is shuffled by id
-        known = seen.join(df.select(key), key, "left_semi").select(key)
-        todo = df.dropDuplicates([key]).join(known, key, "left_anti")
+        todo = df.dropDuplicates([ledger.key]).join(ledger.known(df, batch_id), ledger.key, "left_anti")
         todo.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
-        done = spark.read.schema(df.schema).parquet(f"{path}/batch_id={batch_id}")
-        done.select(F.col(key).cast("bigint")).write.mode("overwrite").parquet(f"{ledger}/batch_id={batch_id}")
-    return deliver
+        ledger.add(df.sparkSession.read.schema(df.schema).parquet(f"{path}/batch_id={batch_id}"), batch_id)
+    return _held(deliver)
 
 
-def empty_ledger(spark: SparkSession, key: str, ledger: str) -> None:
-    spark.range(0).select(F.col("id").alias(key)).write.mode("overwrite").parquet(f"{ledger}/batch_id=-1")
+def announce(ledger: Ledger, reason: Callable[[Column], Column], path: str) -> Handler:
+    """Every key of a batch with the reason it is skipped, null where it is announced; announced keys go to the ledger.
+
+    ``reason`` gets the condition that another batch has announced the key; a key that repeats in a batch counts once.
+    """
+    def handle(df: DataFrame, batch_id: int) -> None:
+        known = ledger.known(df, batch_id).withColumn("_seen", F.lit(True))
+        rows = df.dropDuplicates([ledger.key]).join(known, ledger.key, "left")
+        rows = rows.withColumn("reason", reason(F.col("_seen").isNotNull())).drop("_seen")
+        rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        done = df.sparkSession.read.schema(rows.schema).parquet(f"{path}/batch_id={batch_id}")
+        ledger.add(done.filter(F.col("reason").isNull()), batch_id)
+    return _held(handle)
 
 
 def skip_reason(has_file: Column, trashed: Column, folder: Column, wanted_type: Column, seen: Column, created: Column,
@@ -104,36 +167,6 @@ def late_cutoff(ts: str, path: str, hours: float = C.NEW_ITEM_HOURS, asof: Colum
     return handle
 
 
-def late_by_watermark(stream: DataFrame, key: str, ts: str, delay: str = f"{C.NEW_ITEM_HOURS} hours") -> DataFrame:
-    """Event-time form: rows behind the watermark are dropped by the stateful operator."""
-    return stream.withWatermark(ts, delay).dropDuplicatesWithinWatermark([key])
-
-
-def streak_state(key: str, order: Sequence[str], is_null: Column, path: str) -> Handler:
-    """Running null streak per key: version ``n`` of the state holds everything up to batch ``n``.
-
-    Next to it, as rows, lie each key's last hit and the nulls after it: a hit or null that arrives late takes its
-    place in ``order``, so the streak is that of the batch form however the rows were dealt.
-    """
-    def update(df: DataFrame, batch_id: int) -> None:
-        spark = df.sparkSession
-        batch = df.select(key, F.struct(*order).alias("at"), is_null.alias("null"))
-        old = (spark.read.schema(batch.schema).parquet(f"{path}-rows/v={batch_id - 1}") if batch_id > 0
-               else spark.createDataFrame([], batch.schema))
-        rows = attach_group(old.unionByName(batch), [key], [key, "at"], {"_hit": ("max", F.when(~F.col("null"), F.col("at")))})
-        kept = F.col("_hit").isNull() | F.when(F.col("null"), F.col("at") > F.col("_hit")).otherwise(F.col("at") == F.col("_hit"))
-        rows.filter(kept).select(batch.columns).write.mode("overwrite").parquet(f"{path}-rows/v={batch_id}")
-        now = spark.read.schema(batch.schema).parquet(f"{path}-rows/v={batch_id}")
-        now.groupBy(key).agg(F.count_if("null").alias("streak")).write.mode("overwrite").parquet(f"{path}/v={batch_id}")
-    return update
-
-
-def latest_state(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """The newest version of a state written by ``streak_state``."""
-    every = spark.read.schema(f"{schema}, v bigint").parquet(path)
-    return every.filter(F.col("v") == every.agg(F.max("v")).scalar()).drop("v")
-
-
 def pending_approvals(requests: DataFrame, actions: DataFrame, ttl_days: int = C.APPROVAL_TTL_DAYS,
                       horizon: str = "31 days") -> DataFrame:
     """Stream-stream join of requests (token, created_at) and actions (action_token, action, at) within the TTL."""
@@ -142,19 +175,3 @@ def pending_approvals(requests: DataFrame, actions: DataFrame, ttl_days: int = C
     on = ((F.col("token") == F.col("action_token")) & (F.col("at") >= F.col("created_at"))
           & (F.col("at") <= F.col("created_at") + F.expr(f"interval {ttl_days} days")))
     return r.join(a, on)
-
-
-def daily_counts(stream: DataFrame, ts: str, dims: Sequence[str]) -> DataFrame:
-    """Counts per day and dims; the state is one row per day and dims."""
-    day = F.window(F.col(ts), "1 day")
-    return stream.groupBy(day, *dims).agg(F.count(F.lit(1)).alias("rows")).select(
-        F.to_date("window.start").alias("day"), *dims, "rows")
-
-
-def snapshot_writer(path: str) -> Handler:
-    """Keeps the latest complete snapshot under its batch number."""
-    def write(df: DataFrame, batch_id: int) -> None:
-        df.write.mode("overwrite").parquet(f"{path}/v={batch_id}")
-    return write
-
-

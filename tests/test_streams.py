@@ -1,14 +1,18 @@
 """Streams against their batch twins, with retries and several batches."""
 
 import datetime as dt
+import random
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
+from shelfmark.functions import bloom
 from shelfmark.operators import windows as W
 from shelfmark.session import shared_path
 from shelfmark.streaming import feeds as T
+from shelfmark.streaming import stateful as S
 
 SCHEMA = "id bigint, k bigint, ts timestamp, n boolean"
 T0 = dt.datetime(2024, 1, 1)
@@ -64,14 +68,53 @@ def test_dedup_over_batches(spark, feed):
 def test_polling_delivers_each_id_once(spark, feed):
     path, put = feed
     out, chk, led = (shared_path(spark, x) for x in ("out", "chk", "led"))
-    T.empty_ledger(spark, "id", led)
-    handler = T.deliver_once("id", led, out)
-    put([item(1), item(2)])
-    put([item(2), item(3), item(3)])
+    handler = T.deliver_once(T.Ledger(led, "id", "ts").create(spark), out)
+    put([item(1), item(2), item(9, h=None)])
+    put([item(2), item(3), item(3), item(9, h=None)])
     T.drain(T.file_feed(spark, path, SCHEMA, 1), handler, chk)
-    assert rows(spark.read.schema(SCHEMA).parquet(out), "id") == [(1,), (2,), (3,)]
+    assert rows(spark.read.schema(SCHEMA).parquet(out), "id") == [(1,), (2,), (3,), (9,)]
     handler(spark.createDataFrame([item(2), item(3)], SCHEMA), 1)          # the same batch again
-    assert rows(spark.read.schema(SCHEMA).parquet(out), "id") == [(1,), (2,), (3,)]
+    assert rows(spark.read.schema(SCHEMA).parquet(out), "id") == [(1,), (2,), (3,), (9,)]
+
+
+def test_ledger_opens_no_old_days(spark):
+    led = shared_path(spark, "led")
+    ledger = T.Ledger(led, "id", "ts", horizon_days=3).create(spark)
+    for i, day in enumerate((0, 20, 22)):
+        ledger.add(spark.createDataFrame([item(i, h=24 * day), item(100 + i, h=24 * day)], SCHEMA), i)
+    old = next(Path(led).glob("day=2024-01-01/batch_id=0/*.parquet"))
+    old.write_bytes(b"not parquet")           # opening it would fail
+    Path(old.parent, f".{old.name}.crc").unlink()
+    batch = spark.createDataFrame([item(i, h=24 * 23) for i in (0, 1, 2, 5, 101)], SCHEMA)
+    known = ledger.known(batch, 7)
+    assert rows(known) == [(1,), (101,), (2,)]
+    plan = known._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "day" in plan.split("PartitionFilters")[1].split("]")[0]
+    assert rows(ledger.known(batch, 1)) == [(2,)]           # its own rows don't count
+    assert rows(ledger.known(batch.limit(0), 7)) == []
+
+
+def test_announced_ids_are_seen(spark):
+    out, led = shared_path(spark, "out"), shared_path(spark, "led")
+
+    def reason(seen):
+        return F.when(F.col("k") == 1, "nofile").when(seen, "dup").when(F.col("n"), "old")
+    handler = T.announce(T.Ledger(led, "id", "ts").create(spark), reason, out)
+    first = [item(1, 0, 0, False), item(2, 1, 0, False), item(3, 0, 0, True)]
+    second = first + [item(4, 0, 50, False), item(4, 0, 50, False)]
+    for n, batch in ((0, first), (1, second), (1, second)):
+        handler(spark.createDataFrame(batch, SCHEMA), n)
+    got = rows(spark.read.schema("id bigint, reason string").parquet(out), "batch_id", "id", "reason")
+    assert got == [(0, 1, None), (0, 2, "nofile"), (0, 3, "old"), (1, 1, "dup"), (1, 2, "nofile"), (1, 3, "old"), (1, 4, None)]
+
+
+def test_bloom_filter_loses_no_key(spark):
+    some = spark.range(0, 20000, 7)
+    every = spark.range(20000).withColumn("hit", bloom.may_contain(bloom.build(some, "id", 8), F.col("id"), 8))
+    found = {r["id"] for r in every.filter("hit").collect()}
+    wanted = set(range(0, 20000, 7))
+    assert wanted <= found and len(found - wanted) < 200
+    assert spark.range(9).filter(bloom.may_contain(bloom.build(some.limit(0), "id"), F.col("id"))).count() == 0
 
 
 def test_late_rows_by_batch_time(spark, feed):
@@ -82,33 +125,52 @@ def test_late_rows_by_batch_time(spark, feed):
     assert rows(spark.read.schema(SCHEMA).parquet(out), "id") == [(2,), (3,), (4,)]
 
 
-def test_streak_state_equals_batch(spark, feed):
+def streaks(spark, path, out, chk, **options):
+    stream = S.null_streaks(T.file_feed(spark, path, SCHEMA), "k", "ts", "id", F.col("n"), **options)
+    T.drain(stream, T.batch_writer(out), chk, "update", 2, S.STORE)
+    found = spark.read.schema("k bigint, streak bigint, last_null timestamp, batch_id bigint").parquet(out)
+    return rows(S.newest(found, ["k"]), "k", "streak", "last_null")
+
+
+def test_streaks_equal_batch_whatever_the_order(spark, feed):
+    path, put = feed
+    out, chk = shared_path(spark, "out"), shared_path(spark, "chk")
+    rng, seen = random.Random(4), []
+    every = [item(i, rng.choice([1, 1, 1, 2, None]), rng.randrange(40), rng.random() < 0.8) for i in range(120)]
+    for k in range(0, 120, 40):
+        put(every[k:k + 40])
+        seen += every[k:k + 40]
+        got = streaks(spark, path, out, chk)
+        want = W.null_streak(spark.createDataFrame(seen, SCHEMA), "k", ["ts", "id"], F.col("n"), "ts")
+        assert got == rows(want, "k", "streak", "last_null")
+
+
+def test_streak_state_writes_only_touched_keys_and_forgets(spark, feed):
     path, put = feed
-    state, chk = shared_path(spark, "state"), shared_path(spark, "chk")
-    marks = {1: "nnhnn", 2: "nnnnn", 3: "hhhhh", 4: "nnnnh", 5: "hnnnn"}
-    every = [item(10 * k + i, k, i, m == "n") for k, s in marks.items() for i, m in enumerate(s)]
-    handler = T.streak_state("k", ["ts", "id"], F.col("n"), state)
-    for i in range(5):
-        put([x for x in every if x[2] == T0 + dt.timedelta(hours=i)])
-        T.drain(T.file_feed(spark, path, SCHEMA), handler, chk)
-    got = rows(T.latest_state(spark, state, "k bigint, streak bigint"))
-    want = W.null_streak(spark.createDataFrame(every, SCHEMA), "k", ["ts", "id"], F.col("n"), "ts")
-    assert got == rows(want, "k", "streak") == [(1, 2), (2, 5), (3, 0), (4, 0), (5, 4)]
-
-
-def test_streak_takes_late_rows_in_their_place(spark, feed):
+    out, chk = shared_path(spark, "out"), shared_path(spark, "chk")
+    put([item(1, 1, 1), item(2, 2, 1), item(3, 1, None)])
+    assert [r[:2] for r in streaks(spark, path, out, chk, keep_days=2)] == [(1, 1), (2, 1)]
+    put([item(4, 1, 48)])
+    assert [r[:2] for r in streaks(spark, path, out, chk, keep_days=2)] == [(1, 2), (2, 1)]
+    put([item(5, 3, 80)])            # two days after the row of key 2
+    streaks(spark, path, out, chk, keep_days=2)
+    put([item(6, 1, 81), item(7, 2, 81)])
+    assert [r[:2] for r in streaks(spark, path, out, chk, keep_days=2)] == [(1, 3), (2, 1), (3, 1)]
+    per_batch = spark.read.schema("k bigint, batch_id bigint").parquet(out).groupBy("batch_id").agg(F.sort_array(F.collect_set("k")).alias("k"))
+    assert [r["k"] for r in per_batch.filter(F.size("k") > 0).orderBy("batch_id").collect()] == [[1, 2], [1], [3], [1, 2]]
+
+
+def test_late_and_duplicate_are_told_apart(spark, feed):
     path, put = feed
-    state, chk = shared_path(spark, "state"), shared_path(spark, "chk")
-    handler = T.streak_state("k", ["ts", "id"], F.col("n"), state)
-    seen = []
-    for batch, want in [([item(1, 1, 10), item(2, 1, 11), item(3, 1, 12)], 3), ([item(4, 1, 5, False)], 3),
-                        ([item(5, 1, 11.5, False)], 1), ([item(6, 1, 11.2), item(7, 1, 13)], 2)]:
+    out, chk = shared_path(spark, "out"), shared_path(spark, "chk")
+    for batch in ([item(1, h=0)], [item(2, h=20), item(2, h=20), item(7, h=None)], [item(3, h=1), item(4, h=19), item(1, h=0), item(2, h=20)],
+                  [item(5, h=60), item(4, h=19)], [item(4, h=19), item(6, h=None), item(8, h=54)]):
         put(batch)
-        seen += batch
-        T.drain(T.file_feed(spark, path, SCHEMA), handler, chk)
-        assert rows(T.latest_state(spark, state, "k bigint, streak bigint")) == [(1, want)]
-        twin = W.null_streak(spark.createDataFrame(seen, SCHEMA), "k", ["ts", "id"], F.col("n"), "ts")
-        assert rows(twin, "k", "streak") == [(1, want)]
+        stream = S.late_or_duplicate(T.file_feed(spark, path, SCHEMA), "id", "ts", "6 hours")
+        T.drain(stream, T.batch_writer(out), chk, "update", 2, S.STORE)
+    got = rows(spark.read.schema("id bigint, verdict string").parquet(out), "id", "verdict")
+    assert got == sorted([(1, "kept"), (2, "kept"), (2, "duplicate"), (7, "kept"), (3, "late"), (4, "kept"), (1, "late"), (2, "duplicate"),
+                          (5, "kept"), (4, "duplicate"), (4, "late"), (6, "kept"), (8, "kept")], key=repr)
 
 
 def test_skip_reasons_in_order(spark):
@@ -139,15 +201,6 @@ def test_watch_polls_until_stopped(spark, feed):
     assert rows(spark.read.schema(SCHEMA).parquet(out), "id") == [(1,), (2,)]
 
 
-def test_watermark_form_drops_rows_behind_it(spark, feed):
-    path, put = feed
-    out, chk = shared_path(spark, "out"), shared_path(spark, "chk")
-    for i, h in ((1, 0), (2, 20), (3, 1), (4, 19)):
-        put([item(i, h=h)])
-        T.drain(T.late_by_watermark(T.file_feed(spark, path, SCHEMA), "id", "ts"), T.batch_writer(out), chk)
-    assert rows(spark.read.schema(SCHEMA).parquet(out), "id") == [(1,), (2,), (4,)]
-
-
 def test_approval_stream_ttl(spark):
     req, act = shared_path(spark, "req"), shared_path(spark, "act")
     out, chk = shared_path(spark, "out"), shared_path(spark, "chk")
@@ -159,3 +212,55 @@ def test_approval_stream_ttl(spark):
                             T.file_feed(spark, act, "action_token string, action string, at timestamp"))
     T.drain(j.select("token", "action"), T.batch_writer(out), chk, state_partitions=2)
     assert rows(spark.read.schema("token string, action string").parquet(out), "token", "action") == [("a", "confirm")]
+
+
+def outcomes(spark, path, out, chk, **options):
+    stream = T.file_feed(spark, path, "token string, ts timestamp, action string, seq bigint")
+    T.drain(S.approval_outcomes(stream, "10 days", **options), T.batch_writer(out), chk, "update", 2, S.STORE)
+    return rows(spark.read.schema("token string, action string, seq bigint, outcome string").parquet(out), "token", "seq", "outcome")
+
+
+def test_approval_outcomes_wait_for_the_watermark(spark):
+    path, out, chk = (shared_path(spark, x) for x in ("feed", "out", "chk"))
+
+    def put(*items):
+        spark.createDataFrame([(t, T0 + dt.timedelta(days=d), a, s) for t, d, a, s in items],
+                              "token string, ts timestamp, action string, seq bigint").coalesce(1).write.mode("append").parquet(path)
+    put(("a", 3, "confirm", 1), ("b", 9, "confirm", 2), ("c", 2, "cancel", 3), ("c", 3, "confirm", 4), ("x", 1, "confirm", 5), (None, 1, "confirm", 6))
+    assert outcomes(spark, path, out, chk) == []          # a request may still come
+    put(("a", 1, None, None), ("b", 1, None, None), ("c", 1, None, None), ("a", 0, "confirm", 7), ("a", 2, "cancel", 8), ("a", 0.5, None, None))
+    assert outcomes(spark, path, out, chk) == []
+    put((None, 40, None, None))
+    want = [("a", 7, "no-pending"), ("a", 8, "cancelled"), ("a", 1, "no-pending"), ("b", 2, "expired"), ("c", 3, "cancelled"),
+            ("c", 4, "no-pending"), ("x", 5, "unknown-token"), (None, 6, "unknown-token")]
+    assert outcomes(spark, path, out, chk) == sorted(want, key=repr)
+    put(("b", 35, "confirm", 9), ("d", 35, None, None), ("d", 36, "confirm", 10))
+    put((None, 80, None, None))
+    want += [("b", 9, "no-pending"), ("d", 10, "executed")]
+    assert outcomes(spark, path, out, chk) == sorted(want, key=repr)
+
+
+def test_a_token_is_forgotten(spark):
+    path, out, chk = (shared_path(spark, x) for x in ("feed", "out", "chk"))
+    for batch in ([("a", 0, None, None), ("a", 1, "confirm", 1)], [(None, 60, None, None)], [("a", 61, "confirm", 2)], [(None, 90, None, None)]):
+        spark.createDataFrame([(t, T0 + dt.timedelta(days=d), a, s) for t, d, a, s in batch],
+                              "token string, ts timestamp, action string, seq bigint").write.mode("append").parquet(path)
+        got = outcomes(spark, path, out, chk, keep_days=20)
+    assert got == [("a", 1, "executed"), ("a", 2, "unknown-token")]
+
+
+def test_closed_days_come_once(spark, feed):
+    path, put = feed
+    out, chk = shared_path(spark, "out"), shared_path(spark, "chk")
+    day = dt.date(2024, 1, 1)
+    found = []
+    for batch in ([item(1, 1, 1), item(2, 1, 2), item(3, 2, 3)], [item(4, 1, 30), item(5, 1, 49), item(6, 1, 20)], [item(7, 1, 3), item(8, 1, 100)],
+                  [item(9, None, 101), item(10, 1, 200)]):
+        put(batch)
+        stream = S.closed_day_deltas(T.file_feed(spark, path, SCHEMA), "ts", ["k"], "1 hour")
+        T.drain(stream, T.batch_writer(out), chk, "append", 2, S.STORE)
+        found.append(rows(spark.read.schema("day date, k bigint, rows bigint, rows_delta bigint").parquet(out), "day", "k", "rows", "rows_delta"))
+    one = dt.timedelta(days=1)
+    closed = [(day, 1, 3, 0), (day, 2, 1, 0), (day + one, 1, 1, -2)]
+    assert found[0] == [] and found[1] == found[2][:3] == closed
+    assert found[3] == closed + [(day + 2 * one, 1, 1, 0), (day + 4 * one, 1, 1, 0), (day + 4 * one, None, 1, 0)]
