@@ -8,7 +8,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfmark.session import shared_root
@@ -53,6 +53,11 @@ def settled(df: DataFrame) -> DataFrame:
     return out
 
 
+def ranges(spark: SparkSession, rows: int, per_range: int = 1_000_000) -> int:
+    """Ranges for so many rows: ``per_range`` rows each, but a range per core at least."""
+    return max(spark.sparkContext.defaultParallelism, -(-rows // per_range))
+
+
 def raw(column: pa.Array) -> list[bytes]:
     """Texts as UTF-8 bytes, null as empty."""
     return [x or b"" for x in column.cast(pa.large_binary()).to_pylist()]

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import id_out, keyed, raw
+from shelfmark.llm.common import id_out, keyed, ranges, raw, settled
 
 ORDER = ["h1", "h2", "doc_id", "row_hash", "pos"]
 
@@ -100,14 +100,17 @@ def line_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     that share an id count as one document and are told apart by ``row_hash``.
 
     Occurrences are range-partitioned by (hash, document, position), so the occurrences of one frequent line spread
-    over as many partitions as they fill. What a partition needs from those before it is the first document of the
-    hash they end with: one row per partition.
+    over as many partitions as they fill. They are written once in that order, so that both passes see the same ranges:
+    what a partition needs from those before it is the first document of the hash they end with, one row per partition.
+    An empty table gives no rows.
     """
     lines = _rows(docs, id_col, text_col).mapInArrow(
         _hash_lines(min_chars), "h1 long, h2 long, doc_id long, row_hash long, pos int")
-    n = partitions or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = lines.repartitionByRange(n, *ORDER)
-    tails = (ranged.sortWithinPartitions(*ORDER).mapInArrow(_tails, "h1 long, h2 long, seen long")
+    if partitions is None:
+        breaks = F.length(text_col) - F.length(F.replace(F.col(text_col), F.lit("\n"), F.lit("")))
+        partitions = ranges(docs.sparkSession, docs.agg(F.sum(F.coalesce(breaks, F.lit(0)) + 1)).first()[0] or 0)
+    ranged = settled(lines.repartitionByRange(partitions, *ORDER).sortWithinPartitions(*ORDER))
+    tails = (ranged.mapInArrow(_tails, "h1 long, h2 long, seen long")
              .groupBy("h1", "h2").agg(F.min("seen").alias("seen")))
     late = (ranged.join(F.broadcast(tails), ["h1", "h2"], "left").select(*ORDER, "seen")   # a row per partition at most
             .sortWithinPartitions(*ORDER).mapInArrow(_repeats, "doc_id long, row_hash long, pos int"))
@@ -132,7 +135,10 @@ def _kept_lines(batches):
 
 
 def kept_lines(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_lines, n_dropped, kept_text of every document: the bitmaps applied to the texts (null: one empty line)."""
+    """doc_id, n_lines, n_dropped, kept_text of every document: the bitmaps applied to the texts.
+
+    Null and empty texts are one empty line; repeated rows each come out; an empty table gives no rows.
+    """
     joined = _rows(docs, id_col, text_col).join(bitmaps, ["doc_id", "row_hash"], "left")
     return (joined.select("doc_id", "text", "n_dropped", "keep_bitmap")
             .mapInArrow(_kept_lines, "doc_id long, n_lines long, n_dropped long, kept_text string")
