@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import id_out, keyed
+from shelfmark.llm.common import id_out, keyed, ranges, settled
 
 #: Exact lanes: sums modulo 2**EXACT_BITS of a seeded 64-bit hash of every paragraph.
 EXACT, EXACT_BITS = 8, 56
@@ -112,13 +112,13 @@ def _whole(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def followed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", partitions: int | None = None) -> DataFrame:
     """doc_id, h, before_id, before_h, before_chars: the document in front of each, by id; that of the first is the last.
 
-    Only ids, hashes and lengths are sorted, in ranges; a range learns the end of the one before from a table with one
-    row per range.
+    Only ids, hashes and lengths are sorted, in ranges that are written once; a range learns the end of the one before from
+    a table with one row per range.
     """
     order = ["doc_id", "h"]
-    n = partitions or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = partitions or ranges(docs.sparkSession, docs.count())
     ids = _whole(docs, id_col, text_col).select(*order, F.char_length("text").alias("chars")).distinct()
-    ranged = ids.repartitionByRange(n, *order).withColumn("range", F.spark_partition_id())
+    ranged = settled(ids.repartitionByRange(n, *order).withColumn("range", F.spark_partition_id()))
     me = F.struct(*order, "chars")
     ends = ranged.groupBy("range").agg(F.max(me).alias("end"))
     whole = Window.orderBy("range")     # one row per range
