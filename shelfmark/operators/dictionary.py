@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark import constants as C
+from shelfmark.functions import bloom
 from shelfmark.functions.names import normalize_for_match
 from shelfmark.operators.lanes import attach_lookup, keep_ranked
 from shelfmark.session import stage
@@ -45,6 +46,60 @@ def containment_pairs(texts: DataFrame, text: str, terms: DataFrame, term: str,
     return hit.select(F.col("_text").alias(text), F.col("_term").alias(term))
 
 
+def contained_terms(texts: DataFrame, row_id: str, text: str, terms: DataFrame, term: str, gram: int = GRAM) -> DataFrame:
+    """(row_id, term, place) of every occurrence of every term in texts of any length; exact, place in bytes from 0.
+
+    A positional index of grams, of which only what the dictionary needs is ever sent: a text's grams are tested against a
+    Bloom filter of the dictionary's where they stand, and travel as (id, place, hash). Each term is looked up by the
+    rarest of its grams, a term with a gram that no text has drops out, and candidates are verified with the texts, which
+    are shuffled once, by id, and only those with a candidate. UTF-8 bytes are compared, which finds the same places as
+    characters. ``row_id`` is unique; null texts and empty terms find nothing.
+    """
+    dic = terms.select(F.col(term).cast("binary").alias("_term")).filter(F.length("_term") > 0).distinct()
+    dic = dic.withColumn("_n", F.least(F.length("_term"), F.lit(gram)))
+    sizes = sorted(r[0] for r in dic.select("_n").distinct().collect())         # at most ``gram`` numbers
+    if not sizes:
+        return texts.select(row_id, F.lit(None).cast("string").alias(term), F.lit(0).alias("place")).limit(0)
+
+    def hashed(data: Column, at: Column, n: Column) -> Column:
+        return F.xxhash64(n, F.substring(data, at + 1, n))
+
+    starts = F.sequence(F.lit(0), F.length("_term") - F.col("_n"))
+    parts = dic.select("_term", "_n", F.explode(starts).alias("_skip"))
+    parts = parts.withColumn("_gram", hashed(F.col("_term"), F.col("_skip"), F.col("_n")))
+    rows = texts.select(F.col(row_id).alias("_id"), F.col(text).cast("binary").alias("_text")).filter(F.length("_text") > 0)
+
+    def grams(wanted: DataFrame) -> DataFrame:
+        places = rows.select("_id", "_text", F.explode(F.sequence(F.lit(0), F.length("_text") - 1)).alias("_at"))
+        held = bloom.build(wanted.select("_gram").distinct(), "_gram")
+        every = None
+        for n in sizes:
+            one = places.filter(F.col("_at") + n <= F.length("_text")).select(
+                "_id", "_at", hashed(F.col("_text"), F.col("_at"), F.lit(n)).alias("_gram")).filter(bloom.may_contain(held, F.col("_gram")))
+            every = one if every is None else every.unionAll(one)
+        return every
+
+    # counted once per gram: the dictionary's rows and the texts' counts meet, no text does
+    times = grams(parts).groupBy("_gram").agg(F.count(F.lit(1)).alias("_times"))
+    ranked = parts.join(times, "_gram", "left")
+    rarest = ranked.groupBy("_term").agg(
+        F.min_by(F.struct("_gram", "_skip"), F.struct(F.coalesce("_times", F.lit(0)), "_skip")).alias("_r"),
+        F.min(F.coalesce("_times", F.lit(0))).alias("_times")).filter("_times > 0")
+    rarest = stage(rarest.select("_term", F.col("_r._gram").alias("_gram"), F.col("_r._skip").alias("_skip")), "grams")
+    hits = grams(rarest).join(rarest, "_gram").select("_id", "_term", (F.col("_at") - F.col("_skip")).alias("_at")).filter("_at >= 0")
+    found = hits.join(rows, "_id").filter(F.substring(F.col("_text"), F.col("_at") + 1, F.length("_term")) == F.col("_term"))
+    return found.select(F.col("_id").alias(row_id), F.col("_term").cast("string").alias(term), F.col("_at").alias("place"))
+
+
+def first_term_join(texts: DataFrame, row_id: str, text: str, rules: DataFrame, keyword: str, priority: str,
+                    values: Sequence[str]) -> DataFrame:
+    """(row_id, keyword, values) of the rule with the lowest priority whose keyword a text of any length contains."""
+    pairs = contained_terms(texts, row_id, text, rules, keyword).select(row_id, keyword).distinct()
+    hits = pairs.join(rules.select(keyword, priority, *values), keyword)
+    best = hits.groupBy(row_id).agg(F.min_by(F.struct(keyword, *values), F.col(priority)).alias("_hit"))
+    return best.select(row_id, *[F.col(f"_hit.{v}").alias(v) for v in (keyword, *values)])
+
+
 def first_keyword_join(names: DataFrame, text: str, rules: DataFrame, keyword: str, priority: str,
                        values: Sequence[str]) -> DataFrame:
     """Distinct texts with the values of the first rule (lowest priority) whose keyword they contain."""

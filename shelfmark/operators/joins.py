@@ -190,14 +190,25 @@ def preserve_tags(source: DataFrame, target: DataFrame, key: str, tags: str, pro
 
 
 def ancestor_chains(folders: DataFrame, levels: int = 5) -> DataFrame:
-    """(folder_id, chain) with the names from near to far; ``folders`` has (folder_id, name, parent_id)."""
+    """(folder_id, chain) with at most ``levels`` names from near to far; ``folders`` has (folder_id, name, parent_id).
+
+    Pointers double: after k rounds an open chain has 2**k names and points 2**k folders up, so a depth of a million takes
+    twenty joins. A chain that has reached a folder without a known parent, or ``levels`` names, is finished: open ones
+    take over its names, but it joins no more, and no join sees a null key. A cycle goes round until ``levels`` names.
+    """
+    known = folders.select(F.col("folder_id").alias("_known"))
     chain = folders.select("folder_id", F.array("name").alias("chain"), F.col("parent_id").alias("_next"))
-    up = folders.select(F.col("folder_id").alias("_f"), F.col("name").alias("_n"), F.col("parent_id").alias("_p"))
-    for _ in range(levels - 1):
-        step = chain.join(up, F.col("_next") == F.col("_f"), "left")
-        chain = step.select("folder_id", F.when(F.col("_f").isNotNull(), F.array_append("chain", F.col("_n")))
-                            .otherwise(F.col("chain")).alias("chain"), F.col("_p").alias("_next"))
-    return chain.select("folder_id", "chain")
+    # the parents that exist; of the others the chain ends here
+    chain = stage(chain.join(known, F.col("_next") == F.col("_known"), "left").select(
+        "folder_id", "chain", F.col("_known").alias("_next")), "chains")
+    length = 1
+    while length < levels and not chain.filter(F.col("_next").isNotNull()).isEmpty():
+        ahead = chain.select(F.col("folder_id").alias("_f"), F.col("chain").alias("_c"), F.col("_next").alias("_n"))
+        step = chain.filter(F.col("_next").isNotNull()).join(ahead, F.col("_next") == F.col("_f")).select(
+            "folder_id", F.concat("chain", "_c").alias("chain"), F.col("_n").alias("_next"))
+        chain = stage(chain.filter(F.col("_next").isNull()).unionByName(step), "chains")
+        length *= 2
+    return chain.select("folder_id", F.slice("chain", 1, levels).alias("chain"))
 
 
 def output_case(files: DataFrame, parent: str, folders: DataFrame, output_name: str, row_key: Sequence[str]) -> DataFrame:

@@ -101,9 +101,9 @@ def keep_ranked(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k:
     return out if rank_col else out.drop(name)
 
 
-def range_bucket(df: DataFrame, order: Sequence[str], buckets: int | None = None,
+def range_bucket(df: DataFrame, order: Sequence[str | Column], buckets: int | None = None,
                  name: str = "_bucket") -> DataFrame:
-    """The rows with a bucket number that grows with the order columns (nulls first).
+    """The rows with a bucket number that grows with the order: names of columns (nulls first), or sort expressions.
 
     The rows are range-partitioned and written once with the number of their partition, so every branch and every
     retry reads the same buckets. Without ``buckets`` there is one per ROWS_PER_BUCKET rows, however many that makes:
@@ -114,7 +114,7 @@ def range_bucket(df: DataFrame, order: Sequence[str], buckets: int | None = None
         buckets = -(-df.count() // ROWS_PER_BUCKET)
         if buckets <= 1:
             return df
-    ranged = df.repartitionByRange(buckets, *[F.col(c).asc() for c in order])
+    ranged = df.repartitionByRange(buckets, *[F.col(c).asc() if isinstance(c, str) else c for c in order])
     return stage(ranged.withColumn(name, F.spark_partition_id()), "buckets")
 
 

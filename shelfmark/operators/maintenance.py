@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from functools import reduce
+import json
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+from pyspark.util import inheritable_thread_target
 
 from shelfmark import constants as C
 from shelfmark.functions.values import hours_between
@@ -101,27 +105,74 @@ def insert_ignore(target: DataFrame, batch: DataFrame, key: str, order: Sequence
     return target.drop(*generated).unionByName(fresh, allowMissingColumns=True)
 
 
-def export_table(df: DataFrame, keys: Sequence[str], path: str) -> None:
-    """JSON lines in order of the (unique) key columns: range partitions, sorted inside."""
-    df.repartitionByRange(*[F.col(k) for k in keys]).sortWithinPartitions(*keys).write.json(path)
+#: Times as the export writes them and the restore reads them, to the microsecond.
+TIMES = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+
+
+def export_table(df: DataFrame, keys: Sequence[str], path: str) -> int:
+    """JSON lines in order of the (unique) key columns: range partitions, sorted inside. Returns the rows written."""
+    seen = Observation()
+    ordered = df.repartitionByRange(*[F.col(k) for k in keys]).sortWithinPartitions(*keys)
+    # above the exchange, so that the rows sampled for its ranges don't count
+    ordered.observe(seen, F.count(F.lit(1)).alias("rows")).write.options(**TIMES).json(path)
+    return seen.get["rows"]
+
+
+#: Tables exported or restored at once.
+SIDE_BY_SIDE = 4
+
+
+def _side_by_side(spark: SparkSession, names: Sequence[str], work: Callable[[str], tuple]) -> DataFrame:
+    """(name, rows, file, error, message) of work(name) -> (rows, file) for each name, several at a time; failures are listed."""
+    def one(name: str) -> tuple:
+        try:
+            return (name, *work(name), None, None)
+        except Exception as e:      # every other table goes on
+            return name, None, None, type(e).__name__, str(e)[:500]
+
+    with ThreadPoolExecutor(SIDE_BY_SIDE) as pool:
+        found = list(pool.map(inheritable_thread_target(spark)(one), names))
+    return spark.createDataFrame(found, "name string, rows bigint, file string, error string, message string")
 
 
 def export_all(spark: SparkSession, tables: dict[str, tuple[str, Sequence[str]]], root: str) -> DataFrame:
-    """Export tables {name: (parquet path, key columns)} below ``root`` and return the manifest
-    (name, rows, file, error); a table that cannot be exported is listed with its error.
+    """Export tables {name: (parquet path, key columns)} below ``root`` as JSON lines, each with its schema, and return the
+    manifest (name, rows, file, error, message); a table that cannot be exported is listed with its error.
+
+    Rows are counted while they are written; tables run side by side.
+    """
+    def work(name: str) -> tuple:
+        path, keys = tables[name]
+        df, out = spark.read.parquet(path), f"{root}/{name}"
+        rows = export_table(df, keys, out)
+        spark.createDataFrame([(df.schema.json(),)], "value string").coalesce(1).write.text(f"{root}-schemas/{name}")
+        return rows, out
+    return _side_by_side(spark, list(tables), work)
+
+
+def restore_all(spark: SparkSession, root: str, tables: dict[str, Sequence[str]], target: str) -> DataFrame:
+    """Restore exported tables {name: key columns} as Parquet below ``target``: (name, rows, file, error, message).
+
+    Each export is read with the schema it carries and goes through ``insert_ignore`` into what the target has of the table, so that a
+    drill that is repeated, or that continues a broken one, adds only what is missing; ``rows`` counts the table afterwards.
     """
-    parts = []
-    for name, (path, keys) in tables.items():
-        out, label = f"{root}/{name}", F.lit(name).alias("name")
-        none = F.lit(None).cast("string")
+    def work(name: str) -> tuple:
+        kept = spark.read.text(f"{root}-schemas/{name}").first()["value"]
+        schema = StructType.fromJson(json.loads(kept))
+        batch = spark.read.schema(schema).options(**TIMES).json(f"{root}/{name}")
+        keys, out, label = list(tables[name]), f"{target}/{name}", "_key"
+        key = F.to_json(F.struct(*keys))
         try:
-            export_table(spark.read.parquet(path), keys, out)
-            count = spark.read.text(out).agg(F.count(F.lit(1)).alias("rows"))      # what really was written
-            parts.append(count.select(label, "rows", F.lit(out).alias("file"), none.alias("error")))
-        except Exception as e:
-            kind = F.lit(type(e).__name__).alias("error")
-            parts.append(spark.range(1).select(label, F.lit(None).cast("bigint").alias("rows"), none.alias("file"), kind))
-    return reduce(DataFrame.unionAll, parts)
+            old = spark.read.schema(schema).parquet(out)
+            old.limit(1).count()
+        except AnalysisException:       # nothing there yet
+            old = spark.createDataFrame([], schema)
+        whole = insert_ignore(old.withColumn(label, key), batch.withColumn(label, key), label, [F.asc(label)], [])
+        seen, fresh = Observation(), f"{out}.new"
+        whole.select(*schema.names).observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(fresh)
+        spark.read.schema(schema).parquet(fresh).write.mode("overwrite").parquet(out)
+        return seen.get["rows"], out
+    return _side_by_side(spark, list(tables), work)
 
 
 def restore_verify(counts: DataFrame, thresholds: DataFrame) -> DataFrame:

@@ -8,21 +8,33 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfmark import constants as C
+from shelfmark.functions.names import search_key_cascade
 from shelfmark.functions.text import gram_similarity, trigrams
 from shelfmark.functions.values import split_multi_value
 from shelfmark.operators.dictionary import vote
+from shelfmark.operators.ranking import page_slice
 
 
 def like_pattern(q: str) -> str:
     return "%" + q.replace("\\", "\\\\").replace("%", "\\%").replace("_", "\\_") + "%"
 
 
-def relaxed_search(df: DataFrame, text: str, q: str, relaxed: str, keep: Column | None = None) -> DataFrame:
-    """Rows that contain ``q``; when no row does, rows that contain ``relaxed``. ``keep`` filters afterwards."""
+def _like_pattern(q: Column) -> Column:
+    """``like_pattern`` as an expression."""
+    return F.concat(F.lit("%"), F.regexp_replace(q, r"([\\%_])", r"\\$1"), F.lit("%"))
+
+
+def relaxed_search(df: DataFrame, text: str, q: str, part: str, letters: str, keep: Column | None = None) -> DataFrame:
+    """Rows that contain ``q``; when no row does, rows that contain its next weaker search key. ``keep`` filters afterwards.
+
+    The keys are those of ``search_key_cascade`` for the part ending ``part`` and the letters of a head word; the weaker
+    one is worked out in the plan and folded to a constant there. A query without a weaker key finds nothing more.
+    """
     full = F.col(text).ilike(like_pattern(q))
+    weaker = F.get(F.filter(search_key_cascade(F.lit(q), part, letters), lambda k: k != F.lit(q)), 0)
     # the probe needs one hit only and stays a subquery of the same plan
     none = df.filter(full).select(F.lit(1).alias("x")).limit(1).agg(F.count("x")).scalar() == 0
-    hits = df.filter(full | (none & F.col(text).ilike(like_pattern(relaxed))))
+    hits = df.filter(full | (none & F.coalesce(F.ilike(F.col(text), _like_pattern(weaker)), F.lit(False))))
     return hits if keep is None else hits.filter(keep)
 
 
@@ -40,7 +52,7 @@ def primary_location(df: DataFrame, case: str, city: str, district: str, row_id:
 
 def priority_partition(df: DataFrame, city: str, district: str, wanted_city: str, wanted: Sequence[str],
                        mtime: str, row_id: str, offset: int = 0, n: int | None = None) -> DataFrame:
-    """Two blocks, newest first: place matches, then the rest.
+    """Two blocks, newest first: place matches, then the rest; with ``n`` the page of so many rows after ``offset`` rows.
 
     Rest means another city, no city, or a district that matches none of the wanted ones. Under
     SQL nulls a row of the right city without a district is in neither block.
@@ -54,9 +66,9 @@ def priority_partition(df: DataFrame, city: str, district: str, wanted_city: str
     if wanted:
         rest = rest | no_d
     block = F.when(F.coalesce(first, F.lit(False)), 0).when(F.coalesce(rest, F.lit(False)), 1)
-    out = df.withColumn("block", block).filter(F.col("block").isNotNull()).orderBy("block", F.desc(mtime), row_id)
-    out = out.offset(offset) if offset else out
-    return out.limit(n) if n else out
+    out = df.withColumn("block", block).filter(F.col("block").isNotNull())
+    order = [F.asc("block"), F.desc(mtime), F.asc(row_id)]
+    return page_slice(out, order, offset, n).drop("total") if n else out.orderBy(*order)
 
 
 def fuzzy_case_search(df: DataFrame, case: str, q: str, threshold: float = C.FUZZY_THRESHOLD,

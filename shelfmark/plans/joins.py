@@ -209,6 +209,17 @@ def _(s, sf):
     return D.first_keyword_join(names, "title", rules, "kw", "ord", ["city"])
 
 
+@query("J9", "document_dictionary_join", """with w as (select w as kw, min(doc_id) as ord from (select doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Z][a-zé]{7,}')) as w from documents) group by 1),
+h as (select doc_id, kw, ord from documents join w on contains(text, kw))
+select doc_id, arg_min(kw, (ord, kw)) as keyword, count(*) as keywords from h group by 1""")
+def _(s, sf):
+    d = table(s, sf, "documents").select("doc_id", "text")
+    found = d.select("doc_id", F.explode(F.regexp_extract_all("text", lit("[A-Z][a-zé]{7,}"), lit(0))).alias("kw"))
+    terms = found.groupBy("kw").agg(F.min("doc_id").alias("ord"))
+    pairs = D.contained_terms(d, "doc_id", "text", terms, "kw").select("doc_id", "kw").distinct().join(terms, "kw")
+    return pairs.groupBy("doc_id").agg(F.min_by("kw", F.struct("ord", "kw")).alias("keyword"), F.count(lit(1)).alias("keywords"))
+
+
 @query("J9", "gazetteer_match", """select doc_id, case when contains(text, 'ounder') then 'under' when contains(text, 'then') then 'then' when contains(text, 'thanen') then 'north'
    when contains(text, 'eaux') then 'sud' when contains(text, 'steinsch') then 'berg' end as city,
   case when contains(text, 'ounder') then '' when contains(text, 'then') then case when contains(text, 'ingness') then 'ingness' when contains(text, 'tioned') then 'tioned' when contains(text, 'est') then 'est' else '' end

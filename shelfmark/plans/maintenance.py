@@ -1,8 +1,5 @@
 """Table maintenance rows (K)."""
 
-from functools import reduce
-
-from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.operators import maintenance as M
@@ -130,9 +127,19 @@ THRESHOLDS = [("customer", 1000), ("orders", 20000), ("events", 1000), ("absent"
   union all select 'events', count(*) from events), t(name, expected) as (values ('customer', 1000::bigint), ('orders', 20000), ('events', 1000), ('absent', 1))
 select name, expected, coalesce(got, 0) as got, coalesce(got, 0) >= expected as ok from t left join g using (name)""")
 def _(s, sf):
-    got = reduce(DataFrame.unionAll, [table(s, sf, t).agg(F.count(lit(1)).alias("got")).select(lit(t).alias("name"), "got")
-                                      for t in ("customer", "orders", "events")])
-    return M.restore_verify(got, s.createDataFrame(THRESHOLDS, "name string, expected bigint"))
+    root, names = shared_path(s, "backup"), ["customer", "orders", "events"]
+    M.export_all(s, {t: (f"{sf}/{t}.parquet", KEYS[t]) for t in names}, root)
+    restored = M.restore_all(s, root, {t: KEYS[t] for t in names}, f"{root}-restored")
+    return M.restore_verify(restored.select("name", F.col("rows").alias("got")), s.createDataFrame(THRESHOLDS, "name string, expected bigint"))
+
+
+@query("K9", "restore_drill_rows", "select c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment from customer")
+def _(s, sf):
+    root = shared_path(s, "backup")
+    M.export_all(s, {"customer": (f"{sf}/customer.parquet", KEYS["customer"])}, root)
+    for _ in range(2):      # a repeated drill adds nothing
+        M.restore_all(s, root, {"customer": KEYS["customer"]}, f"{root}-restored")
+    return s.read.parquet(f"{root}-restored/customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
 
 
 @query("K10", "retention_prune", """with m as (select max(ts) as ref from events)

@@ -12,12 +12,12 @@ c, lit = F.col, F.lit
 
 @query("Q1", "relaxed_search", """select doc_id, lang from documents where text ilike '%token%' and lang <> 'de'""")
 def _(s, sf):
-    return Q.relaxed_search(table(s, sf, "documents"), "text", "token second part", "token", c("lang") != "de").select("doc_id", "lang")
+    return Q.relaxed_search(table(s, sf, "documents"), "text", "token - part 2", r"\s*part \d+\s*$", "a-z", c("lang") != "de").select("doc_id", "lang")
 
 
 @query("Q1", "relaxed_search_direct", """select doc_id, lang from documents where text ilike '%THAT%'""")
 def _(s, sf):
-    return Q.relaxed_search(table(s, sf, "documents"), "text", "That", "t").select("doc_id", "lang")
+    return Q.relaxed_search(table(s, sf, "documents"), "text", "That", r"\s*part \d+\s*$", "a-z").select("doc_id", "lang")
 
 
 PRIMARY = f"""with {CUSTOMER_GEO}, e as (select c_custkey, city, district from cg where lower(c_mktsegment) = 'machine' and city <> 'ASIA' order by c_custkey limit 100),

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from shelfmark.plans.bindings import PAGE_PATHS, page_paths
 from shelfmark.plans.registry import query, table
 from shelfmark.session import shared_path
-from shelfmark.sources import inventory, journals, snapshots, tables
+from shelfmark.sources import grids, inventory, journals, snapshots, tables
 
 c, lit = F.col, F.lit
 
@@ -84,6 +84,20 @@ def _(s, sf):
     return tables.grid_long(table(s, sf, "orders"), "o_orderkey", F.split(line, ","))
 
 
+@query("S8", "grid_files_read", """with g as (select o_orderpriority as sheet, row_number() over (partition by o_orderpriority order by o_orderkey) - 1 as row_idx,
+  case o_orderstatus when 'F' then [o_orderkey::varchar] when 'P' then [o_orderkey::varchar, 'a, ' || o_orderstatus, '', 'x']
+    else [o_orderkey::varchar, 'say "' || o_orderstatus || '"', 'two' || chr(10) || 'lines'] end as cells from orders),
+w as (select sheet, max(len(cells)) as width from g group by 1)
+select sheet, row_idx, i::int as col_idx, coalesce(cells[i + 1], '') as cell from g join w using (sheet), range(0, 4) r(i) where i < width""")
+def _(s, sf):
+    key, status = c("o_orderkey").cast("string"), c("o_orderstatus")
+    cells = (F.when(status == "F", F.array(key)).when(status == "P", F.array(key, F.concat(lit("a, "), status), lit(""), lit("x")))
+             .otherwise(F.array(key, F.concat(lit('say "'), status, lit('"')), lit("two\nlines"))))
+    path = shared_path(s, "grids")
+    grids.write_grids(table(s, sf, "orders").withColumn("cells", cells), "o_orderpriority", "o_orderkey", "cells", path)
+    return grids.read_grids(s, path)
+
+
 @query("S9", "nested_forecast_explode", """select 'u' || user_id as location, event_type as element, strftime(ts, '%Y-%m-%dT%H:%M:%S') as start_time,
   case when event_type = 'error' then null when event_type = 'view' then (props->>'k') else value::varchar end as value from events""")
 def _(s, sf):

@@ -90,3 +90,47 @@ def test_blank_value_does_not_end_the_prefix_search(spark):
     lookup = spark.createDataFrame([("abcd", None), ("abcde", " "), ("abc", "X")], "key string, value string")
     got = {r["name"]: r["found"] for r in progressive_prefix_lookup(names, "name", lookup, default="none", min_len=2).collect()}
     assert got == {"abcdef": "X", "abzz": "none"}
+
+
+def test_contained_terms_finds_every_place(spark):
+    rnd = random.Random(5)
+    word = lambda lo, hi: "".join(rnd.choice("ab中 é") for _ in range(rnd.randint(lo, hi)))
+    texts = [(i, word(0, 60)) for i in range(150)] + [(900, None), (901, ""), (902, "ab" * 40000 + "needle, 中é" + "ba" * 30000)]
+    terms = {word(1, 14) for _ in range(80)} | {"", "needle, 中é", "never to be found", "中", "abab", "ababababababab"}
+    t = spark.createDataFrame(texts, "i long, t string")
+    k = spark.createDataFrame([(x,) for x in terms] + [(None,)], "k string")
+    want = set()
+    for i, text in texts:
+        data = (text or "").encode()
+        for term in filter(None, terms):
+            if i == 902 and set(term) <= {"a", "b"}:
+                continue        # tens of thousands of places
+            at = data.find(term.encode())
+            while at >= 0:
+                want.add((i, term, at))
+                at = data.find(term.encode(), at + 1)
+    found = D.contained_terms(t, "i", "t", k, "k", gram=4)
+    got = [tuple(r) for r in found.collect()]
+    assert len(got) == len(set(got))
+    assert {g for g in got if g[0] != 902 or set(g[1]) - {"a", "b"}} == want
+    assert sum(g[:2] == (902, "abab") for g in got) == 39999 + 29998
+    assert D.contained_terms(t, "i", "t", k.filter("k = ''"), "k").count() == 0
+
+
+def test_no_text_travels_with_the_grams(spark):
+    t = spark.createDataFrame([(1, "one two three")], "i long, t string")
+    k = spark.createDataFrame([("two",)], "k string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = D.contained_terms(t, "i", "t", k, "k")._jdf.queryExecution().sparkPlan().toString()
+        grams = [x for x in plan.split("\n") if "_gram" in x and ("Join" in x or "Exchange" in x)]
+        assert grams and not any("_text" in x for x in grams)
+        assert "BroadcastNestedLoop" not in plan and "Cartesian" not in plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_first_term_join(spark):
+    rules = spark.createDataFrame([(1, "林口", "新北"), (0, "口", "x"), (2, "台北", "台北")], "ord int, kw string, city string")
+    texts = spark.createDataFrame([(1, "台北林口案" * 50), (2, "台北案"), (3, "無"), (4, None)], "i int, t string")
+    assert rows(D.first_term_join(texts, "i", "t", rules, "kw", "ord", ["city"])) == [(1, "口", "x"), (2, "台北", "台北")]

@@ -100,3 +100,22 @@ def test_exclusions_first_reason_wins(spark):
     nulls = spark.createDataFrame([("a", 9), ("c", 3), ("d", 2)], "k string, count int")
     got = J.exclusion_reasons(f("a", "b", "c", "d", "e"), "k", f("a"), f("a", "b"), nulls)
     assert rows(got) == [("a", "manual"), ("b", "table"), ("c", "null-limit"), ("d", "todo"), ("e", "todo")]
+
+
+def test_deep_ancestors_and_cycles(spark):
+    n = 300
+    tree = [(f"f{i}", f"n{i}", f"f{i - 1}" if i else None) for i in range(n)] + [("a", "A", "b"), ("b", "B", "a"), ("x", "X", "gone")]
+    folders = spark.createDataFrame(tree, "folder_id string, name string, parent_id string")
+    for levels in (1, 7, 64, 1000):
+        got = {r[0]: r[1] for r in rows(J.ancestor_chains(folders, levels))}
+        assert len(got) == len(tree)
+        assert all(got[f"f{i}"] == [f"n{k}" for k in range(i, max(i - levels, -1), -1)] for i in range(0, n, 17))
+        assert got["x"] == ["X"] and got["a"][:2] == ["A", "B"][:levels] and len(got["a"]) == levels
+
+
+def test_only_open_chains_join(spark, monkeypatch):
+    seen, write = [], J.stage
+    monkeypatch.setattr(J, "stage", lambda df, label: seen.append(df._jdf.queryExecution().optimizedPlan().toString()) or write(df, label))
+    folders = spark.createDataFrame([(i, f"n{i}", i // 3 if i else None) for i in range(40)], "folder_id int, name string, parent_id int")
+    J.ancestor_chains(folders, 8).collect()
+    assert all("isnotnull(_next" in plan for plan in seen[1:]) and len(seen) == 4

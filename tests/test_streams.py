@@ -110,7 +110,7 @@ def test_announced_ids_are_seen(spark):
 
 def test_bloom_filter_loses_no_key(spark):
     some = spark.range(0, 20000, 7)
-    every = spark.range(20000).withColumn("hit", bloom.may_contain(bloom.build(some, "id", 8), F.col("id"), 8))
+    every = spark.range(20000).withColumn("hit", bloom.may_contain(bloom.build(some, "id", 18), F.col("id"), 18))
     found = {r["id"] for r in every.filter("hit").collect()}
     wanted = set(range(0, 20000, 7))
     assert wanted <= found and len(found - wanted) < 200
