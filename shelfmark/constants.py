@@ -2,12 +2,9 @@
 
 # --- fixed values: maintenance ---
 PRUNE_MAX_STALE_SHARE = 0.5        # prune is skipped when stale > share * scanned
-UPSERT_BATCH = 500
 BULK_UPDATE_CHUNK = 100
 APPROVAL_DELETE_CAP = 500
 APPROVAL_TTL_DAYS = 7
-LOCAL_BACKUP_DAYS = 14
-REMOTE_BACKUP_DAYS = 30
 SCAN_PAGE = 1000
 
 # --- fixed values: scanning ---
@@ -22,7 +19,6 @@ DETECTION_SCORE_MIN = 0.4
 DETECTION_AREA_MIN = 0.005
 NULL_STREAK_LIMIT = 3
 SHORT_SECONDS = 3.0
-DUPLICATE_MIN_AGE_DAYS = 90
 RATE_MIN_SAMPLE = 50
 
 # --- fixed values: search ---
@@ -35,7 +31,6 @@ NAME_OVERLAP_SHARE = 0.6
 VICINITY_CHARS = 300
 
 # --- fixed values: feeds ---
-SEEN_IDS_CAP = 1000
 NEW_ITEM_HOURS = 6
 
 # --- fixed values: text caps ---
@@ -56,14 +51,14 @@ BLANKS = r"[\s\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000
 # --- fixed values: patterns and formats ---
 ORDERED_NAME = r"^(\d+)_?\s*(.+)$"
 DATED_NAME = r"^(\d{4})(.+)$"
-VERSION_MARK = BLANKS + r"V(\d+)\b"                              # any letter case
-DATE_CELL = r"^\d{1,2}/\d{1,2}"
+VERSION_MARK = BLANKS + r"V(\p{Nd}+)(?![\p{L}\p{N}_])"           # any letter case
+DATE_CELL = r"^\p{Nd}{1,2}/\p{Nd}{1,2}"
 DATE_CELL_MAX_LEN = 10
 EDITOR_PAREN = r"[（(]([^）)\n]+)[）)]"
 EDITOR_PAREN_END = r"\s*[（(][^）)\n]+[）)]\s*$"
 TITLE_PAREN = r"\s*[（(][^）)]+[）)]\s*"
-TITLE_DATE = r"^\s*\d{1,2}\s*[/／]\s*\d{1,2}\s*"
-TITLE_NUMBER = r"^\s*\d{3,4}\s*"
+TITLE_DATE = r"^\s*\p{Nd}{1,2}\s*[/／]\s*\p{Nd}{1,2}\s*"
+TITLE_NUMBER = r"^\s*\p{Nd}{3,4}\s*"
 TITLE_TIMES = r"\s*\*\s*\d+\s*$"
 TITLE_JOINTS = " 、_-"
 TAIL_SPLIT = r"[_\s)）]+"

@@ -70,15 +70,15 @@ def model_status(excluded: Column, has_context: Column, file_found: Column, fram
 def auto_apply_reason(confidence: Column, place: Column, excluded: Column, n_cities: Column,
                       min_conf: float = C.AUTO_APPLY_CONFIDENCE_MIN, max_len: int = C.AUTO_APPLY_PLACE_MAX_LEN,
                       allowed: str = C.PLACE_CHARS) -> Column:
-    """'ok', or the first reason an automatic rename needs a person."""
+    """'ok', or the code of the first reason why an automatic rename needs a person."""
     conf = F.coalesce(confidence, F.lit(0.0))
     p = F.coalesce(place, F.lit(""))
-    return (F.when(conf < min_conf, F.format_string(f"conf %.2f < {min_conf}", conf))
-            .when(p == "", F.lit("place empty"))
-            .when(F.length(p) > max_len, F.concat(F.lit("place name long ("), F.length(p).cast("string"), F.lit(" chars)")))
-            .when(~p.rlike(allowed), F.lit("place has odd chars"))
-            .when(excluded, F.lit("ctx excluded"))
-            .when(n_cities > 1, F.concat(F.lit("cross-region case ("), n_cities.cast("string"), F.lit(" cities)")))
+    return (F.when(conf < min_conf, F.lit("unsure"))
+            .when(p == "", F.lit("no-place"))
+            .when(F.length(p) > max_len, F.lit("long-place"))
+            .when(~p.rlike(allowed), F.lit("odd-place"))
+            .when(excluded, F.lit("excluded"))
+            .when(n_cities > 1, F.lit("many-cities"))
             .otherwise(F.lit("ok")))
 
 

@@ -273,7 +273,7 @@ def _(s, sf):
 a as (select page_id, path, scheme, case quality when 1 then 'html' when 0 then ' N/A ' end as place from pp left join labels on doc_id = page_id),
 b as (select *, regexp_extract(path, '([^/]*)$', 1) as old, trim(place) as raw, replace(trim(place), '/', '_') as safe,
    len(list_filter(string_split(path, '/'), lambda x: x in ('', '.', '..'))) > 0 as unsafe from a),
-d as (select *, case when place is null then 'missing place' when path = '' then 'missing rel_path' when unsafe then 'unsafe rel_path' end as reason,
+d as (select *, case when place is null then 'no-place' when path = '' then 'no-path' when unsafe then 'dot-segment' end as reason,
    case when regexp_matches(old, '.\.[^.]+$') then regexp_extract(old, '(\.[^.]+)$', 1) else '' end as suffix from b),
 e as (select *, case when reason is null then left(old, length(old) - length(suffix)) || '_' || safe || suffix end as new_filename from d),
 f as (select *, case when reason is null then left(path, length(path) - length(old)) || new_filename end as new_rel_path from e)

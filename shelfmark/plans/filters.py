@@ -175,20 +175,21 @@ def _(s, sf):
 
 @query("P19", "auto_apply_gate", """with a as (select l_orderkey, l_linenumber, l_partkey, l_suppkey, round(l_discount * 10, 2) + 0.0 as conf,
    replace(p_name, ' ', case when p_type = 'PROMO' then '/' else '_' end) as place, l_returnflag = 'R' as excluded, p_size // 30 + 1 as n from lineitem join part on l_partkey = p_partkey)
-select l_orderkey, l_linenumber, l_partkey, l_suppkey, case when conf < 0.5::double then printf('conf %.2f < 0.5', conf) when length(place) > 9 then 'place name long (' || length(place) || ' chars)'
-  when contains(place, '/') then 'place has odd chars' when excluded then 'ctx excluded' when n > 1 then 'cross-region case (' || n || ' cities)' else 'ok' end as reason from a""")
+select l_orderkey, l_linenumber, l_partkey, l_suppkey, case when conf < 0.5::double then 'unsure' when length(place) > 9 then 'long-place'
+  when contains(place, '/') then 'odd-place' when excluded then 'excluded' when n > 1 then 'many-cities' else 'ok' end as reason, conf, length(place) as place_chars, n::bigint as cities from a""")
 def _(s, sf):
     place = F.when(c("p_type") == "PROMO", F.translate("p_name", " ", "/")).otherwise(F.translate("p_name", " ", "_"))
-    reason = V.auto_apply_reason(F.round(c("l_discount") * 10, 2) + 0.0, place, c("l_returnflag") == "R",
-                                 F.floor(c("p_size") / 30) + 1, min_conf=0.5, max_len=9)
+    conf, cities = F.round(c("l_discount") * 10, 2) + 0.0, F.floor(c("p_size") / 30) + 1
+    reason = V.auto_apply_reason(conf, place, c("l_returnflag") == "R", cities, min_conf=0.5, max_len=9)
     return table(s, sf, "lineitem").join(table(s, sf, "part"), c("l_partkey") == c("p_partkey")).select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", reason.alias("reason"))
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", reason.alias("reason"), conf.alias("conf"),
+        F.length(place).cast("bigint").alias("place_chars"), cities.alias("cities"))
 
 
 @query("P20", "safe_path_validate", rf"""with {PAGE_PATHS}, a as (select page_id, case when contains(url, '?') then '/' || path when contains(url, '#top') then replace(path, '/', '/../')
    when host like 'm.%' then '' else path end as p from pp)
-select page_id, case when p = '' then 'missing rel_path' when starts_with(p, '/') then 'rel_path must be relative'
-  when len(list_filter(string_split(p, '/'), lambda x: x in ('', '.', '..'))) > 0 then 'unsafe rel_path' end as reason from a""")
+select page_id, case when p = '' then 'no-path' when starts_with(p, '/') then 'absolute-path'
+  when len(list_filter(string_split(p, '/'), lambda x: x in ('', '.', '..'))) > 0 then 'dot-segment' end as reason from a""")
 def _(s, sf):
     p = (F.when(c("url").contains("?"), F.concat(lit("/"), c("path"))).when(c("url").contains("#top"), F.replace(c("path"), lit("/"), lit("/../")))
          .when(c("host").startswith("m."), "").otherwise(c("path")))

@@ -29,9 +29,9 @@ def test_first_keyword_order_beats_position(spark, ev):
 def test_gazetteer(ev):
     def place(c):
         return D.gazetteer_match(c, ["台北", "新北", "臺北市"], {"臺北市": "台北"}, {"台北": ["大安", "大安森"], "新北": ["林口"]},
-                                 {"林口": "新北"}, {"單元二": ("台中", "西屯")})
-    got = ev(place, ["台北大安森林", "臺北市", "林口案", "台中單元二", "無", "大安台北", "單元二林口"])
-    assert [g and tuple(g) for g in got] == [("台北", "大安森"), ("台北", ""), ("新北", "林口"), ("台中", "西屯"), None, ("台北", "大安"), ("新北", "林口")]
+                                 {"林口": "新北"}, {"星港灣": ("海城", "東渡")})
+    got = ev(place, ["台北大安森林", "臺北市", "林口案", "台中星港灣", "無", "大安台北", "星港灣林口"])
+    assert [g and tuple(g) for g in got] == [("台北", "大安森"), ("台北", ""), ("新北", "林口"), ("海城", "東渡"), None, ("台北", "大安"), ("新北", "林口")]
 
 
 def test_progressive_prefix(spark):

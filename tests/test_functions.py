@@ -69,14 +69,14 @@ def test_derive_tags_sorted_distinct(spark):
 
 def test_safe_path_and_rename(ev, spark):
     assert ev(P.safe_path_reason, [None, "", "/a", "a//b", "a/../b", "./a", "a\u0000b", "a/b.mp4"]) == [
-        "missing rel_path", "missing rel_path", "rel_path must be relative", "unsafe rel_path", "unsafe rel_path",
-        "unsafe rel_path", "rel_path contains NUL", None]
+        "no-path", "no-path", "absolute-path", "dot-segment", "dot-segment",
+        "dot-segment", "nul-in-path", None]
     df = spark.createDataFrame([("d/IMG.MOV", " 中正/國中 "), ("d/.hidden", "x"), ("a_x.mp4", "x"), ("a.mp4", ".."), ("a.mp4", None)],
                                "p string, w string")
     got = [r.r for r in df.select(P.derive_rename(F.col("p"), F.col("w"), F.lit("v1")).alias("r")).collect()]
     assert [(g.status, g.reason, g.new_rel_path) for g in got] == [
         ("rename", None, "d/IMG_中正_國中.MOV"), ("rename", None, "d/.hidden_x"), ("already", None, "a_x_x.mp4"),
-        ("invalid", "empty or unsafe place", None), ("invalid", "missing place", None)]
+        ("invalid", "no-usable-place", None), ("invalid", "no-place", None)]
 
 
 def test_sanitize(ev):
@@ -185,8 +185,8 @@ def test_gates(spark):
     df = spark.createDataFrame([(0.85, "林口", 1), (0.84, "林口", 1), (0.9, "", 1), (0.9, "十二個字的地名十二個字的", 1), (0.9, "十三個字的地名十三個字的名", 1),
                                 (0.9, "a/b", 1), (0.9, "林口", 2), (None, "林口", 1)], "c double, p string, n int")
     got = [r.y for r in df.select(V.auto_apply_reason(F.col("c"), F.col("p"), F.lit(False), F.col("n")).alias("y")).collect()]
-    assert got == ["ok", "conf 0.84 < 0.85", "place empty", "ok", "place name long (13 chars)", "place has odd chars",
-                   "cross-region case (2 cities)", "conf 0.00 < 0.85"]
+    assert got == ["ok", "unsure", "no-place", "ok", "long-place", "odd-place",
+                   "many-cities", "unsure"]
     st = spark.createDataFrame([(0.70, "x", None), (0.69, "x", None), (0.9, "", None), (0.9, "x", "桃園"), (0.9, "x", "台北")], "c double, p string, pc string")
     t = F.lit(True)
     got = [r.y for r in st.select(V.model_status(F.lit(False), t, t, t, t, F.col("p"), F.col("c"), F.col("pc"), F.array(F.lit("台北"))).alias("y")).collect()]
@@ -230,3 +230,13 @@ def test_version_after_a_full_width_blank(ev):
 def test_shard_is_the_crc32_of_the_key_as_text(spark):
     got = spark.range(500).withColumn("shard", R.shard_of(F.col("id"), 7)).collect()
     assert [r.shard for r in got] == [zlib.crc32(str(r.id).encode()) % 7 for r in got]
+
+
+def test_full_width_digits_are_digits(ev):
+    from shelfmark.functions import values as V
+    from shelfmark.functions.names import clean_title
+    got = ev(P.extract_version, ["案名 V２.mp4", "案名 Ｖ2.mp4", "x v１０ y.mov", "x V٣.mov", "x V２a.mov"])
+    assert [(g.base, g.version) for g in got] == [("案名", 2), ("案名 Ｖ2", 1), ("x y", 10), ("x", 3), ("x V２a", 1)]
+    assert ev(V.is_date_cell, ["１/２", "１２/３１", "1/2", "x/1"]) == [True, True, True, False]
+    plain, wide = ev(lambda c: clean_title(c, [], [], []), ["3/4 1203 海風"]), ev(lambda c: clean_title(c, [], [], []), ["３/４ １２０３ 海風"])
+    assert plain == wide
