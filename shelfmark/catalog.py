@@ -15,8 +15,9 @@ from shelfmark import constants as C
 from shelfmark.functions import paths as P
 from shelfmark.functions.text import append_missing_tokens, build_search_text
 from shelfmark.operators.joins import lookup_left_join, override_merge, preserve_tags
-from shelfmark.operators.lanes import attach_lookup
 from shelfmark.operators.maintenance import guarded_prune, upsert_merge
+from shelfmark.operators.ranking import page_slice
+from shelfmark.operators.search import primary_location, priority_partition, relaxed_search, weaker_key
 from shelfmark.operators.windows import latest_version_flag
 from shelfmark.session import stage
 
@@ -94,7 +95,7 @@ def apply_places(catalog: DataFrame, expected: DataFrame) -> DataFrame:
     names = ["_city", "_district", "_area", "_known"]
     e = expected.select("case_name", F.col("city").alias("_city"), F.col("district").alias("_district"),
                         F.col("area").alias("_area"), F.lit(True).alias("_known"))
-    rows = attach_lookup(catalog, ["case_name"], ["drive_file_id"], lambda k: k.join(e, "case_name"), names)
+    rows = catalog.join(e.withColumnRenamed("case_name", "_case"), F.col("case_name") == F.col("_case"), "left").drop("_case")
     known = F.coalesce("_known", F.lit(False))
     city, district = P.blank_to_null(F.col("_city")), P.blank_to_null(F.col("_district"))
     pair = F.when(city.isNotNull() & district.isNotNull(), F.concat(city, F.lit(" "), district))
@@ -108,6 +109,23 @@ def apply_places(catalog: DataFrame, expected: DataFrame) -> DataFrame:
         "district", F.when(known, district).otherwise(F.col("district"))).drop(*names)
 
 
+def search(catalog: DataFrame, q: str, part: str, letters: str, *, category: str | None = None, offset: int = 0,
+           n: int = 20) -> DataFrame:
+    """One page of the live assets that match ``q``, else its next weaker key, with ``block``: those at the query's own place first.
+
+    The place is the vote of the cases named like the query, or else like its weaker key (``primary_location``), of which every district
+    counts; without a place all hits are one block. Newest first, then by id. Two rows, key and place, reach the driver.
+    """
+    keep = ~F.col("is_old") & ((F.col("category") == category) if category else F.lit(True))
+    hits = relaxed_search(catalog, "search_text", q, part, letters, keep)
+    key = catalog.sparkSession.range(1).select(weaker_key(q, part, letters)).first()[0]
+    asked = (primary_location(catalog, "case_name", "city", "district", "drive_file_id", x).first() for x in (q, key) if x)
+    place = next((p for p in asked if p), None)
+    if place is None:
+        return page_slice(hits.withColumn("block", F.lit(0)), [F.desc("mtime"), F.asc("drive_file_id")], offset, n).drop("total")
+    return priority_partition(hits, "city", "district", place["city"], [d for d in place["districts"] if d], "mtime", "drive_file_id", offset, n)
+
+
 def cases_for_scripts(catalog: DataFrame, manual: DataFrame, match: Callable[[Column], Column]) -> DataFrame:
     """(case_name, city, district) of the cases without a city that no manual entry settles.
 

@@ -13,15 +13,19 @@ from shelfmark.functions.names import normalize_city, normalize_district
 from shelfmark.functions.paths import blank_to_null, strip
 from shelfmark.functions.values import hours_between
 from shelfmark.operators.dictionary import containment_pairs
-from shelfmark.operators.lanes import attach_group, attach_lookup, keep_ranked, numbered
+from shelfmark.operators.lanes import attach_group, keep_ranked, numbered
 from shelfmark.session import stage
 
 
 def lookup_left_join(df: DataFrame, key: str, dim: DataFrame, dim_key: str, values: Sequence[str],
-                     row_key: Sequence[str]) -> DataFrame:
-    """Attach dimension values by key; unknown and '' become null. Each distinct key is looked up once."""
+                     row_key: Sequence[str] = ()) -> DataFrame:
+    """Attach dimension values by key (unique in ``dim``); unknown and '' become null.
+
+    A plain left join: the facts are read once, a small dimension is broadcast by its statistics, and adaptive execution
+    splits a key that very many facts share.
+    """
     d = dim.select(F.col(dim_key).alias("_k"), *[blank_to_null(F.col(v)).alias(v) for v in values])
-    return attach_lookup(df, [key], row_key, lambda k: k.join(d, F.col(key) == F.col("_k")).drop("_k"), values)
+    return df.join(d, F.col(key) == F.col("_k"), "left").drop("_k")
 
 
 def unknown_names(df: DataFrame, key: str, known: DataFrame, group: str, sample: str) -> DataFrame:
@@ -99,15 +103,14 @@ def override_merge(guess: DataFrame, existing: DataFrame, manual: DataFrame, adm
         F.when(clear, None).otherwise(second["area"]).alias("area"))
 
 
-def mismatches(df: DataFrame, key: str, expected: DataFrame, columns: Sequence[str], row_key: Sequence[str]) -> DataFrame:
+def mismatches(df: DataFrame, key: str, expected: DataFrame, columns: Sequence[str], row_key: Sequence[str] = ()) -> DataFrame:
     """Rows whose values differ from the expected ones of their key; null and '' are equal."""
     names = [f"_e_{c}" for c in columns]
     e = expected.select(F.col(key).alias("_k"), *[F.col(c).alias(f"_e_{c}") for c in columns])
-    found = attach_lookup(df, [key], row_key, lambda k: k.join(e, F.col(key) == F.col("_k")).drop("_k").withColumn(
-        "_known", F.lit(True)), [*names, "_known"])
+    found = df.join(e, F.col(key) == F.col("_k"))
     differs = reduce(lambda a, b: a | b, [
         ~blank_to_null(F.col(c)).eqNullSafe(blank_to_null(F.col(f"_e_{c}"))) for c in columns])
-    return found.filter(F.col("_known") & differs).drop("_known")
+    return found.filter(differs).drop("_k")
 
 
 def tiered_match(cases: DataFrame, case: str, scripts: DataFrame, norm, script_id: str, folder: str, subfolder: str,
@@ -211,14 +214,12 @@ def ancestor_chains(folders: DataFrame, levels: int = 5) -> DataFrame:
     return chain.select("folder_id", F.slice("chain", 1, levels).alias("chain"))
 
 
-def output_case(files: DataFrame, parent: str, folders: DataFrame, output_name: str, row_key: Sequence[str]) -> DataFrame:
+def output_case(files: DataFrame, parent: str, folders: DataFrame, output_name: str, row_key: Sequence[str] = ()) -> DataFrame:
     """Files directly inside an ``output_name`` folder, with the folder above it as their case."""
     out = folders.filter(F.col("name") == output_name).select(F.col("folder_id").alias("output_id"), F.col("parent_id").alias("case_id"))
     case = folders.select(F.col("folder_id").alias("case_id"), F.col("name").alias("case_name"))
     inside = out.join(case, "case_id")
-    found = attach_lookup(files, [parent], row_key, lambda k: k.join(inside, F.col(parent) == F.col("output_id")),
-                          ["output_id", "case_id", "case_name"])
-    return found.filter(F.col("output_id").isNotNull())
+    return files.join(inside, F.col(parent) == F.col("output_id"))
 
 
 def same_path_rows(df: DataFrame, key: str, canonical: str) -> DataFrame:
@@ -235,11 +236,10 @@ def approvals(pending: DataFrame, actions: DataFrame, ttl_days: int = C.APPROVAL
     the request). Others find no pending request or an unknown token.
     """
     p = pending.select(F.col("token").alias("_t"), "created_at")
-    joined = attach_lookup(actions, ["token"], ["token", "seq"], lambda k: k.join(p, F.col("token") == F.col("_t")),
-                           ["_t", "created_at"])
-    live = joined.withColumn("_live", F.col("at") >= F.col("created_at"))
-    settled = attach_group(live, ["token"], ["token", "seq"], {
-        "_first": ("min", F.when(F.col("_live"), F.struct("at", "seq")))})
+    # one exchange of the actions and one of the requests serve all three joins
+    live = actions.join(p, F.col("token") == F.col("_t")).filter(F.col("at") >= F.col("created_at"))
+    firsts = live.groupBy("_t").agg(F.min(F.struct("at", "seq")).alias("_first"))
+    settled = actions.join(p.join(firsts, "_t", "left"), F.col("token") == F.col("_t"), "left")
     late = hours_between(F.col("at"), F.col("created_at")) > ttl_days * 24
     outcome = (F.when(F.col("_t").isNull(), "unknown-token")
                .when(~F.coalesce(F.struct("at", "seq") == F.col("_first"), F.lit(False)), "no-pending")

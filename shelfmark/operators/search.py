@@ -24,6 +24,11 @@ def _like_pattern(q: Column) -> Column:
     return F.concat(F.lit("%"), F.regexp_replace(q, r"([\\%_])", r"\\$1"), F.lit("%"))
 
 
+def weaker_key(q: str, part: str, letters: str) -> Column:
+    """The next weaker search key of a query, a constant; null without one."""
+    return F.get(F.filter(search_key_cascade(F.lit(q), part, letters), lambda k: k != F.lit(q)), 0)
+
+
 def relaxed_search(df: DataFrame, text: str, q: str, part: str, letters: str, keep: Column | None = None) -> DataFrame:
     """Rows that contain ``q``; when no row does, rows that contain its next weaker search key. ``keep`` filters afterwards.
 
@@ -31,7 +36,7 @@ def relaxed_search(df: DataFrame, text: str, q: str, part: str, letters: str, ke
     one is worked out in the plan and folded to a constant there. A query without a weaker key finds nothing more.
     """
     full = F.col(text).ilike(like_pattern(q))
-    weaker = F.get(F.filter(search_key_cascade(F.lit(q), part, letters), lambda k: k != F.lit(q)), 0)
+    weaker = weaker_key(q, part, letters)
     # the probe needs one hit only and stays a subquery of the same plan
     none = df.filter(full).select(F.lit(1).alias("x")).limit(1).agg(F.count("x")).scalar() == 0
     hits = df.filter(full | (none & F.coalesce(F.ilike(F.col(text), _like_pattern(weaker)), F.lit(False))))

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from shelfmark import catalog as G
 from shelfmark.operators.dictionary import gazetteer_match
+from shelfmark.plans.bindings import CUSTOMER_GEO, customer_geo
 from shelfmark.plans.columns import VERSIONED, versioned_name
 from shelfmark.plans.registry import query, table
 from shelfmark.session import stage
@@ -108,3 +109,23 @@ def _(s, sf):
         cat, lambda x: gazetteer_match(x, ["red", "large"], {"large": "big"}, {"big": ["ring"], "red": ["gear"]}, {}, {}),
         existing, manual, admin)
     return G.apply_places(cat, places).select("drive_file_id", "city", "district", "search_text")
+
+
+SEARCHED = f"""with {CUSTOMER_GEO}, ca as (select o_orderkey as id, o_orderdate as mtime, o_orderstatus = 'P' as is_old, o_orderpriority as category, c_mktsegment as case_name,
+  case when city <> 'ASIA' then city end as city, case when city <> 'ASIA' then district end as district, o_orderpriority || ' ' || c_mktsegment as search_text from orders join cg on o_custkey = c_custkey),
+e as (select * from ca where city is not null and case_name ilike '%machinery%' order by id limit 100),
+v as (select city, district, count(*) as votes from e group by 1, 2 order by 3 desc, 1, 2 limit 1),
+h as (select ca.*, case when ca.city = v.city and ca.district ilike '%' || v.district || '%' then 0
+  when ca.city <> v.city or ca.city is null or not (ca.district ilike '%' || v.district || '%') then 1 end as block from ca, v where search_text ilike '%machinery%' and not is_old)"""
+
+
+@query("Q3", "search_page", f"""{SEARCHED} select id, block, city, district from h where block is not null order by block, mtime desc, id limit 40 offset 10""")
+def _(s, sf):
+    g = customer_geo(s, sf)
+    placed = c("city") != "ASIA"
+    cat = table(s, sf, "orders").join(g, c("o_custkey") == c("c_custkey")).select(
+        c("o_orderkey").alias("drive_file_id"), c("o_orderdate").alias("mtime"), (c("o_orderstatus") == "P").alias("is_old"),
+        c("o_orderpriority").alias("category"), c("c_mktsegment").alias("case_name"), F.when(placed, c("city")).alias("city"),
+        F.when(placed, c("district")).alias("district"), F.concat_ws(" ", "o_orderpriority", "c_mktsegment").alias("search_text"))
+    out = G.search(cat, "machinery - part 3", r"\s*part \d+\s*$", "a-z", offset=10, n=40)
+    return out.select(c("drive_file_id").alias("id"), "block", "city", "district")

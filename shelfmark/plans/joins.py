@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from shelfmark.functions import names as N
 from shelfmark.operators import dictionary as D
 from shelfmark.operators import joins as J
-from shelfmark.operators.lanes import attach_lookup, keep_ranked
+from shelfmark.operators.lanes import keep_ranked
 from shelfmark.plans.bindings import CUSTOMER_GEO, customer_geo
 from shelfmark.plans.columns import PART_TITLE, part_title
 from shelfmark.plans.registry import query, table
@@ -284,7 +284,7 @@ def folder_tree(s, sf):
 def _(s, sf):
     chains = J.ancestor_chains(folder_tree(s, sf), 5)
     o = table(s, sf, "orders").select("o_orderkey", F.concat(lit("c"), c("o_custkey").cast("string")).alias("parent"))
-    found = attach_lookup(o, ["parent"], ["o_orderkey"], lambda k: k.join(chains, c("parent") == c("folder_id")), ["chain"])
+    found = o.join(chains, c("parent") == c("folder_id"), "left")
     return found.select("o_orderkey", F.array_join("chain", "/").alias("chain"))
 
 

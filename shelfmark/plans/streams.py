@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from shelfmark import constants as C
-from shelfmark.plans.joins import APPROVALS
+from shelfmark.plans.joins import APPROVALS, folder_tree
 from shelfmark.plans.registry import query, table
 from shelfmark.plans.windows import DELTA_SQL, STREAK_SQL
 from shelfmark.session import shared_path
@@ -80,6 +80,30 @@ def _(s, sf):
     return s.read.schema("event_id bigint, reason string").parquet(out).drop("batch_id")
 
 
+@query("T3", "change_feed_job", f"""with f as (select 'c' || c_custkey as folder_id, c_mktsegment as name, 'n' || c_nationkey as parent_id from customer
+  union all select 'n' || n_nationkey, n_name, 'r' || n_regionkey from nation),
+a as (select 1 as arrival, * from events where ts < timestamp '{NONE_YET}' union all select 2, * from events),
+ch as (select arrival, event_id, ts, case when value >= 2 then event_id || case when (props->>'k')::int < 20 then '.txt' else '.MP4' end end as name, 'c' || user_id as parent,
+  event_type = 'error' as trashed, event_type = 'signup' as is_folder from a),
+j as (select ch.*, o.name is not null as inside, p.name as case_name, case when ch.name is null then 'nofile' when trashed then 'trashed' when is_folder then 'folder'
+   when ch.name not like '%.MP4' then 'nonvideo' end as early, case when ts < timestamp '2024-01-15' - interval 240 hour then 'old' when o.name is null then 'no-output' end as late
+  from ch left join f o on ch.parent = o.folder_id and o.name = 'MACHINERY' left join f p on o.parent_id = p.folder_id),
+r as (select *, coalesce(early, case when arrival = 2 and ts < timestamp '{NONE_YET}' and late is null then 'dup' else late end) as reason from j)
+select event_id, reason, case_name, case when reason is null then case when count(*) filter (where reason is null) over (partition by arrival, parent) = 1 then 'complete' else 'revised' end end as kind from r""")
+def _(s, sf):
+    src, out, chk, led = (shared_path(s, x) for x in ("feed", "out", "chk", "ledger"))
+    number = F.col("event_id").cast("string")
+    name = F.when(c("value") >= 2, F.concat(number, F.when(F.get_json_object("props", "$.k").cast("int") < 20, ".txt").otherwise(".MP4")))
+    changes = "event_id bigint, ts timestamp, name string, parent string, trashed boolean, is_folder boolean"
+    handler = T.change_feed(T.Ledger(led, "event_id", "ts").create(s), folder_tree(s, sf), "MACHINERY", ["mp4"], out, ntz("2024-01-15"), 240)
+    e = events(s, sf).select("event_id", "ts", name.alias("name"), F.concat(F.lit("c"), c("user_id").cast("string")).alias("parent"),
+                             (c("event_type") == "error").alias("trashed"), (c("event_type") == "signup").alias("is_folder"))
+    for more in (e.filter(c("ts") < ntz(NONE_YET)), e):
+        more.write.mode("append").parquet(src)
+        T.drain(T.file_feed(s, src, changes, ALL_FILES), handler, chk)
+    return s.read.schema("event_id bigint, reason string, case_name string, kind string").parquet(out).drop("batch_id")
+
+
 @query("T4", "late_data_cutoff", "select event_id from events where event_type = 'signup' or ts >= timestamp '2024-01-20' - interval 6 hour")
 def _(s, sf):
     src, out, chk = shared_path(s, "feed"), shared_path(s, "out"), shared_path(s, "chk")

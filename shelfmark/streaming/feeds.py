@@ -6,7 +6,7 @@ output holds every batch once. Checkpoints and outputs live in the shared folder
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,6 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from shelfmark import constants as C
 from shelfmark.functions import bloom
+from shelfmark.functions.paths import extension
 from shelfmark.operators.predicates import recent_or_unknown
 
 Handler = Callable[[DataFrame, int], None]
@@ -158,6 +159,34 @@ def skip_reason(has_file: Column, trashed: Column, folder: Column, wanted_type:
             .when(seen, "dup").when(~recent_or_unknown(created, asof, hours), "old").when(~in_output, "no-output"))
 
 
+def change_feed(ledger: Ledger, folders: DataFrame, output_name: str, wanted: Sequence[str], path: str, asof: Column | None = None,
+                hours: float = C.NEW_ITEM_HOURS) -> Handler:
+    """The whole handler of a change feed: why each change is skipped, and for the announced ones case and kind.
+
+    Changes are (key, ts, name, parent, trashed, is_folder); one whose folder is not called ``output_name`` (a row of
+    ``folders``) is no output, the folder above names its case, and it is complete as the only live file of its folder in the
+    batch, else revised. The ledger keeps what was announced. One write per batch, besides the ledger's.
+    """
+    def handle(df: DataFrame, batch_id: int) -> None:
+        key = ledger.key
+        known = ledger.known(df, batch_id).select(F.col(key).alias("_seen"))
+        rows = df.dropDuplicates([key]).join(known, F.col(key) == F.col("_seen"), "left")
+        out = folders.filter(F.col("name") == output_name).select(F.col("folder_id").alias("_out"), F.col("parent_id").alias("_case"))
+        named = folders.select(F.col("folder_id").alias("_case"), F.col("name").alias("case_name"))
+        rows = rows.join(out.join(named, "_case", "left"), F.col("parent") == F.col("_out"), "left")
+        reason = skip_reason(F.col("name").isNotNull(), F.col("trashed"), F.col("is_folder"), extension(F.col("name")).isin(list(wanted)),
+                             F.col("_seen").isNotNull(), F.col(ledger.ts), asof if asof is not None else F.current_timestamp(),
+                             F.col("_out").isNotNull(), hours)
+        rows = rows.withColumn("reason", reason).drop("_seen", "_out", "_case")
+        live = rows.filter(F.col("reason").isNull()).groupBy(F.col("parent").alias("_p")).agg(F.count(F.lit(1)).alias("_live"))
+        rows = rows.join(live, F.col("parent") == F.col("_p"), "left").withColumn(
+            "kind", F.when(F.col("reason").isNull(), F.when(F.col("_live") == 1, "complete").otherwise("revised"))).drop("_p", "_live")
+        rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        done = df.sparkSession.read.schema(rows.schema).parquet(f"{path}/batch_id={batch_id}")
+        ledger.add(done.filter(F.col("reason").isNull()), batch_id)
+    return _held(handle)
+
+
 def late_cutoff(ts: str, path: str, hours: float = C.NEW_ITEM_HOURS, asof: Column | None = None) -> Handler:
     """Drop what is older than ``hours`` when its batch is processed (unreadable times stay)."""
     keep = batch_writer(path)
