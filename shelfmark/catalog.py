@@ -13,9 +13,10 @@ from pyspark.sql import functions as F
 
 from shelfmark import constants as C
 from shelfmark.functions import paths as P
-from shelfmark.functions.text import append_missing_tokens, build_search_text
+from shelfmark.functions.text import append_missing_tokens, build_search_text, remove_token
 from shelfmark.operators.joins import lookup_left_join, override_merge, preserve_tags
-from shelfmark.operators.maintenance import guarded_prune, upsert_merge
+from shelfmark.operators.maintenance import full_refresh, guarded_prune, upsert_merge
+from shelfmark.operators.predicates import date_window
 from shelfmark.operators.ranking import page_slice
 from shelfmark.operators.search import primary_location, priority_partition, relaxed_search, weaker_key
 from shelfmark.operators.windows import latest_version_flag
@@ -140,6 +141,68 @@ def cases_for_scripts(catalog: DataFrame, manual: DataFrame, match: Callable[[Co
     return rest.select("case_name", F.when(own, F.col("_m.city")).alias("city"), F.when(own, F.col("_m.district")).alias("district"))
 
 
-def place_schedule(schedule: DataFrame, places: DataFrame, row_key: Sequence[str]) -> DataFrame:
+def place_schedule(schedule: DataFrame, places: DataFrame, row_key: Sequence[str] = ()) -> DataFrame:
     """Schedule rows with the city and district resolved for their case."""
     return lookup_left_join(schedule, "case_name", places, "case_name", ["city", "district"], row_key)
+
+
+def sync_schedule(schedule: DataFrame, places: DataFrame, asof: Column, days: int, path: str) -> DataFrame:
+    """The dated rows of a parsed schedule from ``asof`` on for ``days`` days, with the places of their cases, as the new table at ``path``.
+
+    ``schedule`` is (sheet, date, case_name, editor), ``places`` one row per case_name; the old table is replaced as a whole. One write.
+    """
+    week = schedule.filter(date_window(F.col("date"), asof, days - 1))
+    return full_refresh(place_schedule(week, places).select("sheet", "date", "case_name", "editor", "city", "district"), path)
+
+
+def rollback_places(catalog: DataFrame, journal: DataFrame, fid: str, place: str, seq: str) -> tuple[DataFrame, DataFrame]:
+    """(patches, report) that take back the places a journal has applied.
+
+    ``journal`` holds the applied records (fid, place, seq), as ``read_dropping`` gives them. A patch (drive_file_id, tags, search_text)
+    has all places of its asset taken out in journal order. The report (fid, place, seq, status) says of each record: row-missing,
+    reverted, or no-change where neither tags nor search text hold the place any more; a record that repeats an earlier one
+    changes nothing. A second run over the patched catalog therefore only reports no-change.
+    """
+    records = journal.select(F.col(fid).alias("fid"), F.col(place).alias("place"), F.col(seq).alias("seq"))
+    # different places of an asset are few, however often the journal names them
+    first = records.groupBy("fid", "place").agg(F.min("seq").alias("first"))
+    per_asset = first.groupBy("fid").agg(F.array_sort(F.collect_list(F.struct("first", "place"))).alias("steps"))
+    rows = catalog.select(F.col("drive_file_id").alias("id"), F.coalesce("tags", F.array().cast("array<string>")).alias("tags"),
+                          F.coalesce("search_text", F.lit("")).alias("text"))
+    found = rows.join(per_asset, F.col("id") == F.col("fid"))
+    start = F.struct(F.col("text").alias("text"), F.array().cast("array<boolean>").alias("changed"))
+
+    def step(state: Column, s: Column) -> Column:
+        after = remove_token(state["text"], s["place"])
+        return F.struct(after.alias("text"), F.array_append(state["changed"], after != state["text"]).alias("changed"))
+
+    done = found.withColumn("done", F.aggregate("steps", start, step))
+    done = done.withColumn("kept", F.filter("tags", lambda t: ~F.array_contains(F.transform("steps", lambda s: s.place), t)))
+    each = F.transform(F.arrays_zip("steps", F.col("done.changed").alias("changed")), lambda z: F.struct(
+        z.steps.first.alias("first"), z.steps.place.alias("place"),
+        (z.changed | F.array_contains("tags", z.steps.place)).alias("changed")))
+    done = done.withColumn("each", each)
+    patches = done.filter(F.exists("each", lambda e: e.changed)).select(
+        F.col("id").alias("drive_file_id"), F.col("kept").alias("tags"), F.col("done.text").alias("search_text"))
+    steps = done.select(F.col("id").alias("_id"), F.explode("each").alias("e")).select(
+        "_id", F.col("e.first").alias("_first"), F.col("e.place").alias("_place"), F.col("e.changed").alias("_changed"))
+    out = records.join(steps, (F.col("fid") == F.col("_id")) & (F.col("place") == F.col("_place")), "left")
+    status = (F.when(F.col("_id").isNull(), "row-missing").when((F.col("seq") == F.col("_first")) & F.col("_changed"), "reverted")
+              .otherwise("no-change"))
+    return patches, out.select("fid", "place", "seq", status.alias("status"))
+
+
+def missing_files(catalog: DataFrame, listing: DataFrame, key: str, volume: str, path: str, mounted: Sequence[str]) -> DataFrame:
+    """(key, status) of catalog rows that the listing of the volumes lacks: missing, or skipped on an unhealthy volume.
+
+    A volume is healthy when it is mounted and the file of its smallest key is listed: if that one is gone, the whole
+    volume may be, and nothing of it is called missing. Rows without a path are left out.
+    """
+    rows = catalog.filter(F.coalesce(F.col(path), F.lit("")) != "").select(key, volume, path)
+    on_disk = listing.select(F.col(volume).alias("_v"), F.col(path).alias("_p")).distinct()
+    sample = rows.groupBy(volume).agg(F.min_by(path, key).alias("_p"))
+    healthy = sample.filter(F.col(volume).isin(list(mounted))).join(
+        on_disk, (F.col(volume) == F.col("_v")) & (sample["_p"] == on_disk["_p"]), "left_semi").select(F.col(volume).alias("_healthy"))
+    gone = rows.join(on_disk, (F.col(volume) == F.col("_v")) & (F.col(path) == F.col("_p")), "left_anti")
+    out = gone.join(healthy, F.col(volume) == F.col("_healthy"), "left")
+    return out.select(key, F.when(F.col("_healthy").isNotNull(), "missing").otherwise("skipped").alias("status"))

@@ -35,3 +35,12 @@ def customer_geo(spark: SparkSession, sf: str) -> DataFrame:
 
 CUSTOMER_GEO = """cg as (select c_custkey, c_name, c_mktsegment, c_acctbal, r_name as city, n_name as district
   from customer join nation on c_nationkey = n_nationkey join region on n_regionkey = r_regionkey)"""
+
+
+def crc32_sql(key: str) -> str:
+    """CRC-32 of an ASCII rendering of ``key``, byte by byte and bit by bit, as DuckDB has no function for it."""
+    text = f"CAST({key} AS VARCHAR)"
+    step = "CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384::UBIGINT) ELSE x // 2 END"
+    byte = f"list_reduce(list_prepend(xor(c, b), list_transform(range(8), lambda k: k::UBIGINT)), lambda x, k: {step})"
+    codes = f"list_transform(range(1, len({text}) + 1), lambda i: ascii({text}[i])::UBIGINT)"
+    return f"xor(list_reduce(list_prepend(4294967295::UBIGINT, {codes}), lambda c, b: {byte}), 4294967295::UBIGINT)"

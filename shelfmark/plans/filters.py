@@ -6,7 +6,7 @@ from shelfmark.functions import names as N
 from shelfmark.functions import paths as P
 from shelfmark.functions import values as V
 from shelfmark.operators import predicates as R
-from shelfmark.plans.bindings import PAGE_PATHS, page_paths
+from shelfmark.plans.bindings import PAGE_PATHS, page_paths, crc32_sql
 from shelfmark.plans.registry import query, table
 
 c, lit = F.col, F.lit
@@ -121,7 +121,8 @@ def _(s, sf):
     return R.triage_worklist(triaged(s, sf), "doc_id", 150).select("doc_id", "n_chars", "priority")
 
 
-@query("P13", "hash_shard")
+@query("P13", "hash_shard", f"""with s as (select o_orderkey, ({crc32_sql("o_orderkey")} % 4)::int as shard from orders)
+select shard, count(*) as rows, min(o_orderkey) as first_key from s group by 1""")
 def _(s, sf):
     o = table(s, sf, "orders").withColumn("shard", R.shard_of(c("o_orderkey"), 4))
     return o.groupBy("shard").agg(F.count(lit(1)).alias("rows"), F.min("o_orderkey").alias("first_key"))

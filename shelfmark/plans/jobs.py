@@ -4,10 +4,12 @@ from pyspark.sql import functions as F
 
 from shelfmark import catalog as G
 from shelfmark.operators.dictionary import gazetteer_match
+from shelfmark.operators.schedule import parse_schedule
 from shelfmark.plans.bindings import CUSTOMER_GEO, customer_geo
 from shelfmark.plans.columns import VERSIONED, versioned_name
 from shelfmark.plans.registry import query, table
-from shelfmark.session import stage
+from shelfmark.plans.windows import SCHEDULE, order_grid
+from shelfmark.session import shared_path, stage
 
 c, lit = F.col, F.lit
 
@@ -129,3 +131,63 @@ def _(s, sf):
         F.when(placed, c("district")).alias("district"), F.concat_ws(" ", "o_orderpriority", "c_mktsegment").alias("search_text"))
     out = G.search(cat, "machinery - part 3", r"\s*part \d+\s*$", "a-z", offset=10, n=40)
     return out.select(c("drive_file_id").alias("id"), "block", "city", "district")
+
+
+@query("K6", "schedule_synced", f"""with {SCHEDULE},
+sc as (select sheet, dt as date, case_name, editor from ti where case_name <> '' group by all),
+pl as (select distinct o_orderpriority as case_name, left(o_orderpriority, 1) as city, nullif(substr(o_orderpriority, 3), 'LOW') as district from orders)
+select sheet, date, case_name, editor, city, district from sc left join pl using (case_name) where date between date '2000-03-01' and date '2000-03-06' + 180""")
+def _(s, sf):
+    p = c("o_orderpriority")
+    places = table(s, sf, "orders").select(p.alias("case_name"), F.left(p, lit(1)).alias("city"),
+                                           F.nullif(F.substr(p, lit(3)), lit("LOW")).alias("district")).distinct()
+    parsed = parse_schedule(order_grid(s, sf), "sheet", lit(2000), lit(False), ["off"], ["ab", "cd"], [], [], [])
+    return G.sync_schedule(parsed, places, F.to_date(lit("2000-03-01")), 186, shared_path(s, "schedule"))
+
+
+ROLLBACK = """ca as (select c_custkey as id, [c_mktsegment, 'keep', c_name] as tags, c_name || ' ' || c_mktsegment || ' view end' as text from customer where c_acctbal > 500),
+jo as (select event_id as seq, user_id as fid, case event_type when 'click' then 'MACHINERY' when 'signup' then 'view' else event_type end as place from events where event_type <> 'error'),
+fi as (select fid, place, min(seq) as first from jo group by 1, 2),
+st as (select fid, list(place order by first) as places from fi group by 1),
+rm as (select id, tags, places, text as t0, trim(replace(replace(replace(text, ' ' || places[1], ''), places[1] || ' ', ''), places[1], '')) as t1 from ca join st on id = fid),
+r2 as (select *, case when len(places) < 2 then t1 else trim(replace(replace(replace(t1, ' ' || places[2], ''), places[2] || ' ', ''), places[2], '')) end as t2 from rm),
+r3 as (select *, case when len(places) < 3 then t2 else trim(replace(replace(replace(t2, ' ' || places[3], ''), places[3] || ' ', ''), places[3], '')) end as t3 from r2)"""
+
+
+def rolled_back(s, sf):
+    cu = table(s, sf, "customer").filter(c("c_acctbal") > 500)
+    cat = cu.select(c("c_custkey").alias("drive_file_id"), F.array(c("c_mktsegment"), lit("keep"), c("c_name")).alias("tags"),
+                    F.concat_ws(" ", "c_name", "c_mktsegment", lit("view end")).alias("search_text"))
+    kind = F.when(c("event_type") == "click", "MACHINERY").when(c("event_type") == "signup", "view").otherwise(c("event_type"))
+    e = table(s, sf, "events").filter(c("event_type") != "error").select(c("event_id").alias("seq"), c("user_id").alias("fid"), kind.alias("place"))
+    return G.rollback_places(cat, e, "fid", "place", "seq")
+
+
+@query("K2", "rollback_patches", f"""with {ROLLBACK}
+select id as drive_file_id, array_to_string(list_filter(tags, lambda t: not list_contains(places, t)), ',') as tags, t3 as search_text from r3
+where t3 <> t0 or list_has_any(tags, places)""")
+def _(s, sf):
+    return rolled_back(s, sf)[0].withColumn("tags", F.array_join("tags", ","))
+
+
+@query("K2", "rollback_report", f"""with {ROLLBACK},
+ch as (select id, unnest(places) as place, unnest([t1 <> t0, t2 <> t1, t3 <> t2]) as moved, tags from r3)
+select fid, jo.place, seq, case when id is null then 'row-missing' when seq = first and (moved or list_contains(tags, jo.place)) then 'reverted' else 'no-change' end as status
+from jo join fi using (fid, place) left join ch on fid = id and jo.place = ch.place""")
+def _(s, sf):
+    return rolled_back(s, sf)[1]
+
+
+@query("J2", "missing_files_guarded", """with ca as (select o_orderkey as id, o_orderpriority as volume, case when o_orderstatus = 'P' then '' else 'p/' || o_orderkey end as path from orders),
+li as (select distinct o_orderpriority as volume, 'p/' || o_orderkey as path from orders join lineitem on o_orderkey = l_orderkey where l_linenumber = 1 and (l_returnflag <> 'R' or o_orderpriority = '2-HIGH')
+  and not (o_orderpriority = '3-MEDIUM' and o_orderkey < 200)),
+r as (select * from ca where path <> ''), sa as (select volume, arg_min(path, id) as path from r group by 1),
+h as (select volume from sa where volume <> '5-LOW' and (volume, path) in (select volume, path from li))
+select id, case when volume in (select volume from h) then 'missing' else 'skipped' end as status from r where (volume, path) not in (select volume, path from li)""")
+def _(s, sf):
+    o = table(s, sf, "orders").select(c("o_orderkey").alias("id"), c("o_orderpriority").alias("volume"), "o_orderstatus",
+                                      F.concat(lit("p/"), c("o_orderkey").cast("string")).alias("path"))
+    li = table(s, sf, "lineitem").filter(c("l_linenumber") == 1).join(o, c("l_orderkey") == c("id"))
+    li = li.filter(((c("l_returnflag") != "R") | (c("volume") == "2-HIGH")) & ~((c("volume") == "3-MEDIUM") & (c("id") < 200)))
+    cat = o.withColumn("path", F.when(c("o_orderstatus") == "P", "").otherwise(c("path")))
+    return G.missing_files(cat, li.select("volume", "path"), "id", "volume", "path", ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED"])

@@ -84,14 +84,17 @@ def _(s, sf):
     return S.assign_headers(g, S.header_cells(g, "sheet"), "sheet").select("sheet", "row_idx", "col_idx", "cell", "header_row", "header_cell")
 
 
-@query("W5", "schedule_parse", "with " + GRID.replace(chr(92) * 2, chr(92)) + r""",
+SCHEDULE = GRID.replace(chr(92) * 2, chr(92)) + r""",
 hx as (select sheet, h, unnest([0, 1, 2])::int as col_idx, unnest(hc) as t from hd),
 h1 as (select *, split_part(t, '/', 1)::int as mo, split_part(t, '/', 2)::int as da from hx),
 h2 as (select *, coalesce(mo < lag(mo) over (partition by sheet order by h, col_idx), false)::int as r from h1),
 h3 as (select *, try_cast(printf('%04d-%02d-%02d', (2000 + sum(r) over (partition by sheet order by h, col_idx rows unbounded preceding))::int, mo, da) as date) as dt from h2),
 bo as (select a.sheet, a.h, row_idx, a.col_idx, cell, dt, case when contains(regexp_extract(cell, '\(([^)]+)\)', 1), 'ab') then 'ab' when contains(regexp_extract(cell, '\(([^)]+)\)', 1), 'cd') then 'cd' end as editor
   from asg a join h3 on a.sheet = h3.sheet and a.h = h3.h and a.col_idx = h3.col_idx where dt is not null and not contains(cell, 'off')),
-ti as (select *, trim(regexp_replace(regexp_replace(trim(regexp_replace(cell, '\s*\([^)]+\)\s*$', '')), '\s*\*\s*\d+\s*$', ''), '\s+', ' ', 'g')) as case_name from bo where editor is not null)
+ti as (select *, trim(regexp_replace(regexp_replace(trim(regexp_replace(cell, '\s*\([^)]+\)\s*$', '')), '\s*\*\s*\d+\s*$', ''), '\s+', ' ', 'g')) as case_name from bo where editor is not null)"""
+
+
+@query("W5", "schedule_parse", f"""with {SCHEDULE}
 select sheet, dt as date, case_name, editor from ti where case_name <> '' group by all""")
 def _(s, sf):
     return S.parse_schedule(order_grid(s, sf), "sheet", lit(2000), lit(False), ["off"], ["ab", "cd"], [], [], [])

@@ -50,9 +50,27 @@ def shared_path(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+#: Folders written by ``stage`` in this process and not cleared yet.
+_staged: list[str] = []
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: cuts lineage, survives executor loss."""
+    """Write ``df`` to the shared folder and read it back: cuts lineage, survives executor loss.
+
+    The folder stays until ``clear_staged``, as what is returned reads it.
+    """
     spark = df.sparkSession
     path = shared_path(spark, label)
     df.write.parquet(path)
+    _staged.append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def clear_staged(spark: SparkSession) -> int:
+    """Delete what ``stage`` has written since the last call, at the end of a job whose results are written; the number of folders."""
+    folders, _staged[:] = list(_staged), []
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for path in folders:
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(conf).delete(folder, True)
+    return len(folders)

@@ -68,3 +68,53 @@ def test_cases_that_need_scripts(spark):
     manual = spark.createDataFrame([("手動", "桃園"), ("甲", "")], "case_name string, city string")
     got = G.cases_for_scripts(cat, manual, lambda c: gazetteer_match(c, ["台北"], {}, {"台北": ["大安"]}, {}, {}))
     assert rows(got) == sorted([("台北大安案", "台北", "大安"), ("台北案", None, None), ("甲", None, None)], key=repr)
+
+
+def test_rollback_takes_places_back_once(spark):
+    cat = spark.createDataFrame([("a", ["x", "市", "y"], "title 市 more"), ("b", None, None), ("c", ["z"], "nothing"), ("d", ["q", "r"], "q r s")],
+                                "drive_file_id string, tags array<string>, search_text string")
+    journal = [("a", "市", 1), ("a", "市", 2), ("a", "y", 3), ("b", "市", 4), ("gone", "市", 5), ("c", "市", 6), ("d", "r", 7), ("d", "q", 8)]
+    j = spark.createDataFrame(journal, "fid string, place string, seq int")
+    patches, report = G.rollback_places(cat, j, "fid", "place", "seq")
+    assert rows(patches) == [("a", ["x"], "title more"), ("d", [], "s")]
+    status = {r["seq"]: r["status"] for r in report.collect()}
+    assert status == {1: "reverted", 2: "no-change", 3: "reverted", 4: "no-change", 5: "row-missing", 6: "no-change", 7: "reverted", 8: "reverted"}
+    after = cat.filter("drive_file_id not in ('a', 'd')").unionByName(patches)
+    again, report = G.rollback_places(after, j, "fid", "place", "seq")
+    assert again.count() == 0 and {r["status"] for r in report.collect()} == {"no-change", "row-missing"}
+
+
+def test_nothing_of_an_unhealthy_volume_is_missing(spark):
+    cat = spark.createDataFrame([(1, "v", "a"), (2, "v", "b"), (3, "w", "c"), (4, "w", "d"), (5, "u", "e"), (6, "v", ""), (7, "v", None)],
+                                "id int, volume string, path string")
+    listing = spark.createDataFrame([("v", "a"), ("v", "a"), ("w", "d"), ("u", "e")], "volume string, path string")
+    assert rows(G.missing_files(cat, listing, "id", "volume", "path", ["v", "w"])) == [(2, "missing"), (3, "skipped")]
+    assert rows(G.missing_files(cat, listing.filter("volume = 'v'"), "id", "volume", "path", ["w"])) == [
+        (2, "skipped"), (3, "skipped"), (4, "skipped"), (5, "skipped")]
+
+
+def test_schedule_is_replaced_as_a_whole(spark):
+    import datetime as dt
+    from shelfmark.session import shared_path
+    day = dt.date(2024, 3, 1)
+    week = [("s", day + dt.timedelta(days=i), f"case {i}", "ab") for i in range(-1, 9)]
+    schedule = spark.createDataFrame(week, "sheet string, date date, case_name string, editor string")
+    places = spark.createDataFrame([("case 0", "A", ""), ("case 3", "B", "x")], "case_name string, city string, district string")
+    path = shared_path(spark, "schedule")
+    for asof in (day - dt.timedelta(days=9), day):
+        got = G.sync_schedule(schedule, places, F.lit(asof), 7, path)
+    assert rows(got, "case_name", "city", "district") == [(f"case {i}", {0: "A", 3: "B"}.get(i), {3: "x"}.get(i)) for i in range(7)]
+
+
+def test_search_starts_with_the_place_of_the_query(spark):
+    import datetime as dt
+    at = dt.datetime(2024, 1, 1)
+    data = [(f"f{i}", "tower part" if i % 2 else "other", "North" if i % 3 else "South", "d1" if i % 3 else None, f"tower {i}" if i < 8 else "none",
+             i == 6, "out", at + dt.timedelta(days=i)) for i in range(10)]
+    cat = spark.createDataFrame(data, "drive_file_id string, case_name string, city string, district string, search_text string, is_old boolean, "
+                                      "category string, mtime timestamp")
+    got = G.search(cat, "tower - 3", "x$", "a-z", n=20)
+    assert [(r["drive_file_id"], r["block"]) for r in got.collect()] == [("f7", 0), ("f5", 0), ("f4", 0), ("f2", 0), ("f1", 0), ("f3", 1), ("f0", 1)]
+    assert [r["drive_file_id"] for r in G.search(cat, "tower - 3", "x$", "a-z", category="out", offset=4, n=2).collect()] == ["f1", "f3"]
+    assert G.search(cat, "tower - 3", "x$", "a-z", category="none").count() == 0
+    assert [r["block"] for r in G.search(cat.withColumn("city", F.lit(None).cast("string")), "none", "x$", "a-z").collect()] == [0, 0]

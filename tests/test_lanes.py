@@ -122,3 +122,13 @@ def test_buckets_follow_the_row_count(df, data, monkeypatch, size):
     by = L.numbered(df.filter("k is not null"), ["id"], ["k"])
     want = {x[0]: n for key, rows in by_key(data).items() if key for n, x in enumerate(rows, 1)}
     assert {r.id: r.rn for r in by.collect()} == want
+
+
+def test_staged_folders_are_cleared(spark):
+    from shelfmark import session
+    session.clear_staged(spark)
+    kept = session.stage(spark.range(5), "gone")
+    assert kept.count() == 5 and session.clear_staged(spark) == 1
+    path = kept.inputFiles()[0].removeprefix("file://")
+    from pathlib import Path
+    assert not Path(path).parent.exists() and session.clear_staged(spark) == 0
