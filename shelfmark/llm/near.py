@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import deque
 from dataclasses import dataclass
 
 import numpy as np
@@ -10,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import grams, id_out, keyed, mixed, settled, word_blocks
+from shelfmark.llm.common import grams, id_out, keyed, mixed, raw, settled, word_blocks
 
 
 @dataclass(frozen=True)
@@ -77,15 +78,22 @@ def _in_batches(rows, names, types, size=2000):
 
 def _signatures(s: Settings, lower: bool):
     def rows(batches):
-        seeds = _seeds(1, s.bands * s.rows)
-        for doc_id, own in _sets(batches, s.shingle, lower):
+        seeds, hashes = _seeds(1, s.bands * s.rows), deque()
+
+        def noted():        # documents come out in the order they go in
+            for batch in batches:
+                hashes.extend(xxhash.xxh64_intdigest(t, seed=42) for t in raw(batch.column(1)))     # as Spark's xxhash64
+                yield batch
+
+        for doc_id, own in _sets(noted(), s.shingle, lower):
+            h = int(np.uint64(hashes.popleft()).view(np.int64))
             f1, f2 = np.frombuffer(xxhash.xxh3_128_digest(own.tobytes()), np.int64).tolist()
             low = _lowest(own, seeds).reshape(s.bands, s.rows) if len(own) else ()
             bands = np.array([xxhash.xxh3_64_intdigest(b.tobytes(), seed=i) for i, b in enumerate(low)], np.uint64)
-            yield doc_id, len(own), f1, f2, bands.view(np.int64)
+            yield doc_id, h, len(own), f1, f2, bands.view(np.int64)
 
-    types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
-    return lambda batches: _in_batches(rows(batches), ["doc_id", "n_shingles", "f1", "f2", "bands"], types)
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
+    return lambda batches: _in_batches(rows(batches), ["doc_id", "text_hash", "n_shingles", "f1", "f2", "bands"], types)
 
 
 def _shingle_sets(s: Settings, lower: bool):
@@ -203,13 +211,13 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
                     settings: Settings = Settings(), lower: bool = True) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept for every row.
+    """doc_id, n_shingles, component_id, kept, text_hash (xxhash64 of the text, null as empty) for every row.
 
     Words are runs without ASCII blanks, A-Z lower-cased if ``lower``. A document's set: its distinct shingles of
     ``settings.shingle`` words; with fewer words the whole sequence; null, empty and blank texts: the empty set, linked
     with nothing. Documents whose intersection is at least ``percent`` % of the union are linked; component_id is the
-    smallest id reachable. A null id is smaller than all others (its component id is null). Rows that repeat an id are
-    each judged by their own text. Other columns are not read; an empty table gives no rows.
+    smallest id reachable. A null id is smaller than all others (its component id is null). Rows that repeat
+    an id with other words are linked through it, so give them ids of their own. Other columns are not read; an empty table gives no rows.
 
     Equal sets are one class, represented by its smallest id. Of each band value all members are compared with a few
     leaders, which differ from band to band; what that links is joined up. Only where a band value still holds several
@@ -218,7 +226,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     s = settings
     rows = keyed(docs, id_col, text_col)
-    signed = settled(rows.mapInArrow(_signatures(s, lower), "doc_id long, n_shingles long, f1 long, f2 long, bands array<long>"))
+    signed = settled(rows.mapInArrow(_signatures(s, lower), "doc_id long, text_hash long, n_shingles long, f1 long, f2 long, bands array<long>"))
     classes = settled(signed.where("n_shingles > 0").groupBy("f1", "f2").agg(F.min("doc_id").alias("rep")))
     reps = settled(signed.join(classes, ["f1", "f2"]).where("doc_id = rep").dropDuplicates(["doc_id", "f1", "f2"]))
 
@@ -256,7 +264,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     found = classes.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(
         "f1", "f2", F.coalesce("label", "rep").alias("component_id"))
-    out = signed.select("doc_id", "n_shingles", "f1", "f2").join(found, ["f1", "f2"], "left").withColumn(
+    out = signed.select("doc_id", "text_hash", "n_shingles", "f1", "f2").join(found, ["f1", "f2"], "left").withColumn(
         "component_id", F.coalesce("component_id", "doc_id"))
     return out.select(id_out(), "n_shingles", id_out("component_id"),
-                      (F.col("doc_id") == F.col("component_id")).alias("kept"))
+                      (F.col("doc_id") == F.col("component_id")).alias("kept"), "text_hash")

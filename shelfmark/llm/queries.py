@@ -126,7 +126,7 @@ SELECT doc_id, CAST(len(sets.s) AS BIGINT) AS n_shingles, coalesce(label, doc_id
 FROM sets LEFT JOIN classes ON list_sort(sets.s) = classes.s AND len(sets.s) > 0 LEFT JOIN labels USING (rep)
 """)
 def minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near.near_duplicates(table(spark, sf_dir, "documents"), settings=near.Settings(shingle=4))
+    return near.near_duplicates(table(spark, sf_dir, "documents"), settings=near.Settings(shingle=4)).drop("text_hash")
 
 
 @query("op10_html_extraction")
