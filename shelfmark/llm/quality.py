@@ -8,7 +8,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfmark.llm.common import MEMO_WORDS, id_out, keyed
@@ -16,10 +16,11 @@ from shelfmark.llm.common import MEMO_WORDS, id_out, keyed
 
 @dataclass(frozen=True)
 class Settings:
-    """``sample`` bounds the labelled rows that are learned from; the rest are FTRL's usual constants."""
+    """``sample`` bounds the labelled rows that are learned from, ``entries`` their n-grams; the rest are FTRL's constants."""
 
     bits: int = 18
     sample: int = 4000
+    entries: int = 8_000_000
     epochs: int = 6
     alpha: float = 0.5
     beta: float = 1.0
@@ -78,8 +79,9 @@ def _sampled(s: Settings):
         for batch in batches:
             found = [np.unique(features(t.as_py() or "", memo, s), return_counts=True) for t in batch.column(0)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([f for f, _ in found], pa.list_(pa.int64())), pa.array([n for _, n in found], pa.list_(pa.int64())),
-                 batch.column(1)], ["f", "n", "label"])
+                [pa.array([f.astype(np.int32).tobytes() for f, _ in found], pa.binary()),
+                 pa.array([n.astype(np.int32).tobytes() for _, n in found], pa.binary()), batch.column(1), batch.column(2)],
+                ["f", "n", "label", "h"])
     return run
 
 
@@ -119,17 +121,23 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         settings: Settings = Settings()) -> Model:
     """Learn from at most ``settings.sample`` labelled rows, picked by hash; their n-gram counts alone reach the driver.
 
-    Rows with a null id, label or text teach nothing; an id that is labelled twice counts twice. No rows: every score is 0.5.
+    Of these rows, in hash order, those are taken whose different n-grams stay within ``settings.entries`` together, 8 bytes
+    each, so that long texts can't fill the driver. Rows with a null id, label or text teach nothing, repeated rows count
+    once; an id that is labelled both 0 and 1 counts with both. No rows: every score is 0.5.
     """
     s = settings
     # labels are narrow: the sample is drawn from their ids before any text is touched
     picked = (labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("label"))
               .where("doc_id is not null and label in (0, 1)"))
-    picked = picked.orderBy(F.xxhash64("doc_id"), "label").limit(s.sample)
-    rows = (keyed(docs, id_col, text_col).join(F.broadcast(picked), "doc_id").where("text is not null")    # bounded by sample
-            .select("text", "label").mapInArrow(_sampled(s), "f array<long>, n array<long>, label int").collect())
-    found = sorted((tuple(r["f"]), tuple(r["n"]), r["label"]) for r in rows)
-    return ftrl([(np.array(f, np.int64), s.scale * np.array(n) / max(sum(n), 1), y) for f, n, y in found], s)
+    picked = picked.distinct().orderBy(F.xxhash64("doc_id"), "label").limit(s.sample)
+    rows = keyed(docs, id_col, text_col).join(F.broadcast(picked), "doc_id").where("text is not null")    # bounded by sample
+    rows = rows.withColumn("h", F.xxhash64("doc_id", "text")).dropDuplicates(["h", "label"]).orderBy("h", "label").limit(s.sample)
+    rows = rows.select("text", "label", "h").mapInArrow(_sampled(s), "f binary, n binary, label int, h long")
+    held = F.sum(F.length("f") / 4).over(Window.orderBy("h", "label"))      # at most ``sample`` rows
+    rows = rows.withColumn("held", held).where(F.col("held") <= s.entries).select("f", "n", "label").collect()
+    found = sorted((bytes(r["f"]), bytes(r["n"]), r["label"]) for r in rows)
+    counts = [(np.frombuffer(f, np.int32).astype(np.int64), np.frombuffer(n, np.int32), y) for f, n, y in found]
+    return ftrl([(f, s.scale * n / max(n.sum(), 1), y) for f, n, y in counts], s)
 
 
 def _score(model: Model):
@@ -149,6 +157,7 @@ def _score(model: Model):
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, score (0 to 1, higher is better) of every row from its whole text alone.
 
-    Null, empty and blank texts have the score of the bias. Repeated rows and ids are scored one by one.
+    Null, empty and blank texts have the score of the bias. Repeated rows and ids are scored one by one; other columns are
+    not read, an empty table gives no rows.
     """
     return (keyed(docs, id_col, text_col).mapInArrow(_score(model), "doc_id long, score double").withColumn("doc_id", id_out()))
