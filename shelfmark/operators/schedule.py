@@ -12,7 +12,6 @@ from shelfmark.functions.paths import strip
 from shelfmark.functions.values import is_date_cell
 from shelfmark.operators.lanes import keep_ranked, range_bucket
 from shelfmark.operators.predicates import contains_any
-from shelfmark.session import stage
 
 
 def year_rollover(df: DataFrame, sheet: str, order: Sequence[str], month: str, day: str, base_year: Column,
@@ -21,10 +20,11 @@ def year_rollover(df: DataFrame, sheet: str, order: Sequence[str], month: str, d
     year. An impossible date is null but still counts as the previous month.
 
     A row without ``month`` gets no date and is passed over; the total that a year-only sheet
-    counts back by follows ``any_month`` (the month alone could be read) where it is given.
+    counts back by follows ``any_month`` (the month alone could be read) where it is given. Rows that already have their
+    ``_bucket`` of (sheet, order) are taken as they are.
     """
     order, total = list(order), any_month or month
-    rows = range_bucket(df, [sheet, *order])
+    rows = df if "_bucket" in df.columns else range_bucket(df, [sheet, *order])
     local = Window.partitionBy(sheet, "_bucket").orderBy(*order)
     ahead = local.rowsBetween(Window.unboundedPreceding, -1)
 
@@ -69,12 +69,13 @@ def header_cells(grid: DataFrame, sheet: str, min_dates: int = 3, per_row: int =
     return counted.filter((F.col("_n") >= min_dates) & (F.col("_r") <= per_row)).drop("_r", "_n")
 
 
-def assign_headers(grid: DataFrame, heads: DataFrame, sheet: str, body_rows: int = 4) -> DataFrame:
+def assign_headers(grid: DataFrame, heads: DataFrame, sheet: str, body_rows: int = 4, header_rows: DataFrame | None = None) -> DataFrame:
     """Body cells with the header cell of their column: up to ``body_rows`` rows below, up to the next header.
 
-    Each header offers itself to the rows below it (an equi join); the nearest offer wins.
+    Each header offers itself to the rows below it (an equi join); the nearest offer wins. ``header_rows`` (sheet, row_idx) are
+    those of ``heads`` where that costs less to read.
     """
-    rows = heads.select(sheet, F.col("row_idx").alias("header_row")).distinct()
+    rows = (heads if header_rows is None else header_rows).select(sheet, F.col("row_idx").alias("header_row")).distinct()
     offers = rows.select(sheet, "header_row", F.explode(F.sequence(F.lit(0), F.lit(body_rows))).alias("_o"))
     nearest = offers.groupBy(sheet, (F.col("header_row") + F.col("_o")).alias("row_idx")).agg(
         F.max("header_row").alias("header_row")).filter(F.col("header_row") < F.col("row_idx"))
@@ -95,15 +96,15 @@ def parse_schedule(grid: DataFrame, sheet: str, base_year: Column, year_only: Co
     heads = heads.withColumn("_mo", F.regexp_extract(cell, r"^(\d+)/(\d+)$", 1).try_cast("int")).withColumn(
         "_da", F.regexp_extract(cell, r"^(\d+)/(\d+)$", 2).try_cast("int")).withColumn(
         "_any", F.regexp_extract(cell, r"^(\d+)/", 1).try_cast("int"))
-    heads = stage(heads, "headers")     # read by every later step
+    heads = range_bucket(heads, [sheet, "row_idx", "col_idx"])      # written once, read by every later step
     dated = year_rollover(heads, sheet, ["row_idx", "col_idx"], "_mo", "_da", base_year, year_only, "_any")
-    dated = stage(dated.select(sheet, "row_idx", "col_idx", "cell", "date"), "dates")
+    dated = dated.select(sheet, "row_idx", "col_idx", "cell", "date")
     header_rows = heads.select(sheet, "row_idx").distinct()
     # what a cell itself decides is decided before anything is shuffled
     text = F.coalesce("cell", F.lit(""))
     cells = grid.filter((text != "") & (text != "nan") & ~contains_any(text, exclude))
     cells = cells.withColumn("editor", editor_tag(F.col("cell"), editors)).filter(F.col("editor").isNotNull())
-    body = assign_headers(cells, dated, sheet).filter(F.col("date").isNotNull())
+    body = assign_headers(cells, dated, sheet, header_rows=header_rows).filter(F.col("date").isNotNull())
     body = body.join(header_rows, [sheet, "row_idx"], "left_anti")
     body = body.withColumn("case_name", clean_title(remove_editor_tag(F.col("cell")), leading, boundary, trailing))
     body = body.filter(F.col("case_name") != "").withColumn("_c30", F.left("case_name", F.lit(30)))
