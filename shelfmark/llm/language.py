@@ -3,16 +3,14 @@
 from __future__ import annotations
 
 import hashlib
-import re
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import regex
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import keyed
-
 UNDETERMINED = "und"
 
 
@@ -26,9 +24,12 @@ class Settings:
     landmarks: int = 400
     ridge: float = 1e-3
     sharpness: float = 6.0          # of the share a language has among the scores
+    enough: int = 64                # n-grams from which a text can be unlike all languages
+    strange: float = 0.002          # share of such labelled rows that reach less in their language than the level
+    margin: float = 0.2             # by which the level is lowered then
 
 
-_NOT_LETTERS = re.compile(r"[\W\d_]+")
+_NOT_LETTERS = regex.compile(r"\P{L}++")
 
 
 def present(text: str, s: Settings) -> np.ndarray:
@@ -56,11 +57,16 @@ def _presence(s: Settings):
 
 @dataclass(frozen=True)
 class Model:
-    """Languages and, per hashed n-gram, the weight it adds to each: kernel products folded over the landmarks."""
+    """Languages and, per hashed n-gram, the weight it adds to each: kernel products folded over the landmarks.
+
+    ``level`` is the ridge output that all but ``Settings.strange`` of the rows learned from reach in their language, less
+    a margin. It doesn't depend on the number of languages, as a share among them would.
+    """
 
     settings: Settings
     languages: list[str]
     weights: np.ndarray
+    level: float = 0.0
 
     def scores(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(kernel ridge outputs, number of n-grams) of a batch: one product of its presence rows with the weights."""
@@ -77,18 +83,25 @@ class Model:
 
 def fit(docs: DataFrame, label: Column, id_col: str = "doc_id", text_col: str = "text",
         settings: Settings = Settings()) -> Model:
-    """Fit on at most ``settings.sample`` rows with an id, a label and a text, picked by hash; bit rows reach the driver.
+    """Fit on at most ``settings.sample`` rows with an id, a label and a text; bit rows of 2**bits / 8 bytes reach the driver.
 
-    The kernel of two texts is the number of n-grams (1 to ``longest`` code points, hashed) present in both over the
+    Rows are picked by the hash of id and text, the first of every language, then the second of every language and so on,
+    so that a rare language is learned too; of repeated rows one is picked. The kernel of two texts is the number of n-grams (1 to ``longest`` code points, hashed) present in both over the
     root of the product of their sizes. Landmarks are spread over the languages. No usable rows: no languages.
     """
     s = settings
-    # drawn from ids and labels before any text is touched
-    ids = docs.select(F.col(id_col).cast("long").alias("doc_id"), label.cast("string").alias("label"))
-    ids = ids.where("doc_id is not null and label is not null").orderBy(F.xxhash64("doc_id"), "label").limit(s.sample)
-    texts = keyed(docs, id_col, text_col).where("text is not null")
-    picked = texts.join(F.broadcast(ids), "doc_id").select("text", "label")         # bounded by sample
-    rows = picked.mapInArrow(_presence(s), "bits binary, label string").collect()
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), label.cast("string").alias("label"),
+                       F.col(text_col).cast("string").alias("text")).where("doc_id is not null and label is not null and text is not null")
+    rows = rows.withColumn("h", F.xxhash64("doc_id", "text"))
+    ids = rows.select("doc_id", "label", "h")
+    counts = ids.groupBy("label").agg(F.count("*").alias("n"))
+    # the lowest hashes of a label, about twice the sample whatever its rows, are ranked
+    share = F.pmod("h", F.lit(1 << 30)) / (1 << 30)
+    ids = ids.join(counts, "label").where(share < 2 * s.sample / F.col("n")).drop("n")
+    ids = ids.withColumn("turn", F.row_number().over(Window.partitionBy("label").orderBy(F.pmod("h", F.lit(1 << 30)), "h")))
+    ids = ids.orderBy("turn", "h").limit(s.sample).select("doc_id", "label", "h").distinct()
+    picked = rows.join(F.broadcast(ids), ["doc_id", "label", "h"]).dropDuplicates(["doc_id", "label", "h"])     # bounded by sample
+    rows = picked.select("text", "label").mapInArrow(_presence(s), "bits binary, label string").collect()
     rows = sorted(((bytes(r["bits"]), r["label"]) for r in rows if any(r["bits"])),
                   key=lambda r: (hashlib.md5(r[0]).digest(), r[1]))
     languages = sorted({label for _, label in rows})
@@ -116,7 +129,10 @@ def fit(docs: DataFrame, label: Column, id_col: str = "doc_id", text_col: str =
     row_weight = (np.where(y > 0, 1.0, 0.0) * weight).sum(axis=1, keepdims=True)
     gram = features.T @ (features * row_weight) + s.ridge * np.eye(features.shape[1])
     ridge = np.linalg.solve(gram, features.T @ (y * row_weight))
-    return Model(s, languages, landmarks.T @ (project @ ridge).astype(np.float32))
+    own = (features @ ridge)[np.arange(len(rows)), y.argmax(axis=1)]
+    long = np.array([int.from_bytes(bits).bit_count() >= s.enough for bits, _ in rows])
+    level = float(np.quantile(own[long], s.strange)) - s.margin if long.any() else -np.inf
+    return Model(s, languages, landmarks.T @ (project @ ridge).astype(np.float32), level)
 
 
 def _score(model: Model):
@@ -128,17 +144,22 @@ def _score(model: Model):
                 if model.languages:
                     e = np.exp(model.settings.sharpness * (total - total.max(axis=1, keepdims=True)))
                     share, best = (e / e.sum(axis=1, keepdims=True)).max(axis=1), total.argmax(axis=1)
+                    known = (sizes > 0) & ((sizes < model.settings.enough) | (total.max(axis=1) >= model.level))
                     names = [model.languages[b] if n else UNDETERMINED for b, n in zip(best, sizes)]
                     share = np.where(sizes > 0, share, 0.0)
                 else:
                     names, share = [UNDETERMINED] * part.num_rows, np.zeros(part.num_rows)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(names, pa.string()), pa.array(share)],
-                                                 ["row", "lang_pred", "score"])
+                    known = np.zeros(part.num_rows, bool)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(names, pa.string()), pa.array(share), pa.array(known)],
+                                                 ["row", "lang_pred", "score", "known"])
     return run
 
 
 def judged(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """row (all columns of ``docs`` as a struct), lang_pred, score (0 to 1) of every row.
+    """row (all columns of ``docs`` as a struct), lang_pred, score (0 to 1), known of every row.
+
+    The score is the language's share among all. A text is known if it has a letter and, where it has ``Settings.enough``
+    n-grams, its best ridge output reaches the model's level.
 
     The whole text is read; nothing but the text is. Null texts and texts without a letter are ``und`` with the score 0,
     as is everything where the model has no languages. Repeated rows and ids are scored one by one; an empty table gives
@@ -147,7 +168,7 @@ def judged(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     row = F.struct(*docs.columns).alias("row")
     kind = docs.select(row).schema["row"].dataType.simpleString()
     return docs.select(row, F.col(text_col).cast("string").alias("text")).mapInArrow(
-        _score(model), f"row {kind}, lang_pred string, score double")
+        _score(model), f"row {kind}, lang_pred string, score double, known boolean")
 
 
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

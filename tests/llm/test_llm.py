@@ -387,3 +387,170 @@ def test_pipeline(spark, docs, empty, tmp_path):
     for _, function in corpus_pipeline.STAGES:
         now = function(spark, now, "")
         assert now.count() == 0
+
+
+@pytest.fixture
+def no_reuse(spark):
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    yield
+    spark.conf.unset("spark.sql.exchange.reuse")
+
+
+def test_ranges_hold_without_exchange_reuse(spark, no_reuse):
+    rng = random.Random(9)
+    shared = [prose(rng, 3) for _ in range(300)]
+    texts = {i: "\n".join(rng.choice(shared) for _ in range(8)) for i in range(1500)}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(7)
+    first = {}
+    for i in sorted(texts):
+        for line in texts[i].split("\n"):
+            first.setdefault(line, i)
+    want = sum(first[x] < i for i, t in texts.items() for x in t.split("\n"))
+    assert lines.line_bitmaps(df, partitions=40).agg(F.sum("n_dropped")).first()[0] == want
+    after = {r["doc_id"]: r["before_id"] for r in multiset.followed(df, partitions=40).collect()}
+    assert after == {i: (i - 1) % 1500 for i in range(1500)}
+
+
+def test_lines_and_fingerprints_of_repeated_rows_and_null_ids(spark):
+    line = "one line that several documents share"
+    rows = [(None, line), (None, line + "\nown"), (3, line), (3, line), (4, f"{line}\n{line}\nrest of four"), (5, None), (5, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = Counter(map(tuple, lines.kept_lines(df, lines.line_bitmaps(df)).collect()))
+    assert got == Counter([(None, 1, 0, line), (None, 2, 0, line + "\nown"), (3, 1, 1, ""), (3, 1, 1, ""), (4, 3, 2, "rest of four"),
+                           (5, 1, 0, ""), (5, 1, 0, "")])
+    prints = multiset.edited_fingerprints(df).collect()
+    assert Counter((r["doc_id"], r["n_chars"]) for r in prints) == Counter(
+        [(None, len(line)), (None, len(line) + 4), (3, len(line)), (4, 2 * len(line) + 14), (5, 0)])
+
+
+def test_fingerprint_lanes(spark):
+    """The exact lanes recomputed from the paragraphs one by one."""
+    text = "a b\nc d\n\na b\nlast"
+    df = multiset.with_vector(spark.createDataFrame([(text,)], "t string"), F.col("t"), "v")
+    vector = df.first()["v"]
+    parts = spark.createDataFrame([(p,) for p in text.split("\n")], "p string")
+    for lane in range(multiset.EXACT):
+        hashes = [r[0] for r in parts.select(F.xxhash64(F.lit(lane), "p")).collect()]
+        assert vector[lane] == sum(hashes) % (1 << multiset.EXACT_BITS)
+
+
+def test_language_needs_letters(spark):
+    rows = [(i, f"word{'abc'[i % 3] * 3} " * 9, "xy"[i % 2]) for i in range(40)]
+    model = language.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), F.col("lang"))
+    texts = ["½ ² ①", "Ⅷ ٣ 12", "_-_", "ª", "é", "日本"]
+    got = language.predict(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), model).collect()
+    assert [r["lang_pred"] == "und" for r in sorted(got)] == [not any(c.isalpha() for c in t) for t in texts]
+    assert all(r["score"] == 0 for r in got if r["lang_pred"] == "und")
+
+
+def test_language_sample_is_bounded_and_holds_rare_languages(spark, monkeypatch):
+    rng = random.Random(8)
+    rows = [(1, prose(rng, 5), "en")] * 40 + [(2, prose(rng, 5) + str(i), "en") for i in range(300)] + [(3, "ñandú él oñ " * 4, "zz")]
+    rows += [(4, "ñandú él oñ " * 5, None), (None, "x y", "en"), (5, None, "zz")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    seen = []
+    load = language.np.linalg.eigh
+    monkeypatch.setattr(language.np.linalg, "eigh", lambda m: seen.append(len(m)) or load(m))
+    model = language.fit(df, F.col("lang"), settings=language.Settings(sample=40))
+    assert seen == [40] and model.languages == ["en", "zz"]
+    assert language.predict(df, model).where("doc_id = 4").first()["lang_pred"] == "zz"
+
+
+def test_language_equals_plain_kernel_ridge(spark):
+    """Scores against the kernel matrix of all rows, with every row a landmark."""
+    import numpy as np
+    rng = random.Random(6)
+    sounds = {"xx": "ba bo bi ".split(), "yy": "kru kra bi ".split(), "zz": "él ba oñ".split()}
+    rows = [(i, " ".join("".join(rng.choice(sounds[c]) for _ in range(2)) for _ in range(6)), c)
+            for i, c in enumerate(rng.choices(list(sounds), k=200))]
+    s = language.Settings(landmarks=200)
+    model = language.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), F.col("lang"), settings=s)
+    sets = [set(language.present(t, s).tolist()) for _, t, _ in rows]
+
+    def kernel(a, b):
+        return np.array([[len(x & y) / (len(x) * len(y)) ** 0.5 for y in b] for x in a])
+    k = kernel(sets, sets)
+    y = np.array([[1.0 if c == x else -1.0 for x in model.languages] for _, _, c in rows])
+    weight = ((y > 0) / (y > 0).mean(axis=0) / len(y)).sum(axis=1)
+    values, vectors = np.linalg.eigh(k)
+    good = values > 1e-6
+    f = vectors[:, good] * np.sqrt(values[good])
+    w = np.linalg.solve(f.T @ (f * weight[:, None]) + s.ridge * np.eye(f.shape[1]), f.T @ (y * weight[:, None]))
+    texts = ["bababo krukra", "élélba oñ", rows[3][1]]
+    want = kernel([set(language.present(t, s).tolist()) for t in texts], sets) @ (vectors[:, good] / np.sqrt(values[good])) @ w
+    assert np.abs(model.scores(texts)[0] - want).max() < 0.01
+
+
+def test_quality_sample_is_bounded(spark, monkeypatch):
+    rng = random.Random(2)
+    rows = [(7, prose(rng, 10) + str(i)) for i in range(300)] + [(8, prose(rng, 9))] * 50 + [(9, prose(rng, 60000))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(7, 1), (7, 1), (8, 0), (9, 0)], "doc_id long, quality int")
+    taken = []
+    monkeypatch.setattr(quality, "ftrl", lambda rows, s: taken.append(rows))
+    quality.fit(docs, labels, settings=quality.Settings(sample=40))
+    quality.fit(docs, labels, settings=quality.Settings(sample=400, entries=3000))
+    quality.fit(docs, labels)
+    assert [len(t) for t in taken] == [40, len(taken[1]), 302]
+    assert 0 < sum(len(f) for f, _, _ in taken[1]) <= 3000
+    assert all(abs(x.sum() - quality.Settings().scale) < 1e-6 for _, x, _ in taken[2])
+
+
+def test_ftrl_equals_a_plain_loop():
+    import math
+
+    import numpy as np
+    rng, s = np.random.default_rng(3), quality.Settings(bits=4, epochs=2)
+    rows = [(np.unique(rng.integers(0, 16, 5)), None, int(rng.random() < 0.4)) for _ in range(30)]
+    rows = [(f, rng.random(len(f)), y) for f, _, y in rows]
+    z, n = [0.0] * 17, [0.0] * 17
+
+    def weight(i):
+        if abs(z[i]) <= s.l1:
+            return 0.0
+        return -(z[i] - math.copysign(s.l1, z[i])) / ((s.beta + math.sqrt(n[i])) / s.alpha + s.l2)
+    good = sum(y for _, _, y in rows)
+    for epoch in range(2):
+        for k in np.random.default_rng(epoch).permutation(30):
+            f, x, y = rows[k]
+            entries = [*zip(f.tolist(), x.tolist()), (16, 1.0)]
+            w = {i: weight(i) for i, _ in entries}
+            p = 1 / (1 + math.exp(-sum(w[i] * v for i, v in entries)))
+            for i, v in entries:
+                g = (p - y) * v * (15 / good if y else 15 / (30 - good))
+                sigma = (math.sqrt(n[i] + g * g) - math.sqrt(n[i])) / s.alpha
+                z[i] += g - sigma * w[i]
+                n[i] += g * g
+    model = quality.ftrl(rows, s)
+    assert np.allclose([*model.weights, model.bias], [weight(i) for i in range(17)], atol=1e-5)
+
+
+def test_pipeline_stages_against_brute_force(spark):
+    import corpus_pipeline
+    rng = random.Random(12)
+    base = prose(rng, 80).split()
+    near_copy = " ".join([*base[:40], "other", *base[41:]])
+    rows = [(1, " ".join(base)), (2, near_copy), (3, "Same Text here"), (3, "Same Text here"), (3, "same text HERE"), (4, "same text here"),
+            (4, "same text here"), (4, "same text here"), (5, near_copy + " and more"), (5, "an own text with the id five"), (6, None), (6, ""),
+            (None, "without an id"), (None, "without an id"), (7, "½ 12"), (8, prose(rng, 30))]
+    names = "doc_id long, text string, lang string, source string, n_chars long, row int, rest string, n int, text_hash string"
+    docs = spark.createDataFrame([(i, t, "en", "s", 1, 0, "r", 2, "h") for i, t in rows], names)
+
+    def after(name, df):
+        out = dict(corpus_pipeline.STAGES)[name](spark, df, "")
+        assert out.columns == df.columns
+        return spark.createDataFrame(out.collect(), df.schema), Counter((r["doc_id"], r["text"]) for r in out.collect())
+    kept, got = after("language_id", docs)
+    assert got == Counter((i, t) for i, t in rows if any(c.isalpha() for c in t or ""))
+    kept, got = after("exact_dedup", docs)
+    groups = defaultdict(list)
+    for i, t in rows:
+        groups[(t or "").lower()].append((i is not None, i or 0))
+    assert Counter((i, (t or "").lower()) for i, t in got.elements()) == Counter((m[1] if m[0] else None, t) for t, m in (
+        (t, max(g)) for t, g in groups.items()))
+    kept, got = after("minhash_near_dedup", kept)
+    group = {(1, " ".join(base)), (2, near_copy), (5, near_copy + " and more")}
+    want = {(i, t) for i, t in rows if i in (4, 7, 8, None)} | {(5, "an own text with the id five")}
+    assert {(i, t) for i, t in got if t} - group == want and len(group & set(got)) == 1 and max(got.values()) == 1
+    kept, got = after("minhash_near_dedup", docs)
+    assert max(got.values()) == 1 and len(group & set(got)) == 1
