@@ -42,7 +42,7 @@ def keeper_plan(df: DataFrame, group: Sequence[str], key: str, mtime: str, usabl
     return rows.withColumn("keeper", F.col("_keep.id")).withColumn("plan", plan).drop("_keep")
 
 
-def dedupe_summary(plan: DataFrame, group_key: Column, size: str) -> DataFrame:
+def dedupe_summary(plan: DataFrame, size: str) -> DataFrame:
     """One row: groups, moves, row-only removals, bytes freed, skips by reason."""
     n = lambda p: F.count_if(F.col("plan") == p)
     groups = F.count_if((F.col("plan") == "keeper"))

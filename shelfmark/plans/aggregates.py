@@ -105,7 +105,7 @@ def keeper_rows(s, sf):
   count(*) filter (where plan = 'row-only') as row_only, coalesce(sum(n_chars) filter (where plan = 'move'), 0)::bigint as bytes_freed,
   count(*) filter (where plan = 'hash-mismatch') as hash_mismatch, count(*) filter (where plan = 'no-keeper') as no_keeper_rows from kplan""")
 def _(s, sf):
-    return W.dedupe_summary(keeper_rows(s, sf), c("grp"), "n_chars")
+    return W.dedupe_summary(keeper_rows(s, sf), "n_chars")
 
 
 @query("A9", "status_histogram", """select coalesce(event_type, w) as event_type, count(event_type) as rows from events
