@@ -32,7 +32,9 @@ def _plain(ts: str) -> Column:
 
 
 def _value(state) -> tuple | None:
-    return tuple(state.get()) if state.exists() else None
+    """The value, null without one: a single call to the store."""
+    found = state.get()
+    return None if found is None else tuple(found)
 
 
 class Streak(StatefulProcessor):
