@@ -18,11 +18,21 @@ from shelfmark.session import stage
 ID, HASH = "doc_id", "text_hash"
 
 
-def _chosen(docs: DataFrame, key: Column, text_hash: Column, kept: DataFrame) -> DataFrame:
+def _shared_ids(docs: DataFrame) -> DataFrame:
+    """shared_id, times: the ids of several rows, and null."""
+    counts = docs.groupBy(F.col(ID).alias("shared_id")).agg(F.count("*").alias("times"))
+    return stage(counts.where("times > 1 or shared_id is null"), "shared")
+
+
+def _chosen(docs: DataFrame, key: Column, text_hash: Column, kept: DataFrame, unique: bool) -> DataFrame:
     """The rows whose key and text hash are in ``kept`` (doc_id, text_hash), one of those that repeat both: the greatest hash of all columns.
 
-    Keys and hashes are counted first, without the texts; only rows that do repeat are grouped.
+    A ``unique`` key says all, so no text is hashed. Otherwise keys and hashes are counted first, without the texts; only
+    rows that do repeat are grouped.
     """
+    if unique:
+        keys = kept.select(F.col(ID).alias("ki")).distinct()
+        return docs.join(keys, key.eqNullSafe(F.col("ki")), "left_semi")
     rows = docs.select(F.struct(*docs.columns).alias("row"), key.alias("i"), text_hash.alias("h"))
     counts = rows.groupBy("i", "h").agg(F.count("*").alias("n"))
     keys = kept.select(F.col(ID).alias("ki"), F.col(HASH).alias("kh")).distinct()
@@ -53,7 +63,7 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """
     kept = exact.exact_duplicates(docs).where("kept").select(ID, F.col("text_sha256").alias(HASH))
     low = F.translate(F.coalesce("text", F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    return _chosen(docs, F.col(ID), F.sha2(low, 256), kept)
+    return _chosen(docs, F.col(ID), F.sha2(low, 256), kept, _shared_ids(docs).isEmpty())
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -62,14 +72,15 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     The key is the doc_id; rows that share one, or have none, are told apart by a hash of id and text in its place. One of
     rows that repeat id and text stays; documents without words are linked with nothing and stay; an empty table gives no rows.
     """
-    shared = stage(docs.groupBy(F.col(ID).alias("shared_id")).agg(F.count("*").alias("times")).where("times > 1 or shared_id is null"), "shared")
+    shared = _shared_ids(docs)
+    unique = shared.isEmpty()
     rows = docs.select(F.struct(*docs.columns).alias("row"))
     text, key = F.coalesce("row.text", F.lit("")), F.col(f"row.{ID}")
-    if not shared.isEmpty():
+    if not unique:
         rows = rows.join(shared, key.eqNullSafe(F.col("shared_id")), "left")
         key = F.when(F.col("times").isNull(), key).otherwise(F.xxhash64(key, text))
     kept = near.near_duplicates(rows.select(key.alias(ID), text.alias("text"))).where("kept or n_shingles = 0").select(ID, HASH)
-    return _chosen(rows, key, F.xxhash64(text), kept).select("row.*")
+    return _chosen(rows, key, F.xxhash64(text), kept, unique).select("row.*")
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
