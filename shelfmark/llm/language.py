@@ -11,6 +11,8 @@ import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfmark.operators.lanes import attach_group
+
 UNDETERMINED = "und"
 
 
@@ -94,10 +96,9 @@ def fit(docs: DataFrame, label: Column, id_col: str = "doc_id", text_col: str =
                        F.col(text_col).cast("string").alias("text")).where("doc_id is not null and label is not null and text is not null")
     rows = rows.withColumn("h", F.xxhash64("doc_id", "text"))
     ids = rows.select("doc_id", "label", "h")
-    counts = ids.groupBy("label").agg(F.count("*").alias("n"))
     # the lowest hashes of a label, about twice the sample whatever its rows, are ranked
     share = F.pmod("h", F.lit(1 << 30)) / (1 << 30)
-    ids = ids.join(counts, "label").where(share < 2 * s.sample / F.col("n")).drop("n")
+    ids = attach_group(ids, ["label"], ["doc_id", "h"], {"n": ("count", F.lit(1))}).where(share < 2 * s.sample / F.col("n")).drop("n")
     ids = ids.withColumn("turn", F.row_number().over(Window.partitionBy("label").orderBy(F.pmod("h", F.lit(1 << 30)), "h")))
     ids = ids.orderBy("turn", "h").limit(s.sample).select("doc_id", "label", "h").distinct()
     picked = rows.join(F.broadcast(ids), ["doc_id", "label", "h"]).dropDuplicates(["doc_id", "label", "h"])     # bounded by sample
