@@ -1,7 +1,8 @@
 """Keyed state of change feeds with ``transformWithState``: streaks, approvals, late rows, deltas of closed days.
 
 Times travel as microseconds: the processors see every row, those behind the watermark too, and decide themselves what a
-late row means. State lives in RocksDB under the checkpoint, one entry per key, and only touched keys are written.
+late row means. State lives in RocksDB under the checkpoint, and only what is touched is written: an entry per key, or, where
+keys are many and small, per bucket of keys, as every call to the store is a message to the executor.
 """
 
 from __future__ import annotations
@@ -20,6 +21,9 @@ STORE = {"spark.sql.streaming.stateStore.providerClass":
          "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"}
 ORDER = "at bigint, id bigint"
 DAY_MICROS = 86_400_000_000
+#: Buckets of keys that share an entry of the state; fixed by the first run of a checkpoint. An entry is read and written whole,
+#: so a feed whose state or batches hold far more than 10**8 keys wants more.
+BUCKETS = 4096
 
 
 def _kind(df: DataFrame, name: str) -> str:
@@ -31,6 +35,10 @@ def _plain(ts: str) -> Column:
     return F.unix_micros(ts)
 
 
+def _bucket(key: str, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int").alias("bucket")
+
+
 def _value(state) -> tuple | None:
     """The value, null without one: a single call to the store."""
     found = state.get()
@@ -206,45 +214,70 @@ def approval_outcomes(stream: DataFrame, delay: str, ttl_days: int = C.APPROVAL_
 class Lateness(StatefulProcessor):
     """Whether a row is behind the watermark, repeats its key, or is kept; a key is remembered until the watermark passes it."""
 
-    def __init__(self, key: str):
-        self.key = key
+    def __init__(self, key: str, kind: str):
+        self.key, self.kind = key, kind
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.seen = handle.getValueState("seen", "at bigint")
+        self.seen = handle.getValueState("seen", f"timer bigint, keys array<{self.kind}>, at array<bigint>")
+
+    def _load(self) -> tuple[int | None, dict]:
+        """The time of the bucket's timer, and key -> time of the row that was kept."""
+        timer, keys, at = _value(self.seen) or (None, [], [])
+        return timer, dict(zip(keys, at))
+
+    def _save(self, timer: int | None, seen: dict) -> None:
+        if not seen:
+            self.seen.clear()
+            return
+        due = min(seen.values()) // 1000 + 1
+        if due != timer:
+            self.handle.registerTimer(due)
+        self.seen.update((due, list(seen), list(seen.values())))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        watermark = timerValues.getCurrentWatermarkInMs()
-        seen = _value(self.seen)
-        for at in sorted((r["at"] for r in rows), key=lambda at: (at is None, at or 0)):
-            if at is not None and at < watermark * 1000:
-                verdict = "late"
-            elif seen:
-                verdict = "duplicate"
+        behind = timerValues.getCurrentWatermarkInMs() * 1000
+        timely = []
+        for r in rows:
+            k, at = r[self.key], r["at"]
+            if at is not None and at < behind:
+                yield Row(**{self.key: k, "at": at, "verdict": "late"})
             else:
-                verdict, seen = "kept", (at if at is not None else watermark * 1000,)
-                self.seen.update(seen)
-                self.handle.registerTimer(seen[0] // 1000 + 1)
-            yield Row(**{self.key: key[0], "at": at, "verdict": verdict})
+                timely.append((k, at))
+        if not timely:
+            return
+        timer, seen = self._load()
+        before = len(seen)
+        for k, at in sorted(timely, key=lambda row: (row[1] is None, row[1] or 0)):
+            verdict = "duplicate" if k in seen else "kept"
+            seen.setdefault(k, at if at is not None else behind)
+            yield Row(**{self.key: k, "at": at, "verdict": verdict})
+        if len(seen) > before:
+            self._save(timer, seen)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        self.seen.clear()
+        timer, seen = self._load()
+        watermark = timerValues.getCurrentWatermarkInMs()
+        rest = {k: at for k, at in seen.items() if at // 1000 + 1 > watermark}
+        if len(rest) < len(seen):
+            self._save(timer, rest)
         return iter(())
 
     def close(self) -> None:
         pass
 
 
-def late_or_duplicate(stream: DataFrame, key: str, ts: str, delay: str) -> DataFrame:
+def late_or_duplicate(stream: DataFrame, key: str, ts: str, delay: str, buckets: int = BUCKETS) -> DataFrame:
     """(key, ts, verdict) of every row: late, duplicate or kept.
 
     Late is what lies behind the watermark, the greatest event time of earlier batches less ``delay``; of the others the
     first of a key is kept. A row without a time is never late. A key is forgotten when the watermark has passed it: what
-    repeats it then is late as well.
+    repeats it then is late as well. Keys share the state of their bucket.
     """
-    rows = stream.withWatermark(ts, delay).select(key, _plain(ts).alias("at"))
-    out = rows.groupBy(key).transformWithState(
-        Lateness(key), f"{key} {_kind(stream, key)}, at bigint, verdict string", "Update", "EventTime")
+    kind = _kind(stream, key)
+    rows = stream.withWatermark(ts, delay).select(_bucket(key, buckets), key, _plain(ts).alias("at"))
+    out = rows.groupBy("bucket").transformWithState(
+        Lateness(key, kind), f"{key} {kind}, at bigint, verdict string", "Update", "EventTime")
     return out.select(key, F.timestamp_micros("at").alias(ts), "verdict")
 
 

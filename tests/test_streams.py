@@ -160,6 +160,55 @@ def test_streak_state_writes_only_touched_keys_and_forgets(spark, feed):
     assert [r["k"] for r in per_batch.filter(F.size("k") > 0).orderBy("batch_id").collect()] == [[1, 2], [1], [3], [1, 2]]
 
 
+class Store:
+    """A state handle in memory that counts the calls to the store."""
+
+    def __init__(self):
+        self.calls, self.timers, self.found = 0, [], None
+
+    def getValueState(self, name, schema):
+        return self
+
+    def get(self):
+        self.calls += 1
+        return self.found
+
+    def update(self, value):
+        self.calls += 1
+        self.found = value
+
+    def clear(self):
+        self.calls += 1
+        self.found = None
+
+    def registerTimer(self, at):
+        self.calls += 1
+        self.timers.append(at)
+
+    def getCurrentWatermarkInMs(self):
+        return self.watermark
+
+
+def test_late_rows_cost_store_calls_per_bucket_not_per_key(spark):
+    store = Store()
+    p = S.Lateness("id", "bigint")
+    p.init(store)
+
+    def batch(rows, watermark):
+        store.watermark = watermark
+        return sorted((r["id"], r["at"], r["verdict"]) for r in p.handleInputRows((0,), iter([{"id": i, "at": at} for i, at in rows]), store))
+    assert batch([(i, i * 1000) for i in range(1000)], 0) == [(i, i * 1000, "kept") for i in range(1000)]
+    assert store.calls <= 3 and store.timers == [1]
+    assert batch([(1, 1000), (999, 999_500), (2000, 999_000), (2000, 999_001)], 500) == [
+        (1, 1000, "late"), (999, 999_500, "duplicate"), (2000, 999_000, "kept"), (2000, 999_001, "duplicate")]
+    store.watermark = 999
+    list(p.handleExpiredTimer((0,), store, None))
+    assert store.timers == [1, 1000] and store.found[1:] == ([999, 2000], [999_000, 999_000])
+    store.watermark = 1000
+    list(p.handleExpiredTimer((0,), store, None))
+    assert store.found is None and store.calls <= 12
+
+
 def test_late_and_duplicate_are_told_apart(spark, feed):
     path, put = feed
     out, chk = shared_path(spark, "out"), shared_path(spark, "chk")
