@@ -132,69 +132,97 @@ def null_streaks(stream: DataFrame, key: str, ts: str, row_id: str, is_null: Col
 
 
 class Approval(StatefulProcessor):
-    """The request of a token and its undecided actions; a timer decides them in order once the watermark has passed."""
+    """Per bucket the requests of its tokens and their undecided actions; a timer decides them in order once the watermark has passed."""
 
-    def __init__(self, ttl_micros: int, keep_micros: int):
-        self.ttl, self.keep = ttl_micros, keep_micros
+    def __init__(self, ttl_micros: int, keep_micros: int, kind: str):
+        self.ttl, self.keep, self.kind = ttl_micros, keep_micros, kind
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.created = handle.getValueState("created", "at bigint")
-        self.settled = handle.getValueState("settled", "at bigint")
-        self.waiting = handle.getListState("waiting", "at bigint, seq bigint, action string")
+        self.tokens = handle.getValueState(
+            "tokens", f"timer bigint, token array<{self.kind}>, created array<bigint>, settled array<boolean>, "
+                      f"owner array<{self.kind}>, at array<bigint>, seq array<bigint>, action array<string>")
+
+    def _load(self) -> tuple[int | None, dict]:
+        """The time of the bucket's timer, and token -> [request, whether it is settled, undecided actions]."""
+        timer, token, created, settled, owner, *actions = _value(self.tokens) or (None, *[[]] * 7)
+        known = {t: [at, done, []] for t, at, done in zip(token, created, settled)}
+        for t, *action in zip(owner, *actions):
+            known[t][2].append(tuple(action))
+        return timer, known
+
+    def _save(self, timer: int | None, known: dict) -> None:
+        if not known:
+            self.tokens.clear()
+            return
+        due = min(self._next(*own) for own in known.values())
+        if due != timer:
+            self.handle.registerTimer(due)
+        waiting = [(t, *action) for t, own in known.items() for action in own[2]]
+        self.tokens.update((due, list(known), [own[0] for own in known.values()], [own[1] for own in known.values()],
+                            *([w[i] for w in waiting] for i in range(4))))
 
     @staticmethod
     def _due(micros: int) -> int:
         return micros // 1000 + 1
 
-    def _outcome(self, at: int, action: str) -> str:
-        created = _value(self.created)
+    def _next(self, created: int | None, settled: bool, waiting: list[tuple]) -> int:
+        """When a token is to be looked at again: at its first undecided action, without one when it is forgotten."""
+        return self._due(min(w[0] for w in waiting) if waiting else created + self.keep)
+
+    def _outcome(self, own: list, at: int, action: str) -> str:
+        created, settled, _ = own
         if created is None:
             return "unknown-token"
-        if at < created[0] or self.settled.exists():
+        if at < created or settled:
             return "no-pending"
-        self.settled.update((at,))
+        own[1] = True
         if action == "cancel":
             return "cancelled"
-        return "expired" if at - created[0] > self.ttl else "executed"
-
-    def _decide(self, token, waiting: list[tuple], watermark: int) -> Iterator[Row]:
-        """Outcomes of the actions the watermark has passed; the others wait for the next timer."""
-        due = sorted(w for w in waiting if self._due(w[0]) <= watermark)
-        rest = [w for w in waiting if self._due(w[0]) > watermark]
-        for at, seq, action in due:
-            yield Row(token=token, action=action, at=at, seq=seq, outcome=self._outcome(at, action))
-        self.waiting.clear()
-        if rest:
-            self.waiting.appendList(rest)
-            self.handle.registerTimer(self._due(min(rest)[0]))
-        created = _value(self.created)
-        if created and not rest:
-            end = self._due(created[0] + self.keep)
-            if end <= watermark:
-                self.created.clear()
-                self.settled.clear()
-            else:
-                self.handle.registerTimer(end)
+        return "expired" if at - created > self.ttl else "executed"
+
+    def _decide(self, known: dict, token, watermark: int) -> Iterator[Row]:
+        """Outcomes of the token's actions the watermark has passed; the others wait. A token with nothing left is forgotten."""
+        own = known[token]
+        for at, seq, action in sorted(w for w in own[2] if self._due(w[0]) <= watermark):
+            yield Row(token=token, action=action, at=at, seq=seq, outcome=self._outcome(own, at, action))
+        own[2] = [w for w in own[2] if self._due(w[0]) > watermark]
+        if not own[2] and (own[0] is None or self._due(own[0] + self.keep) <= watermark):
+            del known[token]
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        waiting = [tuple(w) for w in self.waiting.get()]
+        timer, known = self._load()
+        touched = {}
         for r in rows:
+            token = r["token"]
+            if r["action"] is None and token is None:
+                continue
+            touched[token] = True
+            own = known.setdefault(token, [None, False, []])
             if r["action"] is not None:
-                waiting.append((r["at"], r["seq"], r["action"]))
-            elif key[0] is not None:
-                created = _value(self.created)
-                self.created.update((min(r["at"], created[0]) if created else r["at"],))
-        yield from self._decide(key[0], waiting, timerValues.getCurrentWatermarkInMs())
+                own[2].append((r["at"], r["seq"], r["action"]))
+            else:
+                own[0] = r["at"] if own[0] is None else min(r["at"], own[0])
+        for token in touched:
+            yield from self._decide(known, token, timerValues.getCurrentWatermarkInMs())
+        if touched:
+            self._save(timer, known)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        yield from self._decide(key[0], [tuple(w) for w in self.waiting.get()], timerValues.getCurrentWatermarkInMs())
+        timer, known = self._load()
+        watermark = timerValues.getCurrentWatermarkInMs()
+        due = [t for t, own in known.items() if self._next(*own) <= watermark]
+        for token in due:
+            yield from self._decide(known, token, watermark)
+        if due:
+            self._save(timer, known)
 
     def close(self) -> None:
         pass
 
 
-def approval_outcomes(stream: DataFrame, delay: str, ttl_days: int = C.APPROVAL_TTL_DAYS, keep_days: int = 366) -> DataFrame:
+def approval_outcomes(stream: DataFrame, delay: str, ttl_days: int = C.APPROVAL_TTL_DAYS, keep_days: int = 366,
+                      buckets: int = BUCKETS) -> DataFrame:
     """(token, action, at, seq, outcome) of every action, once the watermark has passed it.
 
     ``stream`` holds requests (token, ts) and actions (token, ts, action, seq); a row without an action is a request, one
@@ -202,12 +230,14 @@ def approval_outcomes(stream: DataFrame, delay: str, ttl_days: int = C.APPROVAL_
     executed, cancelled, or expired when it confirms more than ``ttl_days`` later; further and earlier ones find no pending
     request, or an unknown token where none came within ``delay``. Actions are held back until no earlier row is expected
     and decided in (ts, seq) order, so batches may arrive in any order within ``delay``. A token is forgotten ``keep_days``
-    after its request.
+    after its request. Tokens share the state of their bucket.
     """
-    rows = stream.withWatermark("ts", delay).select("token", _plain("ts").alias("at"), "action", F.col("seq").cast("bigint").alias("seq"))
-    out = rows.groupBy("token").transformWithState(
-        Approval(ttl_days * DAY_MICROS, keep_days * DAY_MICROS),
-        f"token {_kind(stream, 'token')}, action string, at bigint, seq bigint, outcome string", "Update", "EventTime")
+    kind = _kind(stream, "token")
+    rows = stream.withWatermark("ts", delay).select(
+        _bucket("token", buckets), "token", _plain("ts").alias("at"), "action", F.col("seq").cast("bigint").alias("seq"))
+    out = rows.groupBy("bucket").transformWithState(
+        Approval(ttl_days * DAY_MICROS, keep_days * DAY_MICROS, kind),
+        f"token {kind}, action string, at bigint, seq bigint, outcome string", "Update", "EventTime")
     return out.withColumn("at", F.timestamp_micros("at"))
 
 

@@ -289,6 +289,27 @@ def test_approval_outcomes_wait_for_the_watermark(spark):
     assert outcomes(spark, path, out, chk) == sorted(want, key=repr)
 
 
+def test_approvals_cost_store_calls_per_bucket_not_per_token(spark):
+    day, store = S.DAY_MICROS, Store()
+    p = S.Approval(7 * day, 20 * day, "bigint")
+    p.init(store)
+
+    def batch(rows, watermark):
+        store.watermark = watermark
+        rows = [dict(zip(("token", "at", "action", "seq"), r)) for r in rows]
+        return sorted((r["token"], r["seq"], r["outcome"]) for r in p.handleInputRows((0,), iter(rows), store))
+    assert batch([(i, day, None, None) for i in range(500)] + [(i, 2 * day, "confirm", i) for i in range(1000)], 0) == []
+    assert batch([(i, 3 * day, "cancel", 1000 + i) for i in range(1000)], 0) == []
+    assert store.calls <= 6
+    store.watermark = 10 * day // 1000
+    got = sorted((r["token"], r["seq"], r["outcome"]) for r in p.handleExpiredTimer((0,), store, None))
+    assert got == sorted([(i, i, "executed") for i in range(500)] + [(i, 1000 + i, "no-pending") for i in range(500)]
+                         + [(i, n + i, "unknown-token") for i in range(500, 1000) for n in (0, 1000)])
+    store.watermark = 22 * day // 1000
+    assert list(p.handleExpiredTimer((0,), store, None)) == []
+    assert store.found is None and store.calls <= 12
+
+
 def test_a_token_is_forgotten(spark):
     path, out, chk = (shared_path(spark, x) for x in ("feed", "out", "chk"))
     for batch in ([("a", 0, None, None), ("a", 1, "confirm", 1)], [(None, 60, None, None)], [("a", 61, "confirm", 2)], [(None, 90, None, None)]):
