@@ -110,11 +110,11 @@ TIMES = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS", "timestampFormat"
 
 
 def export_table(df: DataFrame, keys: Sequence[str], path: str) -> int:
-    """JSON lines in order of the (unique) key columns: range partitions, sorted inside. Returns the rows written."""
+    """Gzipped JSON lines in order of the (unique) key columns: range partitions, sorted inside. Returns the rows written."""
     seen = Observation()
     ordered = df.repartitionByRange(*[F.col(k) for k in keys]).sortWithinPartitions(*keys)
     # above the exchange, so that the rows sampled for its ranges don't count
-    ordered.observe(seen, F.count(F.lit(1)).alias("rows")).write.options(**TIMES).json(path)
+    ordered.observe(seen, F.count(F.lit(1)).alias("rows")).write.options(**TIMES, compression="gzip").json(path)
     return seen.get["rows"]
 
 

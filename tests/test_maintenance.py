@@ -126,6 +126,14 @@ def test_export_restore_round_trip(spark):
     assert rows(M.restore_verify(counts, rules)) == [("t", 50, 50, True), ("u", 1, 0, False)]
 
 
+def test_an_export_is_compressed(spark):
+    df, path = spark.range(2000).withColumn("text", F.lit("the same words again")), shared_path(spark, "export")
+    assert M.export_table(df, ["id"], path) == 2000
+    files = [f.split("file:")[-1] for f in spark.read.text(path).inputFiles()]
+    assert files and all(f.endswith(".json.gz") for f in files)
+    assert rows(spark.read.schema(df.schema).json(path)) == rows(df)
+
+
 def test_journal_reader(spark):
     good, bad = '{"status":"tag","fid":"a"}', '{"status": "tag", "fid"' + "x" * 600
     lines = spark.createDataFrame([(good,), (bad,), ("  ",), ('{"status":"odd"}',), ("not json",)], "line string")
