@@ -22,7 +22,8 @@ LANES = 4096
 #: Lanes of a key ranked beyond FEW rows: a lane gets k rows per map task, the last step k rows per lane.
 RANK_LANES = 64
 FEW = 8
-ROWS_PER_BUCKET = 10_000_000
+#: A bucket is read by one task.
+ROWS_PER_BUCKET = 1_000_000
 
 _PARTIAL = {
     "count": lambda c: F.count(c), "sum": F.sum, "min": F.min, "max": F.max,
@@ -132,7 +133,7 @@ def running_sum(df: DataFrame, parts: Sequence[str], order: Sequence[str],
         rows = rows.withColumn(f"_v{i}", c)
     local = Window.partitionBy(*parts, "_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     before = Window.partitionBy(*parts).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    # one row per (part, bucket): a millionth of the rows or less share a window partition here
+    # one row per (part, bucket): about a millionth of the rows share a window partition here
     heads = rows.groupBy(*parts, "_bucket").agg(*[F.sum(f"_v{i}").alias(f"_s{i}") for i in range(len(sums))])
     heads = heads.select(
         *[F.col(p).alias(f"_h_{p}") for p in parts], F.col("_bucket").alias("_h_bucket"),

@@ -132,3 +132,10 @@ def test_staged_folders_are_cleared(spark):
     path = kept.inputFiles()[0].removeprefix("file://")
     from pathlib import Path
     assert not Path(path).parent.exists() and session.clear_staged(spark) == 0
+
+
+def test_a_bucket_of_a_task_has_about_a_million_rows(spark):
+    got = L.range_bucket(spark.range(2_500_000).select((F.col("id") * 7 % 2_500_003).alias("i")), ["i"]).groupBy("_bucket").agg(
+        F.count("*").alias("n"), F.min("i").alias("lo"), F.max("i").alias("hi")).orderBy("_bucket").collect()
+    assert len(got) == 3 and sum(r["n"] for r in got) == 2_500_000 and max(r["n"] for r in got) < 1_300_000
+    assert all(a["hi"] < b["lo"] for a, b in zip(got, got[1:]))
