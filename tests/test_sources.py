@@ -82,6 +82,23 @@ def test_sheets_are_read_as_they_were_written(spark):
     assert rows(grids.read_grids(spark, path), "sheet", "row_idx", "col_idx", "cell") == sorted(want, key=repr)
 
 
+def test_a_long_sheet_is_many_files_read_in_order(spark):
+    path = shared_path(spark, "grids")
+    sheets = {"a": 2500, "b": 3, None: 40}
+    grid = {s: [[f"{i}", 'x\n"y"'] if i % 2 else ([f"{i}"] if i else [""]) for i in range(n)] for s, n in sheets.items()}
+    grid["a"][2499] = ["2499", "", "wide"]
+    df = spark.createDataFrame([(s, i, c) for s, g in grid.items() for i, c in enumerate(g)], "s string, i int, c array<string>")
+    grids.write_grids(df.repartition(3), "s", "i", "c", path, rows_per_file=100)
+    files = spark.read.text(path, wholetext=True).groupBy("sheet").count().collect()
+    assert {r["sheet"]: r["count"] for r in files}["a"] >= 25
+    got = {}
+    for sheet, i, j, cell in rows(grids.read_grids(spark, path), "sheet", "row_idx", "col_idx", "cell"):
+        got.setdefault(sheet, {})[i, j] = cell
+    for sheet, g in grid.items():
+        width = max(map(len, g))
+        assert got[sheet] == {(i, j): (c + [""] * width)[j] for i, c in enumerate(g) for j in range(width)}
+
+
 def test_file_fingerprints_read_three_ranges(spark, tmp_path):
     contents = {"empty": b"", "small": b"ab" * 10, "edge": bytes(range(30)), "big": bytes(range(256)) * 4}
     for name, data in contents.items():
