@@ -104,20 +104,27 @@ def fit(docs: DataFrame, label: Column, id_col: str = "doc_id", text_col: str =
     ids = ids.orderBy("turn", "h").limit(s.sample).select("doc_id", "label", "h").distinct()
     picked = rows.join(F.broadcast(ids), ["doc_id", "label", "h"]).dropDuplicates(["doc_id", "label", "h"])     # bounded by sample
     rows = picked.select("text", "label").mapInArrow(_presence(s), "bits binary, label string").collect()
-    rows = sorted(((bytes(r["bits"]), r["label"]) for r in rows if any(r["bits"])),
-                  key=lambda r: (hashlib.md5(r[0]).digest(), r[1]))
-    languages = sorted({label for _, label in rows})
+    rows = [r for r in rows if any(r["bits"])]
     if not rows:
         return Model(s, [], np.zeros((1 << s.bits, 0)))
+    # one array in place of thousands of objects, unpacked a few rows at a time: the driver has little memory
+    bits, labels = np.frombuffer(b"".join(r["bits"] for r in rows), np.uint8).reshape(len(rows), -1), [r["label"] for r in rows]
+    del rows
+    order = sorted(range(len(labels)), key=lambda i: (hashlib.md5(bits[i]).digest(), labels[i]))
+    bits, labels = bits[order], [labels[i] for i in order]
+    languages = sorted(set(labels))
 
     def rows_of(picked) -> np.ndarray:
-        x = np.unpackbits(np.frombuffer(b"".join(rows[i][0] for i in picked), np.uint8)).reshape(len(picked), -1)
-        return x / np.sqrt(x.sum(axis=1, keepdims=True, dtype=np.float32))
+        x = np.empty((len(picked), 1 << s.bits), np.float32)
+        for i in range(0, len(picked), 64):
+            part = np.unpackbits(bits[picked[i:i + 64]], axis=1)
+            np.divide(part, np.sqrt(part.sum(axis=1, keepdims=True, dtype=np.float32)), out=x[i:i + 64])
+        return x
 
-    y = np.array([[1.0 if label == c else -1.0 for c in languages] for _, label in rows])
+    y = np.array([[1.0 if label == c else -1.0 for c in languages] for label in labels])
     turn = {c: 0 for c in languages}
     ranks = []
-    for _, label in rows:       # the first of every language, then the second of every language, and so on
+    for label in labels:        # the first of every language, then the second of every language, and so on
         ranks.append(turn[label])
         turn[label] += 1
     marks = np.argsort(ranks, kind="stable")[:s.landmarks]
@@ -125,14 +132,16 @@ def fit(docs: DataFrame, label: Column, id_col: str = "doc_id", text_col: str =
     values, vectors = np.linalg.eigh((landmarks @ landmarks.T).astype(np.float64))
     good = values > 1e-6
     project = vectors[:, good] / np.sqrt(values[good])          # landmarks -> Nystroem features
-    chunks = [range(i, min(i + 256, len(rows))) for i in range(0, len(rows), 256)]
-    features = np.concatenate([(rows_of(c) @ landmarks.T).astype(np.float64) for c in chunks]) @ project
+    features = np.empty((len(labels), len(marks)))
+    for i in range(0, len(labels), 256):
+        features[i:i + 256] = rows_of(range(i, min(i + 256, len(labels)))) @ landmarks.T
+    features = features @ project
     weight = 1 / y.shape[0] / np.maximum((y > 0).mean(axis=0), 1e-9)        # rare languages count as much as frequent ones
     row_weight = (np.where(y > 0, 1.0, 0.0) * weight).sum(axis=1, keepdims=True)
     gram = features.T @ (features * row_weight) + s.ridge * np.eye(features.shape[1])
     ridge = np.linalg.solve(gram, features.T @ (y * row_weight))
-    own = (features @ ridge)[np.arange(len(rows)), y.argmax(axis=1)]
-    long = np.array([int.from_bytes(bits).bit_count() >= s.enough for bits, _ in rows])
+    own = (features @ ridge)[np.arange(len(labels)), y.argmax(axis=1)]
+    long = np.bitwise_count(bits).sum(axis=1, dtype=np.int64) >= s.enough
     level = float(np.quantile(own[long], s.strange)) - s.margin if long.any() else -np.inf
     return Model(s, languages, landmarks.T @ (project @ ridge).astype(np.float32), level)
 

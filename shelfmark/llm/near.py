@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import grams, id_out, keyed, mixed, raw, settled, word_blocks
+from shelfmark.llm.common import grams, id_out, keyed, mixed, ranges, raw, settled, word_blocks
 
 
 @dataclass(frozen=True)
@@ -190,22 +190,26 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 
     Alternates large stars (larger neighbours move to the smallest one around) and small stars (smaller neighbours
     join up) until nothing moves. Every round is written to the shared folder; hot nodes are combined on the map side.
+    No round has more edges than the one before, so the first count says how many tasks read and write them: what a task
+    reports stays on the driver, and rounds are many.
     """
     edges = settled(links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u != v").distinct())
+    parts = ranges(edges.sparkSession, edges.count())
+    edges = edges.coalesce(parts)
     before = None
     while True:
-        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        both = edges.select(F.explode(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))).alias("e")).select("e.*")
         low = both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"))
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.explode(F.array(
             F.struct(F.greatest("v", "m").alias("u"), F.least("v", "m").alias("v")),
             F.struct("u", F.col("m").alias("v")))).alias("e")).select("e.*").where("u != v").distinct()
-        edges = settled(small)
+        edges = settled(small.coalesce(parts))
         state = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == before:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("label")).unionByName(
-                edges.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct())
+                edges.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct()).coalesce(parts)
         before = state
 
 
@@ -260,7 +264,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     late = met.groupBy("band", "i", "j").applyInArrow(_cross_labels(s), "a long, b long").distinct()
     more = _verified(late, sets, s)
     if not more.isEmpty():
-        labels = components(links.unionByName(more))
+        # the labels say all that the links did, in fewer rows
+        labels = components(labels.toDF("a", "b").unionByName(more))
 
     found = classes.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(
         "f1", "f2", F.coalesce("label", "rep").alias("component_id"))

@@ -176,6 +176,30 @@ def test_components_follow_long_chains(spark):
     assert got == {i: 0 for i in range(n + 1)} | {100: 100, 101: 100, 102: 100}
 
 
+def test_components_run_few_tasks_on_few_links(spark):
+    """The driver keeps something of every task, so rounds read and write their edges in as many as the rows need."""
+    links = spark.createDataFrame([(i, i // 2) for i in range(1, 40)], "a long, b long")
+    settings = {"spark.sql.shuffle.partitions": "97", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    context, group = spark.sparkContext, "few-tasks"
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        context.setJobGroup(group, group)
+        out = near.components(links)
+        tracker = context.statusTracker()
+        stages = {s for j in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(j).stageIds}
+        tasks = [i.numTasks for i in map(tracker.getStageInfo, stages) if i and i.numCompletedTasks]
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert {r["node"]: r["label"] for r in out.collect()} == {i: 0 for i in range(40)}
+    assert out.rdd.getNumPartitions() <= context.defaultParallelism
+    few = [n for n in tasks if n <= context.defaultParallelism]
+    assert max(tasks) <= 97 and 2 * len(few) >= len(tasks) - 2, tasks
+
+
 def test_fingerprints(spark, docs, texts, empty):
     rows = {r["doc_id"]: r for r in multiset.edited_fingerprints(docs).collect()}
     order = sorted((i, t or "") for i, t in texts)
